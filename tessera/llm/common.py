@@ -41,6 +41,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def crc_mod(id_column: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo; null ids count as the empty text."""
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % modulus
@@ -140,3 +147,55 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("x"))
         e = materialize(small.select(F.col("x.u").alias("u"), F.col("x.m").alias("v")).where("u != v").distinct(), "edges")
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+
+
+class TokenTable:
+    """A growing cache: token -> row of a value matrix. values(tokens) gives the rows of new tokens.
+
+    At most about cap tokens stay: the table starts anew when a batch begins with more.
+    """
+
+    class Ids(dict):
+        """Numbers tokens as they come; new: those since the last look."""
+
+        def __init__(self):
+            self.new = []
+
+        def __missing__(self, token):
+            i = self[token] = len(self)
+            self.new.append(token)
+            return i
+
+    def __init__(self, values, cap: int = 300_000):
+        self.values, self.cap = values, cap
+        self.ids, self.rows = self.Ids(), None
+
+    def begin(self) -> None:
+        if len(self.ids) > self.cap:
+            self.ids, self.rows = self.Ids(), None
+
+    def look_up(self, words: list) -> np.ndarray:
+        """Ids of the words; rows[ids] are then their values."""
+        known = len(self.ids)
+        out = np.fromiter(map(self.ids.__getitem__, words), dtype=np.int64, count=len(words))
+        if self.ids.new:
+            new, self.ids.new = self.values(self.ids.new), []
+            if self.rows is None:
+                self.rows = new
+            else:
+                if len(self.ids) > len(self.rows):
+                    bigger = np.empty((max(2 * len(self.rows), len(self.ids)), *self.rows.shape[1:]), dtype=self.rows.dtype)
+                    bigger[:known] = self.rows[:known]
+                    self.rows = bigger
+                self.rows[known : len(self.ids)] = new
+        return out
+
+
+def sampled(df: DataFrame, of: DataFrame, label: str, most: int, seed: int) -> DataFrame:
+    """Rows of df whose doc_id hashes below a share that keeps about `most` rows of each label value; of has its counts n."""
+    share = of.select(F.col(label), F.least(F.lit(1.0), F.lit(float(most)) / F.col("n")).alias("share")).collect()
+    draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    picked = F.lit(False)
+    for r in share:
+        picked = picked | ((F.col(label) == r[0]) & (draw < r[1]))
+    return df.where(picked)

@@ -6,21 +6,71 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embeddings, simhash
-from .common import table
+import corpus_pipeline
 
-ORACLE_SQL: dict[str, str] = {}
+from . import chat, decontaminate, embeddings, langid, lm, packing, pii, quality, simhash, substrings
+from .common import crc_mod, table
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.surrogate_pii(docs, count_column="n_entities")
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(crc_mod("doc_id", 5) != 0))
+    out = langid.predict(docs, model)
+    return out.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op5_chat_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    vectors, net = quality.fit(docs, labels.where(crc_mod("doc_id", 3) != 1))
+    out = quality.score(docs, vectors, net)
+    return out.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(substrings.dedup_substrings(table(spark, sf_dir, "documents")))
+
+
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "pipeline": corpus_pipeline.run,
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_pii_surrogates": op2_pii_surrogates,
+    "op3_language_id": op3_language_id,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
+    "op5_chat_quotation_linking": op5_chat_quotation_linking,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_substring_dedup": op9_substring_dedup,
+    "op10_lm_scoring": op10_lm_scoring,
 }
+#: None of these can be put in DuckDB SQL whole (XXH64, trained models, tokenizers, alignment); tests/llm has brute force.
+ORACLE_SQL: dict[str, str] = {k: v for k, v in {"pipeline": corpus_pipeline.ORACLE_SQL}.items() if v}

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import connected_components, materialize, roots_of, run_starts, sorted_groups
+from .common import connected_components, fresh, materialize, roots_of, run_starts, sorted_groups
 
 RADIUS = 3
 PARTS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))  # first bit, width
@@ -163,6 +163,7 @@ def simhash_dedup(docs: DataFrame) -> DataFrame:
     """docs with one row of each component: that of the smallest doc_id; of rows that repeat it, one. A null doc_id stands
     for itself only if its whole component has none."""
     found = materialize(simhash_components(docs), "components")
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("__keep")).count()
-    out = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__keep")), "left_semi")
-    return out if kept.where("count > 1").isEmpty() else out.dropDuplicates(["doc_id"])
+    keep = fresh(docs, "keep")
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias(keep)).agg(F.count("*").alias("rows"))
+    out = docs.join(kept.select(keep), docs["doc_id"].eqNullSafe(F.col(keep)), "left_semi")
+    return out if kept.where("rows > 1").isEmpty() else out.dropDuplicates(["doc_id"])
