@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from zlib import crc32
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,17 +16,23 @@ from .tokens import words
 
 
 def hashed_features(tokens: Column, size: int = 64) -> Column:
-    """The default features of a text: shares of its tokens in hashed buckets. Any function of the tokens may stand in."""
-    at = F.transform(tokens, lambda w: F.pmod(F.xxhash64(w), F.lit(size)))
-    n = F.greatest(F.size(tokens), F.lit(1))
-    return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.size(F.filter(at, lambda x: x == i)) / n)
+    """The default features of a text: shares of its tokens in hashed buckets, counted in Arrow batches. Any function of the
+    tokens may stand in."""
+
+    @F.pandas_udf("array<double>")
+    def run(s: pd.Series) -> pd.Series:
+        count = lambda ws: np.bincount([crc32(w.encode("utf-8", "replace")) % size for w in ws], minlength=size) / max(len(ws), 1)
+        return s.map(lambda ws: count(ws if ws is not None else []))
+
+    return run(tokens)
 
 
 def predict(df: DataFrame, heads: Mapping[str, Head], title: str = "title", content: str = "content", features: Callable[[Column], Column] = hashed_features, normalize: bool = True) -> DataFrame:
     """df with prediction: task -> (label, confidence, probabilities)."""
     # the cleaned texts get columns of their own: a Python function can't stand inside a higher-order one
     texts = df.withColumns({"__title": clean_text(F.col(title), normalize), "__content": clean_text(F.col(content), normalize)})
-    scored = score(texts.withColumn("__x", features(F.concat(words(F.col("__title")), words(F.col("__content"))))), "__x", heads)
+    texts = texts.withColumn("__tokens", F.concat(words(F.col("__title")), words(F.col("__content"))))
+    scored = score(texts.withColumn("__x", features(F.col("__tokens"))), "__x", heads)
     return predictions(scored, heads).select(*df.columns, "prediction")
 
 

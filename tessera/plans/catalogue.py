@@ -138,10 +138,11 @@ def value_share_lang(spark, sf_dir):
 
 @query(
     "label_task_matrix",
-    f"WITH {LONG_LABELS} SELECT label, " + ", ".join(f"nullif(count(*) FILTER (task = '{t}'), 0) AS {t}" for t in TASKS) + " FROM long GROUP BY label",
+    f"WITH {LONG_LABELS} SELECT label, " + ", ".join(f"CAST(nullif(count(*) FILTER (task = '{t}'), 0) AS DOUBLE) AS {t}" for t in TASKS) + " FROM long GROUP BY label",
 )
 def label_task_matrix(spark, sf_dir):
-    return profile.label_matrix(labelled(spark, sf_dir), list(TASKS))
+    out = profile.label_matrix(labelled(spark, sf_dir), list(TASKS))
+    return out.withColumns({t: F.col(t).cast("double") for t in TASKS})  # nulls beside counts read as doubles everywhere
 
 
 @query("pair_counts_source_lang", "SELECT source, lang, count(*) AS n FROM documents WHERE source IS NOT NULL AND lang IS NOT NULL GROUP BY source, lang")
@@ -264,7 +265,7 @@ def clean_text_nfkc(spark, sf_dir):
 
 @query(
     "clean_labelled",
-    f"WITH {LABELLED}, c AS (SELECT *, {CLEAN.format('source')} AS t, {CLEAN.format('nfc_normalize(text)')} AS x FROM labelled) SELECT doc_id, t AS source, length(x) AS n_clean, "
+    f"WITH {LABELLED}, c AS (SELECT *, {CLEAN.format('source')} AS t, {CLEAN.format('nfc_normalize(text)')} AS x FROM labelled) SELECT doc_id, t AS source, CAST(length(x) AS INT) AS n_clean, "
     + ", ".join(f"CAST(list_position(['{chr(39) + ', ' + chr(39)}'], {t}) - 1 AS BIGINT) AS {t}_id".replace("['', '']", str(cs)) for t, cs in TASKS.items()) + " FROM c WHERE t <> '' AND x <> ''",
 )
 def clean_labelled(spark, sf_dir):
