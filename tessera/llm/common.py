@@ -12,7 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-WORD_BYTES = b" \t\n\x0b\x0c\r"  # bytes.split() with no argument splits at exactly these
+#: Removes a query's shuffle files at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,10 +31,16 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write df as Parquet in the shared folder and read it back.
 
-    Unlike a local checkpoint the files outlive any executor. They stay until the owner of the folder clears it.
+    Unlike a local checkpoint the files outlive any executor. They stay until the owner of the folder clears it. The shuffle
+    files of the plan that is cut off here aren't needed again and go when it has run.
     """
-    path = f"{shared_dir(df.sparkSession)}/tessera/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    conf, path = df.sparkSession.conf, f"{shared_dir(df.sparkSession)}/tessera/{name}-{uuid.uuid4().hex}"
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
