@@ -16,6 +16,7 @@ rows that share a doc_id don't count against each other; a window that only repe
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -171,56 +172,78 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxh64_intdigest(w, 9) for w in words), dtype=np.uint64, count=len(words))
 
 
-def run_hashes(h: np.ndarray, width: int) -> np.ndarray:
-    """Hash of each run of width words."""
-    m = len(h) - width + 1
-    out = np.zeros(max(m, 0), dtype=np.uint64)
-    for i in range(width if m > 0 else 0):
-        out = (out ^ h[i : i + m]) * np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(29)
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    out = (a * np.uint64(0x9E3779B97F4A7C15)) ^ b
+    out ^= out >> np.uint64(29)
+    out *= np.uint64(0xD6E8FEB86659FD93)
     return out
 
 
-def window_anchors(h: np.ndarray) -> np.ndarray:
-    """The anchor of each window of the word hashes."""
-    g = run_hashes(h, GRAM)
-    m = len(h) - WINDOW + 1
-    if m <= 0:
-        return np.empty(0, dtype=np.int64)
-    out = g[:m].copy()
-    for j in range(1, WINDOW - GRAM + 1):
-        np.minimum(out, g[j : j + m], out=out)
-    return (out * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
+def gram_hashes(h: np.ndarray) -> np.ndarray:
+    """Hash of each run of GRAM words, by overlapping halves."""
+    two = mixed(h[:-1], h[1:])
+    four = mixed(two[:-2], two[2:])
+    return mixed(four[:-3], four[3:])
+
+
+def window_anchors(g: np.ndarray) -> np.ndarray:
+    """The anchor of each window: the least hash among its runs of GRAM words."""
+    two = np.minimum(g[:-1], g[1:])
+    four = np.minimum(two[:-2], two[2:])
+    return np.minimum(four[:-3], four[3:]).view(np.int64)
 
 
 def split(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").split()
 
 
+def runs_of_anchors(texts: list[str | None], tokens: TokenTable):
+    """(words of all texts on end, where each begins, gram hashes, owner, from, to and anchor of each run of windows)."""
+    each = [split(t) for t in texts]
+    words = list(chain.from_iterable(each))
+    size = np.fromiter(map(len, each), dtype=np.int64, count=len(each))
+    begin = np.cumsum(size) - size
+    none = np.empty(0, dtype=np.int64)
+    if len(words) < WINDOW:
+        return words, begin, none, none, none, none, none
+    ids = tokens.look_up(words)
+    g = gram_hashes(tokens.rows[ids])
+    a = window_anchors(g)
+    of = np.repeat(np.arange(len(each)), size)
+    owner = of[: len(a)]
+    inside = owner == of[WINDOW - 1 :]
+    new = inside.copy()
+    new[1:] &= (a[1:] != a[:-1]) | ~inside[:-1]  # a window that crosses texts ends a run
+    start = np.flatnonzero(new)
+    stops = np.flatnonzero(np.append(new | ~inside, True))
+    end = stops[np.searchsorted(stops, start, side="right")]
+    return words, begin, g, owner[start], start, end, a[start]
+
+
+def slices(batch: pa.RecordBatch, characters: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch of about so many characters of text, whole rows each."""
+    size = np.cumsum([len(t or "") for t in batch["text"].to_pylist()])
+    at = 0
+    while at < len(batch):
+        to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + characters)))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def anchors(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, anchor): the distinct anchors of each document."""
+    """Rows (doc_id, anchor) of each document's segments."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = TokenTable(word_hashes)
-        for batch in batches:
-            for at in range(0, len(batch), 1024):
-                part = batch.slice(at, 1024)
-                tokens.begin()
-                each = [np.unique(window_anchors(hashes(w, tokens))) for t in part["text"].to_pylist() for w in (split(t),)]
-                rows = pa.array(np.repeat(np.arange(len(each)), [len(x) for x in each]))
-                yield pa.RecordBatch.from_arrays([part["doc_id"].take(rows), pa.array(np.concatenate(each) if each else np.empty(0, np.int64))], ["doc_id", "anchor"])
+        for part in chain.from_iterable(map(slices, batches)):
+            tokens.begin()
+            _, _, _, owner, _, _, anchor = runs_of_anchors(part["text"].to_pylist(), tokens)
+            yield pa.RecordBatch.from_arrays([part["doc_id"].take(pa.array(owner)), pa.array(anchor)], ["doc_id", "anchor"])
 
     return docs.mapInArrow(run, f"doc_id {kind}, anchor long")
 
 
-def hashes(words: list[bytes], tokens: TokenTable) -> np.ndarray:
-    if not words:
-        return np.empty(0, dtype=np.uint64)
-    ids = tokens.look_up(words)
-    return tokens.rows[ids]
-
-
 def segments(candidates: DataFrame) -> DataFrame:
     """candidates(doc_id, text, mark, shared: array of (anchor, parts)) to rows (anchor, part, segment, doc_id, mark, start)."""
     kind = candidates.schema["doc_id"].dataType.simpleString()
@@ -228,38 +251,36 @@ def segments(candidates: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = TokenTable(word_hashes)
-        for batch in batches:
-            for at in range(0, len(batch), 512):
-                part_ = batch.slice(at, 512)
-                tokens.begin()
-                rows, anchor, part, segment, start = [], [], [], [], []
-                for i, (t, shared) in enumerate(zip(part_["text"].to_pylist(), part_["shared"].to_pylist(), strict=True)):
-                    parts = {x["anchor"]: x["parts"] for x in shared}
-                    words = split(t)
-                    h = hashes(words, tokens)
-                    a = window_anchors(h)
-                    if not len(a):
-                        continue
-                    starts = run_starts(a)
-                    whole = None
-                    for s, e in zip(starts.tolist(), np.append(starts[1:], len(a)).tolist(), strict=True):
-                        key = int(a[s])
-                        n = parts.get(key)
-                        if n is None:
-                            continue
-                        if n == 1:
-                            rows.append(i), anchor.append(key), part.append(0), start.append(s)
-                            segment.append(b" ".join(words[s : e + WINDOW - 1]))
-                            continue
-                        if whole is None:
-                            whole = run_hashes(h, WINDOW)
-                        for k in range(s, e):
-                            rows.append(i), anchor.append(key), part.append(int(whole[k] >> np.uint64(8)) % n), start.append(k)
-                            segment.append(b" ".join(words[k : k + WINDOW]))
-                take = pa.array(rows, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor, pa.int64()), pa.array(part, pa.int32()), pa.array(segment, pa.binary()), part_["doc_id"].take(take), part_["mark"].take(take), pa.array(start, pa.int32())], names
-                )
+        for part in chain.from_iterable(map(slices, batches)):
+            tokens.begin()
+            words, begin, g, owner, start, end, anchor = runs_of_anchors(part["text"].to_pylist(), tokens)
+            size = part["shared"].value_lengths().to_numpy(zero_copy_only=False)
+            flat = part["shared"].flatten()
+            pair = lambda who, a: a.view(np.uint64) ^ ((who.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+            wanted = pair(np.repeat(np.arange(len(part)), size), flat.field("anchor").to_numpy(zero_copy_only=False))
+            order = np.argsort(wanted)
+            wanted, parts = wanted[order], flat.field("parts").to_numpy(zero_copy_only=False).astype(np.int64)[order]
+            if not len(start) or not len(wanted):
+                continue
+            have = pair(owner, anchor)
+            at = np.minimum(np.searchsorted(wanted, have), len(wanted) - 1)
+            ok = wanted[at] == have
+            owner, start, end, anchor, n = owner[ok], start[ok], end[ok], anchor[ok], parts[at[ok]]
+            hot = n > 1
+            count = np.where(hot, end - start, 1)  # windows of a hot anchor go one by one
+            rank = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            owner, anchor, n, hot = (np.repeat(x, count) for x in (owner, anchor, n, hot))
+            start = np.repeat(start, count) + rank
+            end = np.where(hot, start + 1, np.repeat(end, count))
+            deal = np.zeros(len(start), dtype=np.int32)
+            if hot.any():
+                w = start[hot]
+                deal[hot] = (mixed(g[w], g[w + WINDOW - GRAM]) >> np.uint64(8)) % n[hot].astype(np.uint64)
+            segment = [b" ".join(words[a:b]) for a, b in zip(start.tolist(), (end + WINDOW - 1).tolist(), strict=True)]
+            take = pa.array(owner)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(anchor), pa.array(deal), pa.array(segment, pa.binary()), part["doc_id"].take(take), part["mark"].take(take), pa.array((start - begin[owner]).astype(np.int32))], names
+            )
 
     return candidates.select("doc_id", "text", "mark", "shared").mapInArrow(run, f"anchor long, part int, segment binary, doc_id {kind}, mark long, start int")
 
@@ -291,7 +312,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     light = anchors(known)
     shared = light.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
     shared = shared.select("anchor", F.ceil(F.col("n") / HOT).cast("int").alias("parts"))
-    own = light.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set(F.struct("anchor", "parts")).alias("shared"))
+    own = light.join(shared, "anchor").groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "parts")).alias("shared"))
     candidates = known.join(own, "doc_id").withColumn("mark", F.xxhash64("text"))
     placed = materialize(segments(candidates).withColumn("sid", F.xxhash64("segment")), "segments")
     distinct = placed.groupBy("anchor", "part", "segment", "sid").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
