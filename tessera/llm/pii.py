@@ -232,6 +232,8 @@ def render(kind: str, found: str, surrogate: str) -> str:
     for i, c in zip(keep, surrogate, strict=True):
         up = c.upper()
         out[i] = up if found[i].isupper() and len(up) == 1 else c
+    if kind in ("secret", "mac", "ipv6") and not any(map(str.islower, found)):  # letters may stand where digits were
+        return "".join(out).upper()
     return "".join(out)
 
 
