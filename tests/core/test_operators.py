@@ -262,3 +262,5 @@ def test_streaming(spark, tmp_path):
     heads = {"t": model.Head(["no", "yes"], [[0.1] * 64, [-0.1] * 64], [0.0, 0.0])}
     q = streaming.to_parquet(streaming.predict_stream(stream, heads), out, str(tmp_path / "check"))
     assert q.awaitTermination(120) and spark.read.parquet(out).count() == 2
+    timed = spark.read.parquet(out).withColumn("ts", F.timestamp_seconds(F.lit(600)))
+    assert [r.n for r in streaming.label_rates(timed, "t", "ts").collect()] == [2]
