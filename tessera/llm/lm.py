@@ -56,9 +56,8 @@ def word_values(top: dict[bytes, int]):
 
     def values(words: list[bytes]) -> np.ndarray:
         out = np.empty((len(words), 2), dtype=np.uint64)
-        for i, w in enumerate(words):
-            k = top.get(w)
-            out[i] = xxh64_intdigest(w, 10), rest_class(w) if k is None else k
+        out[:, 0] = np.fromiter((xxh64_intdigest(w, 10) for w in words), dtype=np.uint64, count=len(words))
+        out[:, 1] = np.fromiter((rest_class(w) if (k := top.get(w)) is None else k for w in words), dtype=np.uint64, count=len(words))
         return out
 
     return values
@@ -79,27 +78,36 @@ def features(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def log_classes(weights: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
-    """Natural log-probabilities of the classes after each history."""
-    z = weights[f[:, 0]] + bias
+def logits(weights: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
+    """Scores of the classes after each history, less the largest."""
+    z = weights[f[:, 0]]
     for j in range(1, FEATURES):
         z += weights[f[:, j]]
+    z += bias
     z -= z.max(axis=1, keepdims=True)
+    return z
+
+
+def log_classes(weights: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
+    """Natural log-probabilities of the classes after each history."""
+    z = logits(weights, bias, f)
     return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
 
 def sgd_step(weights: np.ndarray, bias: np.ndarray, seen: np.ndarray, f: np.ndarray, c: np.ndarray) -> None:
     """One Adagrad update on a minibatch, in place."""
-    g = np.exp(log_classes(weights, bias, f))
+    g = logits(weights, bias, f)
+    np.exp(g, out=g)
+    g /= g.sum(axis=1, keepdims=True)
     g[np.arange(len(c)), c] -= 1
-    at = f.ravel()
-    order = np.argsort(at.astype(np.uint16), kind="stable")
-    sorted_at = at[order]
-    starts = np.flatnonzero(np.concatenate(([True], sorted_at[1:] != sorted_at[:-1])))
-    total = np.add.reduceat(g[order // FEATURES], starts, axis=0)
-    k = sorted_at[starts]
-    seen[k] += (total * total).sum(axis=1) / CLASSES
-    weights[k] -= RATE * total / np.sqrt(seen[k])[:, None]
+    # a class at a time, whose sums by bucket fit the processor's cache
+    total, columns = np.zeros((CLASSES, BUCKETS)), [np.ascontiguousarray(f[:, j]) for j in range(FEATURES)]
+    for k, own in enumerate(np.ascontiguousarray(g.T, dtype=np.float64)):
+        for at in columns:
+            total[k] += np.bincount(at, weights=own, minlength=BUCKETS)
+    total = np.ascontiguousarray(total.T, dtype=np.float32)
+    seen += (total * total).sum(axis=1) / CLASSES
+    weights -= RATE * total / np.sqrt(seen)[:, None]
     bias -= 0.02 * g.mean(axis=0)
 
 
