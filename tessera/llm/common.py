@@ -5,10 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -206,3 +207,59 @@ def sampled(df: DataFrame, of: DataFrame, label: str, most: int, seed: int) -> D
     for r in share:
         picked = picked | ((F.col(label) == r[0]) & (draw < r[1]))
     return df.where(picked)
+
+
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    out = (a * np.uint64(0x9E3779B97F4A7C15)) ^ b
+    out ^= out >> np.uint64(29)
+    out *= np.uint64(0xD6E8FEB86659FD93)
+    return out
+
+
+#: Bytes between words: ASCII white space, and everything but letters, digits and what isn't ASCII.
+SPACE, SIGNS = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+SIGNS[[i for i in range(128) if not chr(i).isalnum()]] = True
+BASE = 0x9E3779B97F4A7C15
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base ** 0, 1, ... modulo 2 ** 64, at least n of them."""
+    if base not in _powers or len(_powers[base]) < n:
+        x = np.full(max(n, 1 << 20), base, dtype=np.uint64)
+        x[0] = 1
+        _powers[base] = np.multiply.accumulate(x)
+    return _powers[base]
+
+
+class Words:
+    """The words of some texts: where each begins and ends in data, its hash, its text (owner), and each text's first word.
+
+    Hashes are polynomials taken from one running sum over all bytes, so that no word is touched by itself.
+    """
+
+    def __init__(self, texts: Sequence[str | None], between: np.ndarray = SPACE):
+        raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+        self.data = b" ".join(raw) + b" "
+        b = np.frombuffer(self.data, dtype=np.uint8)
+        space = np.concatenate(([True], between[b]))
+        self.start = np.flatnonzero(space[:-1] & ~space[1:])
+        self.end = np.flatnonzero(~space[:-1] & space[1:])
+        total = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(b))[: len(b)])))
+        h = (total[self.end] - total[self.start]) * powers(pow(BASE, -1, 1 << 64), len(b))[self.start]
+        self.hash = mixed(h, h >> np.uint64(32))
+        size = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) + 1
+        text = np.cumsum(size) - size
+        self.begin = np.searchsorted(self.start, text)
+        self.owner = np.searchsorted(text, self.start, side="right") - 1
+
+
+def slices(batch: pa.RecordBatch, characters: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch of about so many characters of text, whole rows each."""
+    size = np.cumsum([len(t or "") for t in batch["text"].to_pylist()])
+    at = 0
+    while at < len(batch):
+        to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + characters)))
+        yield batch.slice(at, to - at)
+        at = to

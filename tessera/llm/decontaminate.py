@@ -1,6 +1,6 @@
 """Benchmark decontamination: rare n-gram seeds join passages to test items, Smith-Waterman alignment scores them.
 
-Words are lower-cased and stripped of signs at their ends. A first pass counts, over the whole corpus, in how many documents
+Words are lower-case runs of letters and digits. A first pass counts, over the whole corpus, in how many documents
 each word trigram of the test items occurs. Of every SPAN consecutive trigrams of an item the rarest becomes a seed, so rarity
 never leaves a stretch of an item unseeded: any run of N + SPAN - 1 equal words holds a seed. A second pass finds the seeds in
 whole documents; hits of one item on near diagonals open a region, and a region that shares enough words with the item is
@@ -17,14 +17,14 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
-from .common import TokenTable
+from .common import SIGNS, Words, mixed, run_starts, slices
 
 N = 3
 SPAN = 3
@@ -36,30 +36,11 @@ SHARED = 0.4
 BITS = 22
 
 
-def normal(word: str) -> str:
-    w = word.lower()
-    if w.isalnum():
-        return w
-    a, b = 0, len(w)
-    while a < b and not w[a].isalnum():
-        a += 1
-    while b > a and not w[b - 1].isalnum():
-        b -= 1
-    return w[a:b]
-
-
-def word_hashes(words: list[str]) -> np.ndarray:
-    """A hash above 1 for each word, 0 for words without a letter or digit."""
-    return np.array([max(2, xxh64_intdigest(n.encode("utf-8", "replace"), 8)) if (n := normal(w)) else 0 for w in words], dtype=np.uint64)
-
-
-def hashed(text: str | None, tokens: TokenTable) -> np.ndarray:
-    words = (text or "").split()
-    if not words:
-        return np.empty(0, dtype=np.uint64)
-    ids = tokens.look_up(words)
-    h = tokens.rows[ids]
-    return h[h != 0]
+def words_of(texts: list[str | None]) -> Words:
+    """Lower-case runs of letters and digits, their hashes at least 2."""
+    w = Words([(t or "").lower() for t in texts], SIGNS)
+    np.maximum(w.hash, np.uint64(2), out=w.hash)
+    return w
 
 
 def grams(h: np.ndarray) -> np.ndarray:
@@ -67,13 +48,20 @@ def grams(h: np.ndarray) -> np.ndarray:
     m = len(h) - N + 1
     if m <= 0:
         return np.empty(0, dtype=np.uint64)
-    out = np.zeros(m, dtype=np.uint64)
-    for i in range(N):
-        out = (out ^ h[i : i + m]) * np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(32)
+    out = h[:m]
+    for i in range(1, N):
+        out = mixed(out, h[i : i + m])
     return out
 
 
+def seeds_in(w: Words, lookup: Lookup) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, word place in it, key) of the known grams in some texts."""
+    at, key = lookup.find(grams(w.hash))
+    inside = w.owner[at] == w.owner[at + N - 1]
+    at, key = at[inside], key[inside]
+    return w.owner[at], at - w.begin[w.owner[at]], key
+
+
 class Lookup:
     """Membership and place in a sorted set of hashes, behind a bitmap."""
 
@@ -129,11 +117,8 @@ class Matcher:
         self.sets = [np.unique(w) for _, w in items]
         self.memo: dict[tuple[int, bytes], float] = {}
 
-    def regions(self, words: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(item, from, to) for the document's candidate regions."""
-        at, key = self.lookup.find(grams(words))
-        if not len(at):
-            return
+    def regions(self, n_words: int, at: np.ndarray, key: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(item, from, to) for the candidate regions of a document with these seeds."""
         size = np.array([len(self.places[k]) for k in key])
         hit = np.concatenate([self.places[k] for k in key])
         item, diagonal = hit[:, 0], np.repeat(at, size) - hit[:, 1]
@@ -144,29 +129,35 @@ class Matcher:
         starts = np.flatnonzero(new)
         for s, e in zip(starts.tolist(), np.append(starts[1:], len(item)).tolist(), strict=True):
             n = int(length[s])
-            yield int(item[s]), max(0, int(diagonal[s]) - n // 2), min(len(words), int(diagonal[e - 1]) + n + n // 2)
+            yield int(item[s]), max(0, int(diagonal[s]) - n // 2), min(n_words, int(diagonal[e - 1]) + n + n // 2)
 
-    def match(self, docs: list[np.ndarray]) -> list[dict[int, float]]:
-        """For each document: item id -> score, where it reaches THRESHOLD."""
+    def match(self, texts: list[str | None]) -> list[dict[int, float]]:
+        """For each text: item id -> score, where it reaches THRESHOLD."""
         if len(self.memo) > 50_000:
             self.memo = {}
+        w = words_of(texts)
+        owner, place, key = seeds_in(w, self.lookup)
         asked: list[tuple[int, int, tuple[int, bytes]]] = []
         open_: dict[tuple[int, bytes], np.ndarray] = {}
-        for d, words in enumerate(docs):
-            for k, s, e in self.regions(words):
+        starts = run_starts(owner)
+        ends = np.append(w.begin[1:], len(w.hash))
+        for a, b in zip(starts.tolist(), np.append(starts[1:], len(owner))[: len(starts)].tolist(), strict=True):
+            i = int(owner[a])
+            words = w.hash[w.begin[i] : ends[i]]
+            for k, s, e in self.regions(len(words), place[a:b], key[a:b]):
                 part = words[s:e]
                 if np.isin(self.sets[k], part).sum() < SHARED * len(self.sets[k]):
                     continue
-                key = (k, part.tobytes())
-                asked.append((d, k, key))
-                if key not in self.memo:
-                    open_[key] = part
+                at = (k, part.tobytes())
+                asked.append((i, k, at))
+                if at not in self.memo:
+                    open_[at] = part
         todo = sorted(open_, key=lambda x: len(x[1]))
         for at in range(0, len(todo), 128):
             some = todo[at : at + 128]
             score = smith_waterman([self.items[k][1] for k, _ in some], [open_[x] for x in some])
             self.memo.update({x: float(s) / (2 * len(self.items[x[0]][1])) for x, s in zip(some, score, strict=True)})
-        out: list[dict[int, float]] = [{} for _ in docs]
+        out: list[dict[int, float]] = [{} for _ in texts]
         for d, k, key in asked:
             if (s := self.memo[key]) >= THRESHOLD:
                 i = self.items[k][0]
@@ -179,11 +170,10 @@ def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, np.ndarray]]]:
     known = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
     n = max(1, -(-known.count() // ITEMS))
     for k in range(n):
-        tokens = TokenTable(word_hashes)
         rows = known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()
         out = []
         for r in sorted(rows, key=lambda r: (r.item_id, r.text)):
-            h = hashed(r.text, tokens)
+            h = words_of([r.text]).hash
             cuts = -(-len(h) // PIECE)
             out += [(r.item_id, p) for p in (np.array_split(h, cuts) if cuts else []) if len(p) >= N]
         yield out
@@ -194,11 +184,11 @@ def frequencies(docs: DataFrame, items: list[tuple[int, np.ndarray]]) -> dict[in
     lookup = Lookup(np.concatenate([grams(w) for _, w in items]) if items else np.empty(0, dtype=np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, n = TokenTable(word_hashes), np.zeros(len(lookup.keys), dtype=np.int64)
-        for batch in batches:
-            tokens.begin()
-            for t in batch["text"].to_pylist():
-                n[np.unique(lookup.find(grams(hashed(t, tokens)))[1])] += 1
+        n = np.zeros(len(lookup.keys), dtype=np.int64)
+        for part in chain.from_iterable(map(slices, batches)):
+            owner, _, key = seeds_in(words_of(part["text"].to_pylist()), lookup)
+            if len(key):
+                n += np.bincount(np.unique(owner * len(n) + key) % len(n), minlength=len(n))
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["k", "n"])
 
@@ -215,10 +205,8 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         matcher = Matcher(items, frequencies(docs, items))
 
         def run(batches: Iterator[pa.RecordBatch], matcher: Matcher = matcher) -> Iterator[pa.RecordBatch]:
-            tokens = TokenTable(word_hashes)
-            for batch in batches:
-                tokens.begin()
-                found = matcher.match([hashed(t, tokens) for t in batch["text"].to_pylist()])
+            for batch in chain.from_iterable(map(slices, batches)):
+                found = matcher.match(batch["text"].to_pylist())
                 at = pa.array([i for i, x in enumerate(found) for _ in x], pa.int64())
                 item = pa.array([int(k) for x in found for k in sorted(x)], pa.int64())
                 score = pa.array([x[k] for x in found for k in sorted(x)], pa.float64())
@@ -235,10 +223,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         matcher = Matcher(items, frequencies(docs, items))
 
         def run(batches: Iterator[pa.RecordBatch], matcher: Matcher = matcher) -> Iterator[pa.RecordBatch]:
-            tokens = TokenTable(word_hashes)
-            for batch in batches:
-                tokens.begin()
-                found = matcher.match([hashed(t, tokens) for t in batch["text"].to_pylist()])
+            for batch in chain.from_iterable(map(slices, batches)):
+                found = matcher.match(batch["text"].to_pylist())
                 yield batch.filter(pa.array([not x for x in found], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)

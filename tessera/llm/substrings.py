@@ -15,7 +15,7 @@ rows that share a doc_id don't count against each other; a window that only repe
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -23,9 +23,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
-from .common import TokenTable, materialize, run_starts, sorted_groups
+from .common import TokenTable, Words, materialize, mixed, run_starts, slices, sorted_groups
 
 WINDOW = 13
 GRAM = 7
@@ -168,17 +167,6 @@ class FMIndex:
         return result
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter((xxh64_intdigest(w, 9) for w in words), dtype=np.uint64, count=len(words))
-
-
-def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    out = (a * np.uint64(0x9E3779B97F4A7C15)) ^ b
-    out ^= out >> np.uint64(29)
-    out *= np.uint64(0xD6E8FEB86659FD93)
-    return out
-
-
 def gram_hashes(h: np.ndarray) -> np.ndarray:
     """Hash of each run of GRAM words, by overlapping halves."""
     two = mixed(h[:-1], h[1:])
@@ -197,37 +185,21 @@ def split(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").split()
 
 
-def runs_of_anchors(texts: list[str | None], tokens: TokenTable):
-    """(words of all texts on end, where each begins, gram hashes, owner, from, to and anchor of each run of windows)."""
-    each = [split(t) for t in texts]
-    words = list(chain.from_iterable(each))
-    size = np.fromiter(map(len, each), dtype=np.int64, count=len(each))
-    begin = np.cumsum(size) - size
+def runs_of_anchors(w: Words):
+    """(gram hashes, owner, from, to and anchor of each run of windows)."""
     none = np.empty(0, dtype=np.int64)
-    if len(words) < WINDOW:
-        return words, begin, none, none, none, none, none
-    ids = tokens.look_up(words)
-    g = gram_hashes(tokens.rows[ids])
+    if len(w.hash) < WINDOW:
+        return none, none, none, none, none
+    g = gram_hashes(w.hash)
     a = window_anchors(g)
-    of = np.repeat(np.arange(len(each)), size)
-    owner = of[: len(a)]
-    inside = owner == of[WINDOW - 1 :]
+    owner = w.owner[: len(a)]
+    inside = owner == w.owner[WINDOW - 1 :]
     new = inside.copy()
     new[1:] &= (a[1:] != a[:-1]) | ~inside[:-1]  # a window that crosses texts ends a run
     start = np.flatnonzero(new)
     stops = np.flatnonzero(np.append(new | ~inside, True))
     end = stops[np.searchsorted(stops, start, side="right")]
-    return words, begin, g, owner[start], start, end, a[start]
-
-
-def slices(batch: pa.RecordBatch, characters: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """Pieces of a batch of about so many characters of text, whole rows each."""
-    size = np.cumsum([len(t or "") for t in batch["text"].to_pylist()])
-    at = 0
-    while at < len(batch):
-        to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + characters)))
-        yield batch.slice(at, to - at)
-        at = to
+    return g, owner[start], start, end, a[start]
 
 
 def anchors(docs: DataFrame) -> DataFrame:
@@ -235,10 +207,8 @@ def anchors(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = TokenTable(word_hashes)
         for part in chain.from_iterable(map(slices, batches)):
-            tokens.begin()
-            _, _, _, owner, _, _, anchor = runs_of_anchors(part["text"].to_pylist(), tokens)
+            _, owner, _, _, anchor = runs_of_anchors(Words(part["text"].to_pylist()))
             yield pa.RecordBatch.from_arrays([part["doc_id"].take(pa.array(owner)), pa.array(anchor)], ["doc_id", "anchor"])
 
     return docs.mapInArrow(run, f"doc_id {kind}, anchor long")
@@ -250,10 +220,9 @@ def segments(candidates: DataFrame) -> DataFrame:
     names = ["anchor", "part", "segment", "doc_id", "mark", "start"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = TokenTable(word_hashes)
         for part in chain.from_iterable(map(slices, batches)):
-            tokens.begin()
-            words, begin, g, owner, start, end, anchor = runs_of_anchors(part["text"].to_pylist(), tokens)
+            words = Words(part["text"].to_pylist())
+            g, owner, start, end, anchor = runs_of_anchors(words)
             size = part["shared"].value_lengths().to_numpy(zero_copy_only=False)
             flat = part["shared"].flatten()
             pair = lambda who, a: a.view(np.uint64) ^ ((who.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
@@ -276,15 +245,51 @@ def segments(candidates: DataFrame) -> DataFrame:
             if hot.any():
                 w = start[hot]
                 deal[hot] = (mixed(g[w], g[w + WINDOW - GRAM]) >> np.uint64(8)) % n[hot].astype(np.uint64)
-            segment = [b" ".join(words[a:b]) for a, b in zip(start.tolist(), (end + WINDOW - 1).tolist(), strict=True)]
+            ends = words.end[end + WINDOW - 2]
+            segment = [words.data[a:b] for a, b in zip(words.start[start].tolist(), ends.tolist(), strict=True)]
             take = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor), pa.array(deal), pa.array(segment, pa.binary()), part["doc_id"].take(take), part["mark"].take(take), pa.array((start - begin[owner]).astype(np.int32))], names
+                [pa.array(anchor), pa.array(deal), pa.array(segment, pa.binary()), part["doc_id"].take(take), part["mark"].take(take), pa.array((start - words.begin[owner]).astype(np.int32))], names
             )
 
     return candidates.select("doc_id", "text", "mark", "shared").mapInArrow(run, f"anchor long, part int, segment binary, doc_id {kind}, mark long, start int")
 
 
+def least_owners(segments: Sequence[bytes], owners: np.ndarray) -> list[np.ndarray]:
+    """For each window of each segment the smallest owner among all segments that hold it.
+
+    A window with a word that occurs once in the shard occurs once, so segments are cut at such words and only pieces of a
+    window and more are indexed and searched.
+    """
+    ids = TokenTable.Ids()
+    ids[b""] = 0
+    each = [s.split() for s in segments]
+    size = np.fromiter(map(len, each), dtype=np.int64, count=len(each))
+    flat = np.fromiter(map(ids.__getitem__, chain.from_iterable(each)), dtype=np.int64, count=int(size.sum()))
+    begin = np.cumsum(size) - size
+    windows = np.maximum(size - WINDOW + 1, 0)
+    at = np.cumsum(windows) - windows
+    out = np.repeat(owners, windows)
+    common = np.bincount(flat, minlength=len(ids))[flat] > 1
+    new = common.copy()
+    new[1:] &= ~common[:-1]
+    new[begin[size > 0]] = common[begin[size > 0]]
+    edges = np.append(np.flatnonzero(new | ~common), len(flat))
+    start = np.flatnonzero(new)
+    end = edges[np.searchsorted(edges, start, side="right")]
+    long = end - start >= WINDOW
+    start, end = start[long], end[long]
+    if len(start):
+        seen, number = np.unique(np.concatenate([flat[a:b] for a, b in zip(start, end, strict=True)]), return_inverse=True)
+        pieces = np.split(number + 1, np.cumsum(end - start)[:-1])
+        of = np.searchsorted(begin, start, side="right") - 1
+        found = FMIndex(pieces, owners[of], len(seen) + 1).statistics(pieces, np.iinfo(np.int64).max)
+        to = at[of] + start - begin[of]
+        spread = np.repeat(to - np.cumsum([0, *map(len, found[:-1])]), [len(f) for f in found]) + np.arange(sum(map(len, found)))
+        out[spread] = np.concatenate(found)
+    return np.split(out, np.cumsum(windows)[:-1]) if len(windows) else []
+
+
 def search(distinct: DataFrame) -> DataFrame:
     """distinct(anchor, part, segment, least, n) to rows (anchor, sid, mins): for each segment that may matter the smallest document of
     each of its windows."""
@@ -292,14 +297,10 @@ def search(distinct: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in sorted_groups(batches, keys, SEGMENTS):
-            ids = TokenTable.Ids()
-            ids[b""] = 0
-            sequences = [np.fromiter(map(ids.__getitem__, s.split()), dtype=np.int64) for s in pdf["segment"]]
-            owners = pdf["least"].to_numpy().astype(np.int64)
-            index = FMIndex(sequences, owners, len(ids))
-            mins = index.statistics(sequences, np.iinfo(np.int64).max)
+            mins = least_owners(pdf["segment"], pdf["least"].to_numpy().astype(np.int64))
+            owners = pdf["least"].to_numpy()
             keep = [i for i, (m, d, n) in enumerate(zip(mins, owners, pdf["n"], strict=True)) if n > 1 or (m < d).any()]
-            yield pd.DataFrame({"anchor": pdf["anchor"].iloc[keep], "sid": pdf["sid"].iloc[keep], "mins": [mins[i] for i in keep]})
+            yield pd.DataFrame({"anchor": pdf["anchor"].iloc[keep], "sid": pdf["sid"].iloc[keep], "mins": pd.Series([mins[i] for i in keep], index=pdf.index[keep], dtype=object)})
 
     shuffle = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = distinct.repartition(shuffle, *keys).sortWithinPartitions(*keys)

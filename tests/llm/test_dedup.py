@@ -226,3 +226,23 @@ def test_wavelet_ranks():
     assert w.rank(c, at).tolist() == [int((s[:i] == k).sum()) for k, i in zip(c, at, strict=True)]
 
 
+
+
+def test_segments_are_cut_at_words_that_occur_once():
+    rng = random.Random(1)
+    base = [[rng.choice("abcdefgh") for _ in range(40)] for _ in range(5)]
+    segments, owners = [], []
+    for i in range(300):
+        w = list(rng.choice(base))[rng.randint(0, 20) :][: rng.randint(0, 30)]
+        if rng.random() < 0.5 and w:
+            w[rng.randrange(len(w))] = f"once{i}"
+        segments.append(" ".join(w).encode())
+        owners.append(rng.randint(0, 1000))
+    least = {}
+    windows = [[tuple(s.split()[i : i + 13]) for i in range(max(0, len(s.split()) - 12))] for s in segments]
+    for ws, d in zip(windows, owners, strict=True):
+        for k in ws:
+            least[k] = min(d, least.get(k, d))
+    got = substrings.least_owners(segments, np.array(owners))
+    assert [g.tolist() for g in got] == [[least[k] for k in ws] for ws in windows]
+    assert substrings.least_owners([], np.empty(0, dtype=np.int64)) == []
