@@ -43,11 +43,13 @@ def levels(text: str | None) -> list[tuple[int, str]]:
         # a bar marks a quote only at the line's start and with text behind it, as ">" does
         level = sum(c in ">»|" for c in m[1]) if m and (m[1].strip()[0] in ">»") else 0
         out.append((level, line[m.end() :] if level else line))
+    below = 0  # level of the next line with text
     for i in range(len(out) - 1, -1, -1):
         level, line = out[i]
-        below = next((x for x in out[i + 1 :] if x[1].strip()), (0, ""))[0]
         if below > level and ATTRIBUTION.match(line.strip()):
             out[i] = (-1, line)
+        if line.strip():
+            below = level
     return out
 
 
