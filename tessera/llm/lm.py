@@ -1,10 +1,15 @@
 """LM scoring: a hashed maximum-entropy model with a class-factored softmax, beside an exact unigram base.
 
-P(word | history) = P(class | history) P(word | class). The TOP most frequent tokens of the corpus are classes of their own, the
-others share REST classes by the hash of their ending. P(class | history) is a maximum-entropy model over hashed features: the
-previous word, the previous two, and the one before the previous (a skip). P(word | class) is the add-one share of the word among its class. The weights
-are trained by distributed gradient updates: in every round each task runs minibatch Adagrad over its training documents from the
-common weights and returns its change; the changes, weighted by tokens, are averaged (iterative parameter mixing).
+P(word | history) = P(class | history) P(leaf | class, history) P(word | leaf). The TOP most frequent tokens of the corpus are
+classes of their own, the others share REST classes by the hash of their ending. P(class | history) is a maximum-entropy model
+over hashed features: the previous word, the previous two, and the one before the previous (a skip). Below a class its words are
+the leaves of a binary tree by bits of their hash; each inner node is a two-way maximum-entropy model over the same features,
+whose bias is the exact share of its sides, so that P(leaf | class, history) is a trained, normalised factor too. Words of one leaf
+share it by their add-one counts. Leaves, weights and class buckets grow with the corpus as its vocabulary does (Shape).
+
+The weights are trained by distributed gradient updates: in every round each task runs minibatch Adagrad over its training
+documents from the common weights and returns its change; a weight's changes, weighted by tokens, are averaged over the tasks that
+moved it (iterative parameter mixing).
 
 Counts are exact over all training documents. Documents are dealt by hash into blocks; a block counts its words, words meet by
 key once, and only totals of words that occur in several blocks travel back, so nothing of the vocabulary's size is ever
@@ -41,6 +46,68 @@ BATCH = 1 << 15
 SLICES = 32
 #: Characters of text a block holds about.
 BLOCK = 8_000_000
+MIX, TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+class Shape:
+    """Sizes that follow the corpus: about chars ** (2 / 3) leaves (Heaps' law), twice as many node weights."""
+
+    def __init__(self, chars: int):
+        most = max(1, int(chars ** (2 / 3)))
+        self.levels = max(0, (most // REST).bit_length() - 1)
+        self.weight_bits = max(16, most.bit_length())
+        self.bucket_bits = max(14, self.weight_bits - 6)
+        self.leaves = REST << self.levels
+
+    def leaf(self, h: np.ndarray, k: np.ndarray) -> np.ndarray:
+        """Leaf of words of the REST classes k with hashes h."""
+        code = (h * TURN) >> np.uint64(64 - self.levels) if self.levels else np.zeros_like(h)
+        return ((k.astype(np.int64) - TOP) << self.levels) + code.astype(np.int64)
+
+
+def node_bias(leaf_mass: np.ndarray, shape: Shape) -> np.ndarray:
+    """Log odds of the right side of each node; those of class k at (k - TOP) << levels, from 1 on in breadth-first order."""
+    out = np.zeros((REST, 1 << shape.levels), dtype=np.float32)
+    mass = leaf_mass.reshape(REST, -1).astype(np.float64)
+    for d in range(shape.levels - 1, -1, -1):
+        left, right = mass[:, 0::2], mass[:, 1::2]
+        out[:, 1 << d : 2 << d] = np.log(right / left)
+        mass = left + right
+    return out.ravel()
+
+
+def node_steps(nodes: np.ndarray, bias: np.ndarray, shape: Shape, x: np.ndarray, leaf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(log odds, side taken, weights used) at each level of the way to the leaves, after histories x."""
+    code, tree = leaf & ((1 << shape.levels) - 1), (leaf >> shape.levels) << shape.levels
+    for d in range(shape.levels):
+        at = tree + ((1 << d) | (code >> (shape.levels - d)))
+        used = ((x ^ (at.astype(np.uint64) * TURN)[:, None]) * MIX >> np.uint64(64 - shape.weight_bits)).astype(np.int64)
+        yield bias[at] + nodes[used].sum(axis=1), code >> (shape.levels - d - 1) & 1, used
+
+
+def log_leaves(nodes: np.ndarray, bias: np.ndarray, shape: Shape, x: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+    """Natural log-probabilities of the leaves within their classes after histories x."""
+    out = np.zeros(len(leaf))
+    for z, right, _ in node_steps(nodes, bias, shape, x, leaf):
+        out -= np.logaddexp(0, np.where(right == 1, -z, z))
+    return out
+
+
+def node_step(nodes: np.ndarray, bias: np.ndarray, seen: np.ndarray, scratch: np.ndarray, shape: Shape, x: np.ndarray, leaf: np.ndarray) -> None:
+    """One Adagrad update of the nodes on a minibatch, in place; scratch is zero before and after."""
+    held, sums = [], []
+    for z, right, used in node_steps(nodes, bias, shape, x, leaf):
+        held.append(used.ravel())
+        sums.append(np.repeat(1 / (1 + np.exp(-z)) - right, FEATURES))
+    if not held or not len(leaf):
+        return
+    used = np.concatenate(held)
+    np.add.at(scratch, used, np.concatenate(sums).astype(np.float32))
+    moved = np.flatnonzero(scratch) if len(used) > len(scratch) // 8 else np.unique(used)
+    g = scratch[moved]
+    seen[moved] += g * g
+    nodes[moved] -= RATE * g / np.sqrt(seen[moved])
+    scratch[moved] = 0
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -64,20 +131,23 @@ def word_values(top: dict[bytes, int]):
 
 
 def features(h: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """(n, FEATURES) buckets of each token's history; h: hashes of documents on end, first: where a document begins."""
+    """(n, FEATURES) hashes of each token's history; h: hashes of documents on end, first: where a document begins."""
     n = len(h)
     back = np.arange(n) - np.maximum.accumulate(np.where(first, np.arange(n), 0))  # words before the token in its document
     prior = [np.zeros(n, dtype=np.uint64) for _ in range(2)]
     for d, p in enumerate(prior, 1):
         p[d:] = np.where(back[d:] >= d, h[:-d], np.uint64(d))
-    mix = np.uint64(0x9E3779B97F4A7C15)
-    out = np.empty((n, FEATURES), dtype=np.int64)
-    for j, x in enumerate((prior[0], (prior[1] * mix) ^ prior[0], prior[1])):
-        x = (x + np.uint64(j)) * mix
-        out[:, j] = (x >> np.uint64(64 - 14)).astype(np.int64)
+    out = np.empty((n, FEATURES), dtype=np.uint64)
+    for j, x in enumerate((prior[0], (prior[1] * MIX) ^ prior[0], prior[1])):
+        out[:, j] = (x + np.uint64(j)) * MIX
     return out
 
 
+def buckets_of(x: np.ndarray, bits: int) -> np.ndarray:
+    """Buckets of history hashes."""
+    return (x >> np.uint64(64 - bits)).astype(np.int64)
+
+
 def logits(weights: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
     """Scores of the classes after each history, less the largest."""
     z = weights[f[:, 0]]
@@ -100,35 +170,39 @@ def sgd_step(weights: np.ndarray, bias: np.ndarray, seen: np.ndarray, f: np.ndar
     np.exp(g, out=g)
     g /= g.sum(axis=1, keepdims=True)
     g[np.arange(len(c)), c] -= 1
-    # a class at a time, whose sums by bucket fit the processor's cache
-    total, columns = np.zeros((CLASSES, BUCKETS)), [np.ascontiguousarray(f[:, j]) for j in range(FEATURES)]
+    # a class at a time, whose sums by bucket in use fit the processor's cache
+    moved, f = np.unique(f, return_inverse=True)
+    f = f.reshape(-1, FEATURES)
+    total, columns = np.zeros((CLASSES, len(moved))), [np.ascontiguousarray(f[:, j]) for j in range(FEATURES)]
     for k, own in enumerate(np.ascontiguousarray(g.T, dtype=np.float64)):
         for at in columns:
-            total[k] += np.bincount(at, weights=own, minlength=BUCKETS)
+            total[k] += np.bincount(at, weights=own, minlength=len(moved))
     total = np.ascontiguousarray(total.T, dtype=np.float32)
-    seen += (total * total).sum(axis=1) / CLASSES
-    weights -= RATE * total / np.sqrt(seen)[:, None]
+    seen[moved] += (total * total).sum(axis=1) / CLASSES
+    weights[moved] -= RATE * total / np.sqrt(seen[moved])[:, None]
     bias -= 0.02 * g.mean(axis=0)
 
 
 class Model:
-    def __init__(self, top: dict[bytes, int], mass: np.ndarray, n: int, v: int, weights: np.ndarray, bias: np.ndarray):
-        """top: class of the most frequent tokens; mass: sum of count + 1 in each class; n, v: training tokens, distinct."""
-        self.top, self.mass, self.n, self.v, self.weights, self.bias = top, mass, n, v, weights, bias
+    def __init__(self, top: dict[bytes, int], leaf_mass: np.ndarray, n: int, v: int, shape: Shape, weights: np.ndarray, bias: np.ndarray, nodes: np.ndarray):
+        """top: class of the most frequent tokens; leaf_mass: sum of count + 1 in each leaf; n, v: training tokens, distinct."""
+        self.top, self.leaf_mass, self.n, self.v, self.shape = top, leaf_mass, n, v, shape
+        self.weights, self.bias, self.nodes = weights, bias, nodes
 
 
 def with_block(docs: DataFrame, modulus: int, held: int) -> tuple[DataFrame, int]:
-    """Rows (block, doc_id, held_out, text) dealt evenly by block, and the number of blocks."""
+    """Rows (block, doc_id, held_out, text) dealt evenly by block, and the number of characters."""
     chars = docs.agg(F.sum(F.length("text")).alias("n")).first().n or 0
     blocks = max(1, -(-chars // BLOCK))
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % modulus == held
     placed = docs.select(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)).alias("block"), "doc_id", fold.alias("held_out"), "text")
-    return placed.repartition(blocks, "block"), blocks
+    return placed.repartition(blocks, "block"), chars
 
 
-def gather(docs: DataFrame, modulus: int, held: int) -> tuple[DataFrame, int, int, dict[bytes, int], np.ndarray]:
-    """(totals, N, V, top, mass): totals(block, word, total) for the words that several blocks have."""
-    placed, blocks = with_block(docs, modulus, held)
+def gather(docs: DataFrame, modulus: int, held: int) -> tuple[DataFrame, int, int, dict[bytes, int], np.ndarray, np.ndarray, Shape]:
+    """(totals, N, V, top, class masses, leaf masses, shape): totals(block, word, total) for the words that several blocks have."""
+    placed, chars = with_block(docs, modulus, held)
+    shape = Shape(chars)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by: dict[int, Counter] = defaultdict(Counter)
@@ -145,7 +219,7 @@ def gather(docs: DataFrame, modulus: int, held: int) -> tuple[DataFrame, int, in
 
     # a word's group has at most one row a block
     def total(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        mass, n, v, best = np.zeros(CLASSES, dtype=np.int64), 0, 0, Counter()
+        mass, n, v, best = np.zeros(shape.leaves, dtype=np.int64), 0, 0, Counter()
         left = None
         for pdf in chain((b for b in batches if len(b)), (None,)):
             if pdf is None:
@@ -165,70 +239,93 @@ def gather(docs: DataFrame, modulus: int, held: int) -> tuple[DataFrame, int, in
             known = np.flatnonzero(totals > 0)
             n, v = n + int(totals.sum()), v + len(known)
             kinds = np.fromiter((rest_class(w) for w in word[starts[known]]), dtype=np.int64, count=len(known))
-            mass += np.bincount(kinds, weights=totals[known] + 1, minlength=CLASSES).astype(np.int64)
+            hashes = np.fromiter((xxh64_intdigest(w, 10) for w in word[starts[known]]), dtype=np.uint64, count=len(known))
+            np.add.at(mass, shape.leaf(hashes, kinds), totals[known] + 1)
             for i in known[np.argsort(-totals[known], kind="stable")[: 4 * TOP]]:
                 best[word[starts[i]]] = int(totals[i])
             best = Counter(dict(sorted(best.items(), key=lambda x: (-x[1], x[0]))[:TOP]))
             many = np.repeat(size > 1, size)
             yield pd.DataFrame({"block": whole["block"].to_numpy()[many], "word": word[many], "total": np.repeat(totals, size)[many], "kind": np.int32(0)})
-        own = [(-1, b"", n, 1), (-1, b"", v, 2), *((k, b"", int(m), 3) for k, m in enumerate(mass) if m), *((-1, w, c, 4) for w, c in best.items())]
+        own = [(-1, b"", n, 1), (-1, b"", v, 2), *((-1, w, c, 4) for w, c in best.items())]
         yield pd.DataFrame(own, columns=["block", "word", "total", "kind"])
+        leaves = np.flatnonzero(mass)
+        yield pd.DataFrame({"block": leaves, "word": b"", "total": mass[leaves], "kind": np.int32(3)})
+
+    def slice_(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = np.zeros(1 << 16, dtype="<i8")
+        x[pdf["block"].to_numpy() & 0xFFFF] = pdf["total"]
+        return pd.DataFrame({"slice": [int(pdf["block"].iloc[0]) >> 16], "mass": [x.tobytes()]})
 
     shuffle = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = pairs.repartition(shuffle, "word").sortWithinPartitions("word", "block")
     found = materialize(found.mapInPandas(total, "block long, word binary, total long, kind int"), "totals")
-    # a bounded number of rows from each task: sums by kind and class, and candidates for the TOP words
-    sums = {(r.kind, r.block): r.total for r in found.where("kind in (1, 2, 3)").groupBy("kind", "block").agg(F.sum("total").alias("total")).collect()}
+    # a bounded number of rows from each task: sums by kind, and candidates for the TOP words
+    sums = {r.kind: r.total for r in found.where("kind in (1, 2)").groupBy("kind").agg(F.sum("total").alias("total")).collect()}
     first = found.where("kind = 4").orderBy(F.desc("total"), "word").limit(TOP).collect()
-    mass = np.array([sums.get((3, k), 0) for k in range(CLASSES)], dtype=np.float64)
-    mass[TOP:] += 1  # the unknown word of each class
-    top = {}
+    by_leaf = found.where("kind = 3").groupBy("block").agg(F.sum("total").alias("total"))
+    by_slice = by_leaf.groupBy(F.shiftright("block", 16)).applyInPandas(slice_, "slice long, mass binary").collect()
+    leaf_mass = np.zeros(-(-shape.leaves // (1 << 16)) << 16, dtype=np.float64)
+    for r in by_slice:
+        leaf_mass[r.slice << 16 : (r.slice + 1) << 16] = np.frombuffer(r.mass, dtype="<i8")
+    leaf_mass = leaf_mass[: shape.leaves] + 1  # the unknown word of each leaf
+    top, mass = {}, np.zeros(CLASSES)
     for k, r in enumerate(first):
         w = bytes(r.word)
         top[w] = k
         mass[k] = r.total + 1
-        mass[rest_class(w)] -= r.total + 1
-    return found.where("kind = 0").select("block", "word", "total"), sums.get((1, -1), 0), sums.get((2, -1), 0), top, mass
+        leaf_mass[shape.leaf(np.array([xxh64_intdigest(w, 10)], dtype=np.uint64), np.array([rest_class(w)]))] -= r.total + 1
+    mass[TOP:] = leaf_mass.reshape(REST, -1).sum(axis=1)
+    return found.where("kind = 0").select("block", "word", "total"), sums.get(1, 0), sums.get(2, 0), top, mass, leaf_mass, shape
 
 
-def train(docs: DataFrame, top: dict[bytes, int], mass: np.ndarray, modulus: int, held: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and bias after some rounds over every training document."""
-    weights = np.zeros((BUCKETS, CLASSES), dtype=np.float32)
+def train(docs: DataFrame, top: dict[bytes, int], mass: np.ndarray, leaf_mass: np.ndarray, shape: Shape, modulus: int, held: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class weights, class bias and node weights after some rounds over every training document."""
+    buckets, size = 1 << shape.bucket_bits, 1 << shape.weight_bits
+    weights, nodes = np.zeros((buckets, CLASSES), dtype=np.float32), np.zeros(size, dtype=np.float32)
     bias = np.log(np.maximum(mass, 1e-3) / max(mass.sum(), 1)).astype(np.float32)
+    odds = node_bias(leaf_mass, shape)
     for _ in range(rounds):
 
-        def run(batches: Iterator[pa.RecordBatch], w0: np.ndarray = weights, b0: np.ndarray = bias) -> Iterator[pa.RecordBatch]:
-            w, b, seen = w0.copy(), b0.copy(), np.ones(BUCKETS, dtype=np.float32)
+        def run(batches: Iterator[pa.RecordBatch], w0: np.ndarray = weights, b0: np.ndarray = bias, v0: np.ndarray = nodes) -> Iterator[pa.RecordBatch]:
+            w, b, seen = w0.copy(), b0.copy(), np.ones(buckets, dtype=np.float32)
+            v, seen_v, scratch = v0.copy(), np.ones(size, dtype=np.float32), np.zeros(size, dtype=np.float32)
             tokens, n = TokenTable(word_values(top)), 0
             for batch in batches:
                 tokens.begin()
                 keep = [t for i, t in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True) if crc_fold(i, modulus) != held]
                 for x, first in pieces_of(keep, tokens):
-                    f, c = features(x[:, 0], first), x[:, 1].astype(np.int64)
+                    past, c = features(x[:, 0], first), x[:, 1].astype(np.int64)
+                    f, rest = buckets_of(past, shape.bucket_bits), c >= TOP
                     for at in range(0, len(c), BATCH):
-                        sgd_step(w, b, seen, f[at : at + BATCH], c[at : at + BATCH])
+                        some = slice(at, at + BATCH)
+                        sgd_step(w, b, seen, f[some], c[some])
+                        own = rest[some]
+                        node_step(v, odds, seen_v, scratch, shape, past[some][own], shape.leaf(x[some, 0][own], c[some][own]))
                     n += len(c)
             if n:
-                change = np.concatenate(((w - w0).reshape(SLICES, -1), np.tile(b - b0, (SLICES, 1))), axis=1)
+                change = np.concatenate(((w - w0).reshape(SLICES, -1), (v - v0).reshape(SLICES, -1), np.tile(b - b0, (SLICES, 1))), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLICES, dtype=np.int32)), pa.array(np.full(SLICES, n)), pa.array([x.astype("<f4").tobytes() for x in change], pa.binary())], ["slice", "n", "change"])
 
         def mean(pdf: pd.DataFrame) -> pd.DataFrame:
-            total, n = None, 0
+            total, n = None, None
             for k, c in sorted(zip(pdf["n"], pdf["change"], strict=True)):
-                x = np.frombuffer(c, dtype="<f4").astype(np.float64) * k
-                total, n = x if total is None else total + x, n + k
-            return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "n": [n], "change": [(total / n).astype("<f4").tobytes()]})
+                x = np.frombuffer(c, dtype="<f4").astype(np.float64)
+                total, n = (np.zeros(len(x)), np.zeros(len(x))) if total is None else (total, n)
+                total += x * k
+                n += (x != 0) * float(k)
+            return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "n": [int(pdf["n"].sum())], "change": [(total / np.maximum(n, 1)).astype("<f4").tobytes()]})
 
         kind = "slice int, n long, change binary"
         rows = docs.select("doc_id", "text").mapInArrow(run, kind).groupBy("slice").applyInPandas(mean, kind).collect()
-        weights, bias = weights.copy(), bias.copy()
-        per = BUCKETS // SLICES
+        weights, bias, nodes = weights.copy(), bias.copy(), nodes.copy()
+        per, own = buckets // SLICES, size // SLICES
         for r in rows:
             x = np.frombuffer(r.change, dtype="<f4")
             weights[r.slice * per : (r.slice + 1) * per] += x[: per * CLASSES].reshape(per, CLASSES)
+            nodes[r.slice * own : (r.slice + 1) * own] += x[per * CLASSES : per * CLASSES + own]
             if r.slice == 0:
-                bias += x[per * CLASSES :]
-    return weights, bias
+                bias += x[per * CLASSES + own :]
+    return weights, bias, nodes
 
 
 def pieces_of(texts: list[str | None], tokens: TokenTable, most: int = 1 << 16) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -268,7 +365,7 @@ def score_block(pdf: pd.DataFrame, answers: pd.DataFrame, model: Model) -> pd.Da
 
     tokens = TokenTable(values)
     base_all = np.log10(model.n + model.v + 1)
-    log_mass = np.log10(np.maximum(model.mass, 1))
+    odds, log_leaf = node_bias(model.leaf_mass, model.shape), np.log10(model.leaf_mass)
     rows = []
     for t in pdf["text"]:
         words = words_of(t)
@@ -278,14 +375,18 @@ def score_block(pdf: pd.DataFrame, answers: pd.DataFrame, model: Model) -> pd.Da
             x = tokens.rows[ids[at - lead : at + (1 << 14)]]
             first = np.zeros(len(x), dtype=bool)
             first[0] = at == 0
-            f = features(x[:, 0], first)[lead:]
+            past = features(x[:, 0], first)[lead:]
             x = x[lead:]
             c, k = x[:, 2].astype(np.int64), x[:, 1].astype(np.int64)
             known += int((c > 0).sum())
             own = np.log10(c + 1.0)
             base += float((own - base_all).sum())
-            p = log_classes(model.weights, model.bias, f)[np.arange(len(k)), k].astype(np.float64) / np.log(10)
-            score += float((p + own - log_mass[k]).sum())
+            f = buckets_of(past, model.shape.bucket_bits)
+            p = log_classes(model.weights, model.bias, f)[np.arange(len(k)), k].astype(np.float64)
+            rest = k >= TOP
+            leaf = model.shape.leaf(x[rest, 0], k[rest])
+            inner = log_leaves(model.nodes, odds, model.shape, past[rest], leaf)
+            score += float((p.sum() + inner.sum()) / np.log(10) + (own[rest] - log_leaf[leaf]).sum())
         rows.append((len(words), known, base, score))
     out = pd.DataFrame(rows, columns=["n_tokens", "n_known", "base_score", "score"])
     out.insert(0, "doc_id", pdf["doc_id"].to_numpy())
@@ -298,10 +399,10 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
     """Rows (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of docs. Learns from the rows
     whose crc32 of the id modulo modulus is not held."""
     docs = docs.select("doc_id", "text")
-    totals, n, v, top, mass = gather(docs, modulus, held)
-    weights, bias = train(docs, top, mass, modulus, held)
-    model = Model(top, mass, n, v, weights, bias)
-    placed, blocks = with_block(docs, modulus, held)
+    totals, n, v, top, mass, leaf_mass, shape = gather(docs, modulus, held)
+    weights, bias, nodes = train(docs, top, mass, leaf_mass, shape, modulus, held)
+    model = Model(top, leaf_mass, n, v, shape, weights, bias, nodes)
+    placed, _ = with_block(docs, modulus, held)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(pdf: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:

@@ -341,6 +341,31 @@ def test_lm_beats_its_base(spark):
     assert r.s > 0.8 * r.b
 
 
+def test_lm_learns_between_ordinary_words(spark):
+    """Words of one class, none of the most frequent alone, of which each follows from the one before."""
+    rng = random.Random(16)
+    words = [prose(rng, 1, [""]) + f"{k}xx" for k in range(300)]
+    rows = []
+    for i in range(500):
+        at = rng.randrange(300)
+        rows.append((i, " ".join(words[(at + j) % 300] for j in range(60))))
+    assert len({lm.rest_class(w.encode()) for w in words}) == 1
+    out = lm.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).where("held_out")
+    r = out.agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
+    assert r.s > 0.75 * r.b
+
+
+def test_leaf_probabilities_sum_to_one():
+    rng, shape = np.random.default_rng(17), lm.Shape(10**5)
+    assert lm.Shape(10**8).leaves > shape.leaves > lm.REST
+    mass, nodes = rng.integers(1, 50, shape.leaves), rng.normal(size=1 << shape.weight_bits).astype(np.float32)
+    past, bias = rng.integers(0, 1 << 63, (1, lm.FEATURES)).astype(np.uint64), lm.node_bias(mass, shape)
+    p = np.exp(lm.log_leaves(nodes, bias, shape, np.repeat(past, shape.leaves, axis=0), np.arange(shape.leaves)))
+    assert np.allclose(p.reshape(lm.REST, -1).sum(axis=1), 1, atol=1e-5)
+    plain = np.exp(lm.log_leaves(np.zeros_like(nodes), bias, shape, np.repeat(past, shape.leaves, axis=0), np.arange(shape.leaves)))
+    assert np.allclose(plain, mass / np.repeat(mass.reshape(lm.REST, -1).sum(axis=1), shape.leaves // lm.REST), rtol=1e-4)
+
+
 def test_class_probabilities_sum_to_one():
     rng = np.random.default_rng(15)
     w, b = rng.normal(size=(lm.BUCKETS, lm.CLASSES)).astype(np.float32), rng.normal(size=lm.CLASSES).astype(np.float32)
