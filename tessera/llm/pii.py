@@ -8,8 +8,11 @@ one, and two entities of a format never meet. Luhn remainders, IBAN check digits
 stay valid. The same entity, however written (case, separators), has the same surrogate in every document.
 
 Collision checks: the distinct entities of the corpus are gathered (pre-aggregated), and a surrogate that is a real entity of
-its kind, or another's surrogate, is drawn anew with the next attempt number until none is left. Those few exceptions travel
-with the tasks while they are at most EXCEPTIONS; beyond that they are joined to their documents.
+its kind, or another's surrogate, is drawn anew with the next attempt number. From attempt LEAVE on a listed given name leaves its list for
+made-up names of its gender's ending and script; from attempt WIDER on names and mail addresses grow by letters, more with every
+attempt, so that a format which the corpus fills is left too. Numbers can't grow: if one is not settled after ATTEMPTS, all entities
+of its format take the plain permutation, which keeps them distinct and moved though some surrogates are real there. The exceptions
+travel with the tasks while they are at most EXCEPTIONS; beyond that they are joined to their documents.
 
 Defined cases: null text stays null with 0 entities; empty text stays empty; where spans overlap the first and longest wins;
 repeated rows give repeated results; all other columns pass through unchanged.
@@ -32,7 +35,7 @@ from .common import fresh, materialize
 
 KEY = b"replace this key in production"
 EXCEPTIONS = 100_000
-ATTEMPTS = 32
+ATTEMPTS, LEAVE, WIDER = 32, 8, 16
 ROUNDS = 6
 
 # Letters by script, vowels first where names need them.
@@ -51,6 +54,8 @@ GIVEN = {
     "m": ["james john robert michael william david thomas charles peter paul hans karl jean pierre luis carlos juan pedro marco antonio".split(), "иван пётр сергей андрей николай дмитрий".split(), "γιώργος νίκος πέτρος κώστας".split()],
     "f": ["mary anna linda susan sarah karen emma julia laura maria marie claire sophie greta heidi carmen lucia elena rosa paula".split(), "анна мария ольга елена наталья ирина".split(), "ελένη σοφία κατερίνα άννα".split()],
 }
+#: Ends of made-up given names, in the order of the lists.
+ENDINGS = {"m": ("o", "н", "ος"), "f": ("a", "а", "α")}
 HEX = "0123456789abcdef"
 
 NAME = r"[^\W\d_]*(?:[^\W\d_a-zß-öø-ÿа-яα-ω])[^\W\d_]*(?:[-'’][^\W\d_]+)*"
@@ -102,6 +107,25 @@ def letters_of(c: str, kind: str) -> str:
     return c
 
 
+def wider(text: str, by: int) -> str:
+    """text and by more letters of its script, vowels and consonants in turn."""
+    for _ in range(by):
+        c = text[-1]
+        pairs = ((VOWELS, CONSONANTS), (CYRILLIC_VOWELS, CYRILLIC_CONSONANTS), (GREEK_VOWELS, GREEK_CONSONANTS))
+        sets = next((p for p in pairs if c in p[0] + p[1]), None)
+        if sets:
+            text += sets[c in sets[0]][0]
+        else:
+            text += c if len(letters_of(c, "name")) > len(ACCENTED_VOWELS) else "a"
+    return text
+
+
+def format_of(kind: str, norm: str) -> str:
+    """Entities of a kind with different formats never meet, whatever the attempt."""
+    hexed = kind in ("secret", "ipv6", "mac") and all(c in HEX + ":-" for c in norm)
+    return kind if kind == "ip" else "".join(letters_of(c, "hex" if hexed else kind)[0] for c in lower(norm))
+
+
 class Surrogates:
     """The keyed replacement of normal forms."""
 
@@ -175,6 +199,7 @@ class Surrogates:
         if kind == "email":
             local, domain = norm.split("@", 1)
             host, _, top = domain.rpartition(".")
+            local = wider(local, max(0, attempt - WIDER + 1))
             return f"{self.spell(local, 'local', attempt)}@{self.spell(host, 'host', 0)}.{top}"
         if kind == "ip":
             x = 0
@@ -191,9 +216,13 @@ class Surrogates:
         if kind in ("secret", "ipv6", "mac") and all(c in HEX + ":-" for c in norm):
             return self.spell(norm, "hex", attempt)
         if kind in ("name.m", "name.f"):
-            for names in GIVEN[kind[-1]]:
-                if norm in names:
+            for names, ending in zip(GIVEN[kind[-1]], ENDINGS[kind[-1]], strict=True):
+                if norm in names and attempt < LEAVE:
                     return names[self.permute(f"{kind}|{attempt}", names.index(norm), len(names))]
+                if norm in names:
+                    return self.spell(wider(norm, max(0, attempt - WIDER + 1)), kind, attempt) + ending
+        if kind.startswith("name"):
+            norm = wider(norm, max(0, attempt - WIDER + 1))
         return self.spell(norm, kind, attempt)
 
 
@@ -226,7 +255,7 @@ def render(kind: str, found: str, surrogate: str) -> str:
         keep, surrogate = [i for i, c in enumerate(found) if c not in ":-"], surrogate.replace(":", "")
     else:
         keep = list(range(len(found)))
-        if len(surrogate) != len(found):  # a listed given name
+        if len(surrogate) != len(found):  # a listed given name, or one that has grown
             return surrogate.upper() if found.isupper() and len(found) > 1 else surrogate.capitalize() if found[0].isupper() else surrogate
     out = list(found)
     for i, c in zip(keep, surrogate, strict=True):
@@ -314,7 +343,9 @@ def collisions(docs: DataFrame, key: bytes = KEY) -> DataFrame:
         return rows.select("kind", "norm", "attempt").mapInArrow(run, "kind string, norm string, attempt int, surrogate string")
 
     now = materialize(drawn(all_.withColumn("attempt", F.lit(0))), "surrogates")
-    for _ in range(ATTEMPTS):
+    can_grow = (F.col("kind") == "email") | F.col("kind").startswith("name")
+    attempts = 0
+    while True:
         # of equal surrogates the one with the fewest attempts stays: a settled entity never moves again
         first = now.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "norm")).alias("first"))
         judged = now.join(first, ["kind", "surrogate"]).join(real, ["kind", "surrogate"], "left")
@@ -323,10 +354,20 @@ def collisions(docs: DataFrame, key: bytes = KEY) -> DataFrame:
         bad = (F.coalesce("real", F.lit(False)) | (F.col("first.norm") != F.col("norm"))) & ~alone
         judged = materialize(judged.select("kind", "norm", "attempt", "surrogate", bad.alias("bad")), "judged")
         again = judged.where("bad")
+        attempts += 1
+        if attempts > ATTEMPTS:
+            again = again.where(can_grow)  # what can grow has a larger space each time, so this ends
         if again.isEmpty():
-            return judged.where("attempt > 0").select("kind", "norm", "attempt")
-        now = materialize(judged.where("not bad").drop("bad").unionByName(drawn(again.withColumn("attempt", F.col("attempt") + 1))), "surrogates")
-    raise RuntimeError(f"surrogates still collide after {ATTEMPTS} attempts")
+            break
+        rest = judged.where("not bad" if attempts <= ATTEMPTS else ~(F.col("bad") & can_grow)).drop("bad")
+        now = materialize(rest.unionByName(drawn(again.withColumn("attempt", F.col("attempt") + 1))), "surrogates")
+    if judged.where("bad").isEmpty():
+        return judged.where("attempt > 0").select("kind", "norm", "attempt")
+    # a format that is too full: all its entities go by the permutation of attempt 0
+    form = F.udf(format_of, "string")("kind", "norm")
+    judged = judged.withColumn("form", form)
+    full = judged.where("bad").select("kind", "form").distinct()
+    return judged.where("attempt > 0").join(full, ["kind", "form"], "left_anti").select("kind", "norm", "attempt")
 
 
 def surrogate_pii(docs: DataFrame, key: bytes = KEY, count_column: str | None = None) -> DataFrame:

@@ -162,6 +162,23 @@ def test_collisions_are_drawn_again(spark, monkeypatch, travel):
     assert len(set(new)) == len(new) and not {f"to {e} now" for e in real} & set(new)
 
 
+def test_full_name_lists_and_formats_are_left(spark, monkeypatch):
+    """All listed names of a gender, all one-letter names and all local parts of a domain occur."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [f"Mr {n.capitalize()} Smith" for names in pii.GIVEN["m"] for n in names] + [f"Mr {c.upper()} Smith" for c in letters] + [f"{c}@a.org" for c in letters]
+    new = [r.text for r in pii.surrogate_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), b"key").orderBy("doc_id").collect()]
+    assert len(set(new)) == len(texts) and not set(new) & set(texts)
+    given = [t.split()[1] for t in new if t.startswith("Mr ")]
+    assert not {g.lower() for g in given} & ({n for names in pii.GIVEN["m"] for n in names} | set(letters))
+    assert all("а" <= c <= "ё" for c in given[20].lower()) and all("ά" <= c <= "ώ" for c in given[26].lower())
+    # numbers can't grow: a full format goes by the permutation alone
+    monkeypatch.setattr(pii, "ATTEMPTS", 2)
+    monkeypatch.setattr(pii, "PATTERNS", [("ssn", re.compile(r"(?<!\w)\d{2}(?!\w)"), None)])
+    full = [f"no {k:02d}" for k in range(100)]
+    new = [r.text for r in pii.surrogate_pii(spark.createDataFrame(list(enumerate(full)), "doc_id long, text string"), b"key").orderBy("doc_id").collect()]
+    assert sorted(new) == full and not any(a == b for a, b in zip(new, full, strict=True))
+
+
 def test_pii_odd_rows(odd_clash, odd_rows, empty):
     out = pii.surrogate_pii(odd_clash)
     assert out.columns == odd_clash.columns
