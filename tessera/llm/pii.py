@@ -1,6 +1,8 @@
 """PII surrogates: detected entities receive keyed, type-consistent replacements.
 
-Kinds: email, phone, card or account number, IPv4, IPv6, MAC, SSN, IBAN, secret token, and names after a title or a label. A
+Kinds: email, phone (international, American, French, German and Spanish national forms), card or account number, IPv4, IPv6
+(full or compressed), MAC, SSN, IBAN, secret token, and names after a title or a label with all their other mentions in the same
+document. A
 surrogate is a keyed permutation of the entity within its own format (a Feistel network over the mixed radix of its signs, so
 digits stay digits, hexadecimal stays hexadecimal, letters keep script, case and, in names, vowel or consonant); given names
 of the known lists go to names of the same gender and script. x -> P^-1(P(x) + 1) moves every value of a format with more than
@@ -21,6 +23,7 @@ repeated rows give repeated results; all other columns pass through unchanged.
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -59,15 +62,20 @@ ENDINGS = {"m": ("o", "н", "ος"), "f": ("a", "а", "α")}
 HEX = "0123456789abcdef"
 
 NAME = r"[^\W\d_]*(?:[^\W\d_a-zß-öø-ÿа-яα-ω])[^\W\d_]*(?:[-'’][^\W\d_]+)*"
+GROUP, QUAD = "[0-9A-Fa-f]{1,4}", r"(?:\d{1,3}\.){3}\d{1,3}"
+FRENCH = r"0[1-9](?:[ .\u00a0-]?\d{2}){4}"
+GERMAN = r"(?:\(0\d{2,4}\)[ \u00a0]?|0\d{2,4}(?: ?[/-] ?|[ \u00a0]))\d{3,4}(?:[ -]?\d{2,5}){1,2}|01[5-7]\d{8,9}"
+SPANISH = r"[6-9]\d{2}([ \u00a0-])(?:\d{3}\1\d{3}|\d{2}\1\d{2}\1\d{2})"
 PATTERNS = [
     ("email", re.compile(r"[\w.+%-]+@[\w-]+(?:\.[\w-]+)+"), "@"),
     ("secret", re.compile(r"(?<!\w)(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?!\w)|(?<!\w)(?:AKIA|ghp_|gho_|sk-|xox[abp]-)[A-Za-z0-9-]{16,}"), None),
     ("iban", re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"), None),
-    ("ipv6", re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])"), ":"),
+    ("ipv6", re.compile(rf"(?<![\w:.])(?:(?:{GROUP}:){{7}}{GROUP}|(?:{GROUP}:){{6}}{QUAD}|(?:{GROUP}(?::{GROUP}){{0,6}})?::(?:(?:{GROUP}:){{0,5}}{QUAD}|{GROUP}(?::{GROUP}){{0,6}})?)(?![\w:]|\.\d)"), ":"),
     ("mac", re.compile(r"(?<![\w:-])(?:[0-9A-Fa-f]{2}[:-]){5}[0-9A-Fa-f]{2}(?![\w:-])"), None),
     ("ip", re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\w)"), "."),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"), "-"),
     ("phone", re.compile(r"(?<![\w])\+?\d{1,3}[^\w+]{1,5}\(?\d{3}\)?[^\w+]{1,5}\d{3}[-. ]\d{4}(?!\w)|(?<![\w(])\(?\d{3}\)?[-. ]{1,2}\d{3}[-. ]\d{4}(?!\w)|(?<!\w)\+\d{1,3}(?:[-. ]?\d){8,12}(?!\w)"), None),
+    ("phone", re.compile(rf"(?<![\w+])(?<![\d.,/-][ .,/-])(?<![.,/-])(?:{FRENCH}|{GERMAN}|{SPANISH})(?![ .,/-]?\d|\w)"), None),
     ("card", re.compile(r"(?<![\w])\d(?:[ -]?\d){12,18}(?!\w)"), None),
 ]
 TITLE = re.compile(rf"(?<!\w)({'|'.join(t for ts in TITLES.values() for t in ts)})\b\.?[ \u00a0]((?:{NAME}[ \u00a0]){{0,2}}{NAME})")
@@ -233,13 +241,17 @@ def lower(text: str) -> str:
 def normal(kind: str, found: str) -> str:
     """What the ways to write one entity share."""
     if kind == "phone":
-        return "".join(c for c in found if c.isdigit())[-10:]
+        digits = "".join(c for c in found if c.isdigit())
+        national = (len(digits) == 11 and found.startswith("+") and digits[:2] in ("33", "34")) or re.fullmatch(FRENCH, found)
+        return digits[-9:] if national else digits[-10:]
     if kind == "card":
         return "".join(c for c in found if c.isdigit())
     if kind == "ip":
         return ".".join(str(int(p)) for p in found.split("."))
     if kind == "iban":
         return found.replace(" ", "")
+    if kind == "ipv6":
+        return ipaddress.IPv6Address(found).exploded
     if kind == "mac":
         return lower(found).replace("-", ":")
     return lower(found)
@@ -249,6 +261,8 @@ def render(kind: str, found: str, surrogate: str) -> str:
     """The surrogate written as found was: its separators, country code and case."""
     if kind == "ip":
         return surrogate
+    if kind == "ipv6":  # in full, as a compressed form only holds zeros
+        return surrogate if any(map(str.islower, found)) or not any(map(str.isupper, found)) else surrogate.upper()
     if kind in ("phone", "card", "iban"):
         keep = [i for i, c in enumerate(found) if c.isalnum()][-len(surrogate) :]
     elif kind == "mac":
@@ -261,7 +275,7 @@ def render(kind: str, found: str, surrogate: str) -> str:
     for i, c in zip(keep, surrogate, strict=True):
         up = c.upper()
         out[i] = up if found[i].isupper() and len(up) == 1 else c
-    if kind in ("secret", "mac", "ipv6") and not any(map(str.islower, found)):  # letters may stand where digits were
+    if kind in ("secret", "mac") and not any(map(str.islower, found)):  # letters may stand where digits were
         return "".join(out).upper()
     return "".join(out)
 
@@ -278,6 +292,8 @@ def spans(text: str) -> list[tuple[int, int, str]]:
                         s += len(m[0]) - len(m[0].lstrip(".-%+"))
                     if kind == "iban" and iban_check(m[0][:2], m[0].replace(" ", "")[4:]) != m[0][2:4]:
                         continue
+                    if kind == "ipv6" and not is_ipv6(m[0]):
+                        continue
                     found.append((s, e, kind))
     elif "@" in text:
         found += [(m.start(), m.end(), "email") for m in PATTERNS[0][1].finditer(text)]
@@ -288,6 +304,7 @@ def spans(text: str) -> list[tuple[int, int, str]]:
     if ":" in text:
         for m in LABEL.finditer(text):
             found += name_parts(m.start(1), m[1], "")
+    found += mentions(text, [x for x in found if x[2].startswith("name")])
     found.sort(key=lambda x: (x[0], -x[1]))
     out, end = [], -1
     for s, e, kind in found:
@@ -297,6 +314,34 @@ def spans(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def is_ipv6(found: str) -> bool:
+    try:
+        ipaddress.IPv6Address(found)
+    except ValueError:
+        return False
+    return any(c.isdigit() for c in found)
+
+
+def mentions(text: str, names: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """The words of found names wherever else they stand, capitalised or without case; a single letter only before a found name."""
+    if not names:
+        return []
+    kinds: dict[str, str] = {}
+    for s, e, kind in sorted(names):
+        kinds.setdefault(lower(text[s:e]), kind)
+    words = "|".join(re.escape(w) for w in sorted(kinds, key=lambda w: (-len(w), w)))
+    out = []
+    at = {(s, e) for s, e, _ in names}
+    hits = [m for m in re.finditer(rf"(?<!\w)(?:{words})(?!\w)", text, re.IGNORECASE) if not m[0][0].islower() and lower(m[0]) in kinds]
+    for i, m in enumerate(hits):
+        if m.span() in at:
+            continue
+        if len(m[0]) == 1 and not (i + 1 < len(hits) and re.fullmatch(r"\.?[ \u00a0]?", text[m.end() : hits[i + 1].start()])):
+            continue
+        out.append((*m.span(), kinds[lower(m[0])]))
+    return out
+
+
 def name_parts(at: int, name: str, gender: str) -> list[tuple[int, int, str]]:
     parts = [(m.start() + at, m.end() + at, m[0]) for m in re.finditer(r"[^\s\u00a0]+", name)]
     out = []

@@ -132,6 +132,35 @@ def test_names_keep_gender_script_and_coreference():
     assert all("а" <= c.lower() <= "я" or c == "ё" for c in petrova)
 
 
+def test_names_are_carried_to_their_other_mentions():
+    s = pii.Surrogates(b"k")
+    new, n = pii.replace("Mr. John Smith came. SMITH said that smith and Smithson saw Smith's dog, John's too. Dr J Doe: J. Doe, plan J.", s, {})
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) came\. (\w+) said that smith and Smithson saw (\w+)'s dog, (\w+)'s too\. Dr (\w) (\w+): (\w)\. (\w+), plan J\.", new)
+    john, smith, upper, again, john2, j, doe, j2, doe2 = m.groups()
+    assert n == 9 and smith != "Smith" and (upper, again, john2, j2, doe2) == (smith.upper(), smith, john, j, doe)
+
+
+@pytest.mark.parametrize(
+    "entity", ["2001:db8::1", "fe80::1a2b:3c4d", "::1", "::ffff:192.0.2.1", "06 12 34 56 78", "06.12.34.56.78", "0612345678", "030 12345678", "030/1234567", "(030) 1234 5678", "0171 1234567", "612 345 678", "612 34 56 78", "912-34-56-78"]
+)
+def test_compressed_addresses_and_national_phones(entity):
+    new, n = pii.replace(f"see {entity}, or {entity}.", pii.Surrogates(b"k"), {})
+    a, b = re.fullmatch(r"see (.*), or (.*)\.", new).groups()
+    assert n == 2 and a == b != entity
+    if ":" not in entity:
+        assert re.sub(r"\d", "0", a) == re.sub(r"\d", "0", entity)
+
+
+def test_one_entity_in_two_forms_and_what_is_none():
+    s = pii.Surrogates(b"k")
+    a, b = pii.replace("2001:db8::1 2001:DB8:0:0:0:0:0:1", s, {})[0].split()
+    assert a == b.lower()
+    a, b = pii.replace("06 12 34 56 78, +33 6 12 34 56 78", s, {})[0].split(", ")
+    assert a.replace(" ", "")[1:] == b.replace(" ", "")[3:]
+    for t in ["std::vector<int> x1", "at 10:30 :: 5 more", "on 01-02-2024 and 2024-01-02", "1 612 345 678 of 812.345.678", "0.030 12345"]:
+        assert pii.replace(t, s, {}) == (t, 0)
+
+
 def test_checks_stay_valid():
     s = pii.Surrogates(b"k")
     card = s.of("card", "4111111111111111")
