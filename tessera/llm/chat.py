@@ -2,7 +2,10 @@
 
 Every message is parsed into its own lines and quoted lines with their nesting level ("> > text", attribution lines such as
 "On Monday, Ann wrote:" belong to the quote below them). Passages (runs of lines of one level, and their single lines) are
-normalised and hashed; a quoted passage joins the first message of the same conversation whose own text has that passage. The
+normalised and hashed; a quoted passage joins the first message of the same conversation whose own text has that passage. So do
+fragments, which need no equal line ends: windows of WIDTH words of quoted text, and quoted sentences of 2 to WIDTH - 1 words, meet
+any own text that holds these words on end (signs of scripts without spaces count as words). Passages under LEAST characters link
+where they are the whole own text of a message. The
 parent of a message is the earlier message that most characters of its outermost quotes come from; deeper levels count where
 the outermost link nothing. Conversations are then put in reply order: thread after thread by the turn that opens it, messages
 of a thread by turn, so that a reply always follows what it answers, and quotes are left out of the text.
@@ -20,19 +23,23 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from xxhash import xxh64_intdigest
 
-from .common import materialize
+from .common import materialize, mixed
 
 QUOTE = re.compile(r"[ \t]{0,3}((?:[>|»][ \t]?)+)")
 ATTRIBUTION = re.compile(r"(?:on|am|le|el)\b.{1,200}\b(?:wrote|schrieb|écrit|escribió)\s?:\s*$|.{1,100}\b(?:wrote|writes)\s?:\s*$", re.IGNORECASE)
-#: Shorter passages (characters after normalisation) say too little to link by.
+#: Shorter passages (characters after normalisation) say too little to link by, unless they are a whole message.
 LEAST = 8
-KIND = "turn long, role string, own string, quoted array<struct<level:int,hash:long,size:int>>, passages array<long>"
+WIDTH = 5
+WORD = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]|(?:(?![\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])\w)+")
+SENTENCE = re.compile(r"[.!?…。！？]+")
+KIND = "turn long, role string, own string, quoted array<struct<level:int,hash:long,size:int>>, passages array<long>, pieces array<struct<level:int,hash:long,size:int>>"
 
 
 def levels(text: str | None) -> list[tuple[int, str]]:
@@ -76,15 +83,66 @@ def passages(lines: list[tuple[int, str]]) -> list[tuple[int, str]]:
             run = []
         if level > -1:
             run.append(line)
-    return [x for x in found if len(x[1]) >= LEAST]
-
-
-def parse(text: str | None) -> tuple[str, list[tuple[int, int, int]], list[int]]:
-    """(own text, quoted passages as (level, hash, size), hashes of own passages)."""
+    return [x for x in found if x[1]]
+
+
+def grams(text: str) -> tuple[list[np.ndarray], np.ndarray]:
+    """(hashes of the runs of 1, 2, ... WIDTH words, characters before each word and after the last) of a normalised text."""
+    words = WORD.findall(text)
+    out = [np.fromiter((xxh64_intdigest(w.encode("utf-8", "replace"), 7) for w in words), dtype=np.uint64, count=len(words))]
+    for n in range(2, WIDTH + 1):
+        out.append(mixed(out[-1][:-1], out[0][n - 1 :]))
+    return out, np.cumsum([0, *map(len, words)])
+
+
+def signed(h: np.ndarray) -> list[int]:
+    return h.view(np.int64).tolist()
+
+
+def fragments(lines: list[tuple[int, str]]) -> list[tuple[int, int, int]]:
+    """(level, hash, size) of the windows and short sentences of quoted text, without repeats; sizes add up to its characters."""
+    found: dict[tuple[int, int], int] = {}
+    runs: list[tuple[int, list[str]]] = []
+    for level, line in lines:
+        if not runs or runs[-1][0] != level:
+            runs.append((level, []))
+        runs[-1][1].append(line)
+    for level, run in runs:
+        if level < 1:
+            continue
+        text = normal(run)
+        g, at = grams(text)
+        for i, h in enumerate(signed(g[-1])):
+            if at[i + WIDTH] - at[i] + WIDTH - 1 >= LEAST:
+                found.setdefault((level, h), int((at[-1] if i + 1 == len(g[-1]) else at[i + 1]) - at[i]))
+        for part in SENTENCE.split(text):
+            g, at = grams(part)
+            n = len(at) - 1
+            if 2 <= n < WIDTH and at[-1] + n - 1 >= LEAST:
+                found.setdefault((level, signed(g[n - 1])[0]), int(at[-1]))
+    return [(level, h, size) for (level, h), size in found.items()]
+
+
+def own_fragments(own: str) -> list[int]:
+    """Hashes of all runs of 2 to WIDTH words that could answer a fragment."""
+    g, at = grams(normal([own]))
+    out: set[int] = set()
+    for n in range(2, WIDTH + 1):
+        if len(g[n - 1]):
+            out.update(signed(g[n - 1][at[n:] - at[:-n] + n - 1 >= LEAST]))
+    return sorted(out)
+
+
+def parse(text: str | None) -> tuple[str, list[tuple[int, int, int]], list[int], list[tuple[int, int, int]]]:
+    """(own text, quoted passages as (level, hash, size), hashes of own passages, quoted fragments)."""
     lines = levels(text)
     own = re.sub(r"\n{3,}", "\n\n", "\n".join(x for level, x in lines if level == 0)).strip()
-    found = [(level, xxh64_intdigest(p.encode("utf-8", "replace"), 5) - (1 << 63), len(p)) for level, p in passages(lines)]
-    return own, [x for x in found if x[0] > 0], [h for level, h, _ in found if level == 0]
+    # short passages have hashes of their own, which only whole messages share
+    found = [(level, xxh64_intdigest(p.encode("utf-8", "replace"), 5 if len(p) >= LEAST else 6) - (1 << 63), len(p)) for level, p in passages(lines)]
+    whole = normal([own])
+    answers = [h for level, h, size in found if level == 0 and (size >= LEAST or size == len(whole))]
+    quoted = [x for x in found if x[0] > 0]
+    return own, quoted, answers, fragments(lines) if quoted else []
 
 
 def parsed(turns: DataFrame) -> DataFrame:
@@ -99,8 +157,9 @@ def parsed(turns: DataFrame) -> DataFrame:
                     b["conv_id"], b["turn"], b["role"], pa.array([x[0] for x in each], pa.string()),
                     pa.array([[dict(zip(("level", "hash", "size"), q, strict=True)) for q in x[1]] for x in each], quoted),
                     pa.array([x[2] for x in each], pa.list_(pa.int64())),
+                    pa.array([[dict(zip(("level", "hash", "size"), q, strict=True)) for q in x[3]] for x in each], quoted),
                 ],
-                ["conv_id", "turn", "role", "own", "quoted", "passages"],
+                ["conv_id", "turn", "role", "own", "quoted", "passages", "pieces"],
             )
 
     return turns.select("conv_id", F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), "text").mapInArrow(run, f"conv_id {kind}, {KIND}")
@@ -108,15 +167,34 @@ def parsed(turns: DataFrame) -> DataFrame:
 
 def parents(messages: DataFrame) -> DataFrame:
     """Rows (conv_id, turn, parent, links): the message that each quoting message answers."""
-    quoted = messages.select("conv_id", "turn", F.explode("quoted").alias("q")).select("conv_id", "turn", "q.*").distinct()
+    each = [messages.select("conv_id", "turn", F.explode(c).alias("q"), F.lit(whole).alias("whole")) for c, whole in (("quoted", 1), ("pieces", 0))]
+    quoted = each[0].unionByName(each[1]).select("conv_id", "turn", "q.*", "whole").distinct()
     asked = quoted.select("conv_id", "hash").distinct()
-    own = messages.select("conv_id", "turn", F.explode("passages").alias("hash")).join(asked, ["conv_id", "hash"], "left_semi")
+    own = messages.select("conv_id", "turn", F.explode("passages").alias("hash"))
+    own = own.unionByName(pieces_of(messages)).join(asked, ["conv_id", "hash"], "left_semi")
     first = own.groupBy("conv_id", "hash").agg(F.min("turn").alias("parent"))
     met = quoted.join(first, ["conv_id", "hash"]).where("parent < turn")
     # characters from each candidate by level; the outermost level that links decides, then size, then the later message
-    by = met.groupBy("conv_id", "turn", "level", "parent").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
+    by = met.groupBy("conv_id", "turn", "level", "parent").agg(F.sum("size").alias("size"), F.sum("whole").alias("n"))
     best = F.max_by("parent", F.struct(-F.col("level"), F.col("size"), F.col("parent"))).alias("parent")
-    return by.groupBy("conv_id", "turn").agg(best, F.sum("n").alias("links"))
+    return by.groupBy("conv_id", "turn").agg(best, F.greatest(F.sum("n"), F.lit(1)).alias("links"))
+
+
+def pieces_of(messages: DataFrame) -> DataFrame:
+    """Rows (conv_id, turn, hash) of the fragments of own text, of the conversations that quote anything."""
+    kind = messages.schema["conv_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, len(b), 256):
+                part = b.slice(at, 256)
+                each = [own_fragments(t) for t in part["own"].to_pylist()]
+                rows = pa.array(np.repeat(np.arange(len(each)), [len(x) for x in each]))
+                hashes = pa.array([h for x in each for h in x], pa.int64())
+                yield pa.RecordBatch.from_arrays([part["conv_id"].take(rows), part["turn"].take(rows), hashes], ["conv_id", "turn", "hash"])
+
+    quoting = messages.where(F.size("pieces") > 0).select("conv_id").distinct()
+    return messages.select("conv_id", "turn", "own").join(quoting, "conv_id", "left_semi").mapInArrow(run, f"conv_id {kind}, turn long, hash long")
 
 
 def threads(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -135,12 +213,13 @@ def threads(links: DataFrame, rounds: int = 60) -> DataFrame:
 def format_chats(turns: DataFrame) -> DataFrame:
     """Rows (conv_id, position, turn, role, text, reply_to, thread, n_quotes, n_links) for every row of turns.
 
-    position counts from 0 within a conversation, in reply order; text has no quotes; reply_to is the turn answered, if any.
+    position counts from 0 within a conversation, in reply order; text has no quotes; reply_to is the turn answered, if any;
+    n_links counts the passages of n_quotes that link, 1 where only fragments do.
     """
     messages = materialize(parsed(turns), "messages")
     links = materialize(parents(messages), "parents")
     found = threads(links).join(links.select("conv_id", "turn", "links"), ["conv_id", "turn"])
-    rows = messages.drop("passages").withColumn("n_quotes", F.size("quoted")).drop("quoted").join(found, ["conv_id", "turn"], "left")
+    rows = messages.drop("passages", "pieces").withColumn("n_quotes", F.size("quoted")).drop("quoted").join(found, ["conv_id", "turn"], "left")
     rows = rows.withColumn("thread", F.coalesce("root", "turn"))
     n = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["thread", "turn", "role", "own"]

@@ -452,6 +452,29 @@ def test_chat_threads(spark):
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
+def test_chat_partial_rewrapped_and_short_quotes(spark):
+    long = "We met on Tuesday morning. The pump in the old mill has failed again. Nobody knows why it stopped, or how long the repair will take this time."
+    rows = [
+        (1, 0, "user", long),
+        (1, 1, "user", "Yes."),
+        (1, 2, "user", "それでよろしい"),
+        (1, 3, "user", "Something else, yes. Nothing more to say"),
+        (1, 4, "user", "> The pump in the old mill has failed again.\nWhich one?"),
+        (1, 5, "user", "> failed again. Nobody knows why it\n> stopped, or how long the repair\nNor do I."),
+        (1, 6, "user", "> Yes.\nGood."),
+        (1, 7, "user", "> それでよろしい\nFine."),
+        (1, 8, "user", "> on Tuesday morning.\nNo, on Friday."),
+        (1, 9, "user", "> in the mill of a friend, on a hill\nWhere?"),
+        (2, 0, "user", "好的,我们明天早上在车站见面,然后一起去博物馆。"),
+        (2, 1, "user", "> 明天早上在车站见面\n几点?"),
+        (2, 2, "user", "> more\nNo."), (2, 3, "user", "No more of it"),
+    ]
+    got = {(r.conv_id, r.turn): r for r in chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)).collect()}
+    want = {(1, 4): 0, (1, 5): 0, (1, 6): 1, (1, 7): 2, (1, 8): 0, (2, 1): 0}
+    assert {k: r.reply_to for k, r in got.items() if r.reply_to is not None} == want
+    assert all(r.n_links == (k in want) for k, r in got.items())
+
+
 def test_chat_deep_and_hot_conversation(spark):
     rows = [(7, 0, "user", "message number 0 says hello")]
     rows += [(7, t, "user", f"> message number {t - 1} says hello\nmessage number {t} says hello") for t in range(1, 200)]
