@@ -1,20 +1,25 @@
 """Benchmark decontamination: rare n-gram seeds join passages to test items, Smith-Waterman alignment scores them.
 
-Words are lower-case runs of letters and digits. A first pass counts, over the whole corpus, in how many documents
+Words are lower-case runs of letters and digits, split at Unicode separators and punctuation too; each sign of a script without
+spaces is a word, so that word trigrams are character trigrams there. A first pass counts, over the whole corpus, in how many documents
 each word trigram of the test items occurs. Of every SPAN consecutive trigrams of an item the rarest becomes a seed, so rarity
 never leaves a stretch of an item unseeded: any run of N + SPAN - 1 equal words holds a seed. A second pass finds the seeds in
 whole documents; hits of one item on near diagonals open a region, and a region that shares enough words with the item is
 aligned (match 2, mismatch -1, gap -1). A pair's score is the best local alignment over that of a perfect copy.
 
 The test items are the stated query set: they are taken in blocks of at most ITEMS items, each small enough to travel with the
-tasks, and items longer than PIECE words are cut in pieces, of which the best counts.
+tasks, and items longer than PIECE words are cut in pieces, of which the best counts. An item of fewer than N words matches where all its words stand on end, if they have
+SHORT characters at least.
 
-Defined cases: null or empty texts on either side match nothing; so does an item of fewer than N words; ties keep the smallest
+Defined cases: null or empty texts on either side match nothing; so does an item of fewer than N words and SHORT characters; ties keep the smallest
 item id; repeated documents give repeated pairs; repeated items with one id count as one item (its best text).
 """
 
 from __future__ import annotations
 
+import re
+import sys
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain
@@ -34,22 +39,42 @@ PIECE = 256
 #: Least share of an item's words that a region must hold to be aligned.
 SHARED = 0.4
 BITS = 22
+#: Least characters of an item of fewer than N words.
+SHORT = 10
+
+
+def of_categories(*kinds: str) -> str:
+    """Class of the signs from 128 up whose Unicode category begins so."""
+    marks = [c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(c)[0] in kinds]
+    return "[" + "".join(map(re.escape, marks)) + "]"
+
+
+BREAK = re.compile(of_categories("Z", "P"))
+SINGLE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30fa\u30fc-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+
+
+def split(text: str | None) -> str:
+    """Lower-case text with white space wherever a word ends or begins that ASCII signs don't show."""
+    text = (text or "").lower()
+    if text.isascii():
+        return text
+    return SINGLE.sub(r" \g<0> ", BREAK.sub(" ", text))
 
 
 def words_of(texts: list[str | None]) -> Words:
     """Lower-case runs of letters and digits, their hashes at least 2."""
-    w = Words([(t or "").lower() for t in texts], SIGNS)
+    w = Words([split(t) for t in texts], SIGNS)
     np.maximum(w.hash, np.uint64(2), out=w.hash)
     return w
 
 
-def grams(h: np.ndarray) -> np.ndarray:
-    """Hash of each run of N words."""
-    m = len(h) - N + 1
+def grams(h: np.ndarray, size: int = N) -> np.ndarray:
+    """Hash of each run of so many words."""
+    m = len(h) - size + 1
     if m <= 0:
         return np.empty(0, dtype=np.uint64)
     out = h[:m]
-    for i in range(1, N):
+    for i in range(1, size):
         out = mixed(out, h[i : i + m])
     return out
 
@@ -104,8 +129,13 @@ class Matcher:
     """Scores documents against one block of test items: items(item id, word hashes), df of each trigram."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]], frequency: dict[int, int]):
+        self.short: dict[int, dict[int, set[int]]] = {}
+        for i, words in items:
+            if len(words) < N:
+                self.short.setdefault(len(words), defaultdict(set))[int(grams(words, len(words))[0])].add(i)
+        items = [x for x in items if len(x[1]) >= N]
         self.items = items
-        seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        seeds: dict[int, list[tuple[int]]] = defaultdict(list)
         for k, (_, words) in enumerate(items):
             g = grams(words)
             df = np.array([frequency.get(int(x), 0) for x in g])
@@ -117,7 +147,7 @@ class Matcher:
         self.sets = [np.unique(w) for _, w in items]
         self.memo: dict[tuple[int, bytes], float] = {}
 
-    def regions(self, n_words: int, at: np.ndarray, key: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    def regions(self, n_words: int, at: np.ndarray, key: np.ndarray) -> Iterator[tuple[int, int]]:
         """(item, from, to) for the candidate regions of a document with these seeds."""
         size = np.array([len(self.places[k]) for k in key])
         hit = np.concatenate([self.places[k] for k in key])
@@ -159,9 +189,14 @@ class Matcher:
             self.memo.update({x: float(s) / (2 * len(self.items[x[0]][1])) for x, s in zip(some, score, strict=True)})
         out: list[dict[int, float]] = [{} for _ in texts]
         for d, k, key in asked:
+            i = self.items[k][0]
             if (s := self.memo[key]) >= THRESHOLD:
-                i = self.items[k][0]
                 out[d][i] = max(s, out[d].get(i, 0.0))
+        for size, known in self.short.items():
+            g = grams(w.hash, size)
+            for at in np.flatnonzero(np.isin(g, np.array(list(known), dtype=np.uint64))).tolist():
+                if w.owner[at] == w.owner[at + size - 1]:
+                    out[w.owner[at]].update(dict.fromkeys(known[int(g[at])], 1.0))
         return out
 
 
@@ -174,8 +209,11 @@ def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, np.ndarray]]]:
         out = []
         for r in sorted(rows, key=lambda r: (r.item_id, r.text)):
             h = words_of([r.text]).hash
-            cuts = -(-len(h) // PIECE)
-            out += [(r.item_id, p) for p in (np.array_split(h, cuts) if cuts else []) if len(p) >= N]
+            if len(h) < N:
+                if len(h) and sum(map(str.isalnum, r.text)) >= SHORT:
+                    out.append((r.item_id, h))
+                continue
+            out += [(r.item_id, p) for p in np.array_split(h, -(-len(h) // PIECE))]
         yield out
 
 
