@@ -5,10 +5,12 @@ spaces is a word, so that word trigrams are character trigrams there. A first pa
 each word trigram of the test items occurs. Of every SPAN consecutive trigrams of an item the rarest becomes a seed, so rarity
 never leaves a stretch of an item unseeded: any run of N + SPAN - 1 equal words holds a seed. A second pass finds the seeds in
 whole documents; hits of one item on near diagonals open a region, and a region that shares enough words with the item is
-aligned (match 2, mismatch -1, gap -1). A pair's score is the best local alignment over that of a perfect copy.
+aligned (match 2, mismatch -1, gap -1). A pair's score is the best local alignment over that of a perfect copy; pairs are reported
+from a score of THRESHOLD, and below it where the alignment is worth LONG matched words (CHARACTERS in scripts without spaces).
 
 The test items are the stated query set: they are taken in blocks of at most ITEMS items, each small enough to travel with the
-tasks, and items longer than PIECE words are cut in pieces, of which the best counts. An item of fewer than N words matches where all its words stand on end, if they have
+tasks, and items longer than PIECE words are cut in pieces, of which the best counts; a piece of 2 LONG words over each cut makes
+sure that a passage across it is found. An item of fewer than N words matches where all its words stand on end, if they have
 SHORT characters at least.
 
 Defined cases: null or empty texts on either side match nothing; so does an item of fewer than N words and SHORT characters; ties keep the smallest
@@ -39,6 +41,8 @@ PIECE = 256
 #: Least share of an item's words that a region must hold to be aligned.
 SHARED = 0.4
 BITS = 22
+#: Matched words (characters in scripts without spaces) that tell a copy of a part, however long the item.
+LONG, CHARACTERS = 20, 60
 #: Least characters of an item of fewer than N words.
 SHORT = 10
 
@@ -126,17 +130,17 @@ def smith_waterman(items: list[np.ndarray], regions: list[np.ndarray]) -> np.nda
 
 
 class Matcher:
-    """Scores documents against one block of test items: items(item id, word hashes), df of each trigram."""
+    """Scores documents against one block of test items: items(item id, word hashes, words that tell), df of each trigram."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]], frequency: dict[int, int]):
+    def __init__(self, items: list[tuple[int, np.ndarray, int]], frequency: dict[int, int]):
         self.short: dict[int, dict[int, set[int]]] = {}
-        for i, words in items:
+        for i, words, _ in items:
             if len(words) < N:
                 self.short.setdefault(len(words), defaultdict(set))[int(grams(words, len(words))[0])].add(i)
         items = [x for x in items if len(x[1]) >= N]
         self.items = items
-        seeds: dict[int, list[tuple[int]]] = defaultdict(list)
-        for k, (_, words) in enumerate(items):
+        seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        for k, (_, words, _) in enumerate(items):
             g = grams(words)
             df = np.array([frequency.get(int(x), 0) for x in g])
             picked = {s + int(df[s : s + SPAN].argmin()) for s in range(max(1, len(g) - SPAN + 1))} if len(g) else set()
@@ -144,10 +148,10 @@ class Matcher:
                 seeds[int(g[j])].append((k, j))
         self.lookup = Lookup(np.array(list(seeds), dtype=np.uint64))
         self.places = [np.array(seeds[int(x)], dtype=np.int64) for x in self.lookup.keys]
-        self.sets = [np.unique(w) for _, w in items]
+        self.sets = [np.unique(w) for _, w, _ in items]
         self.memo: dict[tuple[int, bytes], float] = {}
 
-    def regions(self, n_words: int, at: np.ndarray, key: np.ndarray) -> Iterator[tuple[int, int]]:
+    def regions(self, n_words: int, at: np.ndarray, key: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(item, from, to) for the candidate regions of a document with these seeds."""
         size = np.array([len(self.places[k]) for k in key])
         hit = np.concatenate([self.places[k] for k in key])
@@ -177,7 +181,9 @@ class Matcher:
             for k, s, e in self.regions(len(words), place[a:b], key[a:b]):
                 part = words[s:e]
                 if np.isin(self.sets[k], part).sum() < SHARED * len(self.sets[k]):
-                    continue
+                    _, own, tell = self.items[k]
+                    if len(own) < tell or np.isin(own, part).sum() < tell:
+                        continue
                 at = (k, part.tobytes())
                 asked.append((i, k, at))
                 if at not in self.memo:
@@ -189,8 +195,8 @@ class Matcher:
             self.memo.update({x: float(s) / (2 * len(self.items[x[0]][1])) for x, s in zip(some, score, strict=True)})
         out: list[dict[int, float]] = [{} for _ in texts]
         for d, k, key in asked:
-            i = self.items[k][0]
-            if (s := self.memo[key]) >= THRESHOLD:
+            i, own, tell = self.items[k]
+            if (s := self.memo[key]) >= min(THRESHOLD, tell / len(own)):
                 out[d][i] = max(s, out[d].get(i, 0.0))
         for size, known in self.short.items():
             g = grams(w.hash, size)
@@ -200,8 +206,8 @@ class Matcher:
         return out
 
 
-def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, np.ndarray]]]:
-    """The test items in blocks of about ITEMS, as word hashes in pieces of at most PIECE words."""
+def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, np.ndarray, int]]]:
+    """The test items in blocks of about ITEMS, as word hashes in pieces of at most PIECE words, and how many of them tell."""
     known = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
     n = max(1, -(-known.count() // ITEMS))
     for k in range(n):
@@ -211,15 +217,19 @@ def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, np.ndarray]]]:
             h = words_of([r.text]).hash
             if len(h) < N:
                 if len(h) and sum(map(str.isalnum, r.text)) >= SHORT:
-                    out.append((r.item_id, h))
+                    out.append((r.item_id, h, len(h)))
                 continue
-            out += [(r.item_id, p) for p in np.array_split(h, -(-len(h) // PIECE))]
+            tell = CHARACTERS if 2 * len(SINGLE.findall(r.text)) > len(h) else LONG
+            pieces = np.array_split(h, -(-len(h) // PIECE))
+            out += [(r.item_id, p, tell) for p in pieces]
+            for at in np.cumsum([len(p) for p in pieces[:-1]]).tolist():
+                out.append((r.item_id, h[max(0, at - tell) : at + tell], tell))
         yield out
 
 
-def frequencies(docs: DataFrame, items: list[tuple[int, np.ndarray]]) -> dict[int, int]:
+def frequencies(docs: DataFrame, items: list[tuple[int, np.ndarray, int]]) -> dict[int, int]:
     """In how many rows of docs each trigram of the items occurs; at most one row a trigram comes back."""
-    lookup = Lookup(np.concatenate([grams(w) for _, w in items]) if items else np.empty(0, dtype=np.uint64))
+    lookup = Lookup(np.concatenate([grams(w) for _, w, _ in items]) if items else np.empty(0, dtype=np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(len(lookup.keys), dtype=np.int64)
