@@ -51,7 +51,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("pii_surrogates", replace_pii),
     ("best_fit_packing", pack_sequences),
 ]
-#: XXH64 fingerprints, trained models and tokenizers are beyond SQL; tests/llm holds run() against brute force.
+#: XXH64 fingerprints, trained models and tokenizers are beyond SQL. tests/llm holds the operators against brute force, and run()
+#: only against its stages: no independent version of the kept rows and packed pieces exists.
 ORACLE_SQL = None
 
 
