@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zlib
@@ -29,7 +30,7 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Cut the lineage: write df as Parquet in the shared folder and read it back.
 
     Unlike a local checkpoint the files outlive any executor. They stay until the owner of the folder clears it. The shuffle
@@ -39,7 +40,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     before = conf.get(CLEANUP, None)
     conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
     finally:
         conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -199,14 +200,28 @@ class TokenTable:
         return out
 
 
-def sampled(df: DataFrame, of: DataFrame, label: str, most: int, seed: int) -> DataFrame:
-    """Rows of df whose doc_id hashes below a share that keeps about `most` rows of each label value; of has its counts n."""
+def sampled(df: DataFrame, of: DataFrame, label: str, most: int, seed: int, by: Sequence[str]) -> DataFrame:
+    """Distinct rows of df whose columns `by` hash below a share that keeps about `most` rows of each label value; of has its counts
+    n. Rows equal in `by` are drawn together, so these columns should be all that df has, and equal rows count once."""
     share = of.select(F.col(label), F.least(F.lit(1.0), F.lit(float(most)) / F.col("n")).alias("share")).collect()
-    draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    draw = F.pmod(F.xxhash64(*by, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     picked = F.lit(False)
     for r in share:
         picked = picked | ((F.col(label) == r[0]) & (draw < r[1]))
-    return df.where(picked)
+    return df.where(picked).distinct()
+
+
+#: Rows of which one group is added up at most.
+FAN = 64
+
+
+def added_up(rows: DataFrame, parts: int, add, kind: str) -> DataFrame:
+    """rows(slice, part, ...), one for each slice and each of the parts, added up to one a slice, in a tree of groups of FAN parts.
+    add: a frame of equal slices to one row of the schema kind."""
+    while parts > FAN:
+        rows = rows.withColumn("part", F.floor(F.col("part") / FAN).cast("int")).groupBy("slice", "part").applyInPandas(add, kind)
+        parts = -(-parts // FAN)
+    return rows.groupBy("slice").applyInPandas(add, kind)
 
 
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -239,8 +254,8 @@ class Words:
     Hashes are polynomials taken from one running sum over all bytes, so that no word is touched by itself.
     """
 
-    def __init__(self, texts: Sequence[str | None], between: np.ndarray = SPACE):
-        raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    def __init__(self, texts: Sequence[str | bytes | None], between: np.ndarray = SPACE):
+        raw = [t if isinstance(t, bytes) else (t or "").encode("utf-8", "surrogatepass") for t in texts]
         self.data = b" ".join(raw) + b" "
         b = np.frombuffer(self.data, dtype=np.uint8)
         space = np.concatenate(([True], between[b]))
@@ -252,7 +267,7 @@ class Words:
         size = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) + 1
         text = np.cumsum(size) - size
         self.begin = np.searchsorted(self.start, text)
-        self.owner = np.searchsorted(text, self.start, side="right") - 1
+        self.owner = np.repeat(np.arange(len(raw)), np.diff(np.append(self.begin, len(self.start))))
 
 
 def slices(batch: pa.RecordBatch, characters: int = 1_000_000) -> Iterator[pa.RecordBatch]:
@@ -263,3 +278,16 @@ def slices(batch: pa.RecordBatch, characters: int = 1_000_000) -> Iterator[pa.Re
         to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + characters)))
         yield batch.slice(at, to - at)
         at = to
+
+
+WHITE = re.compile(r"[\x20\x09-\x0D]")
+
+
+def cut_at_space(text: str, characters: int) -> Iterator[str]:
+    """Parts of a text of about so many characters; no word is cut."""
+    at = 0
+    while at < len(text):
+        m = WHITE.search(text, at + characters)
+        to = m.end() if m else len(text)
+        yield text[at:to]
+        at = to

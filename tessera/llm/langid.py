@@ -179,7 +179,8 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     """Train on a sample of the rows with a text with letters and a lang."""
     usable = docs.where("text is not null and lang is not null").select("doc_id", "text", "lang")
     counts = usable.groupBy("lang").agg(F.count("*").alias("n"))
-    rows = [r for r in sampled(usable, counts, "lang", train_rows, 3).select("doc_id", "text", "lang").collect() if has_letter(r.text)]
+    drawn = sampled(usable, counts, "lang", train_rows, 3, ["doc_id", "text", "lang"]).collect()
+    rows = [r for r in drawn if has_letter(r.text)]
     rows.sort(key=lambda r: (str(r.doc_id), r.text, r.lang))
     return train([r.text for r in rows], [r.lang for r in rows])
 

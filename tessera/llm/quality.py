@@ -6,34 +6,35 @@ task. A document is the mean and spread of its word vectors and the mean step fr
 bounded sample (TRAIN_ROWS labelled rows, drawn by hash of the id); a temperature fitted on held-back rows calibrates it.
 
 Defined cases: null text counts as empty; empty texts score as a document of zero features; repeated rows give repeated
-results; several labels of one doc_id count as the largest; with no labels of both kinds every score is 0.5.
+results; of the rows of one labelled doc_id the network learns from one, that of the smallest text; several labels of one doc_id count as the largest; with no labels of both kinds every score is 0.5.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh32_intdigest
 
-from .common import TokenTable, sampled
+from .common import SPACE, Words, added_up, cut_at_space, sampled, slices
 from .langid import softmax
 
-BUCKETS = 1 << 14
+BITS = 14
+BUCKETS = 1 << BITS
 DIM = 32
 ONES = 4
 WINDOW = 2
 SLICE = 512
 HIDDEN = 32
 TRAIN_ROWS = 6000
-#: Words handled at once.
-AT_ONCE = 1 << 17
-PIECE = 1 << 15
+#: Words whose contexts are summed, and whose vectors are pooled, at once.
+AT_ONCE, PIECE = 1 << 17, 1 << 11
+#: Characters hashed together; a text of more than LONG is read in parts.
+PART, LONG = 100_000, 1_000_000
 
 
 def index_vectors(seed: int) -> np.ndarray:
@@ -45,35 +46,30 @@ def index_vectors(seed: int) -> np.ndarray:
     return out
 
 
-class _Kinds(dict):
-    def __missing__(self, code: int) -> str:
-        c = chr(code)
-        k = self[code] = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
-        return k
+#: Shapes: lower-case ASCII letters and all bytes from 128 on as a, upper-case as A, digits as 0, white space as one sign.
+KINDS = np.arange(256, dtype=np.uint8)
+KINDS[[*range(ord("a"), ord("z") + 1), *range(128, 256)]] = ord("a")
+KINDS[ord("A") : ord("Z") + 1] = ord("A")
+KINDS[ord("0") : ord("9") + 1] = ord("0")
+KINDS[SPACE] = ord(" ")
 
 
-KINDS, RUNS = _Kinds(), re.compile(r"(.)\1+", re.DOTALL)
+def shape(text: bytes) -> bytes:
+    """The kinds of the signs, runs as one; words stay words."""
+    k = KINDS[np.frombuffer(text, dtype=np.uint8)]
+    keep = np.ones(len(k), dtype=bool)
+    np.not_equal(k[1:], k[:-1], out=keep[1:])
+    return k[keep].tobytes()
 
 
-def shape(word: str) -> str:
-    """Runs of lower-case letters as a, of upper-case as A, of digits as 0; other signs stay, runs as one."""
-    return RUNS.sub(r"\1", word.translate(KINDS))
+class Tokens:
+    """Of the words of some texts: hash, bucket of the word and of its shape, text (owner), and each text's first word (begin)."""
 
-
-def buckets(words: list[str]) -> np.ndarray:
-    """Bucket of each word and of its shape."""
-    out = np.empty((len(words), 2), dtype=np.int64)
-    for i, w in enumerate(words):
-        out[i] = xxh32_intdigest(w.encode("utf-8", "replace"), 7) % BUCKETS, xxh32_intdigest(shape(w).encode("utf-8", "replace"), 8) % BUCKETS
-    return out
-
-
-def bags(texts: list[str | None], tokens: TokenTable) -> Iterator[np.ndarray]:
-    """Token ids of the texts, document after document, in pieces of at most AT_ONCE words that overlap by nothing."""
-    for t in texts:
-        words = (t or "").split()
-        for at in range(0, len(words), AT_ONCE):
-            yield tokens.look_up(words[at : at + AT_ONCE])
+    def __init__(self, texts: list[str | None]):
+        w = Words(texts)
+        self.hash, self.owner, self.begin = w.hash, w.owner, np.append(w.begin, len(w.hash))
+        self.word = (w.hash >> np.uint64(64 - BITS)).astype(np.intp)
+        self.shape = (Words([shape(w.data)]).hash >> np.uint64(64 - BITS)).astype(np.intp)
 
 
 def context_sums(w: np.ndarray, index: np.ndarray, into: np.ndarray) -> None:
@@ -102,36 +98,41 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     index = (index_vectors(71), index_vectors(72))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = TokenTable(buckets)
         sums = np.zeros((2, BUCKETS + 1, DIM), dtype=np.int64)
-        gap = np.full(WINDOW, BUCKETS)
-
-        def flush(held: list[np.ndarray]) -> None:
-            for k, add_ in ((0, context_sums), (1, few_context_sums)):
-                add_(np.concatenate([x for ids in held for x in (tokens.rows[ids, k], gap)]), index[k], sums[k])
+        held: list[Tokens] = []
+        n = 0
+
+        def flush() -> None:
+            for k, add_, name in ((0, context_sums, "word"), (1, few_context_sums, "shape")):
+                rows = []
+                for t in held:
+                    x = np.full(len(t.owner) + WINDOW * len(t.begin), BUCKETS)
+                    x[np.arange(len(t.owner)) + WINDOW * t.owner] = getattr(t, name)
+                    rows.append(x)
+                add_(np.concatenate(rows), index[k], sums[k])
 
         for batch in batches:
-            tokens.begin()
-            held, n = [], 0
-            for ids in bags(batch["text"].to_pylist(), tokens):
-                held.append(ids)
-                n += len(ids)
+            for texts in groups(batch):
+                held.append(Tokens(texts))
+                n += len(held[-1].owner)
                 if n >= AT_ONCE:
-                    flush(held)
+                    flush()
                     held, n = [], 0
-            if held:
-                flush(held)
+        if held:
+            flush()
         flat = sums[:, :BUCKETS].reshape(-1, SLICE * DIM)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array([x.astype("<i8").tobytes() for x in flat], pa.binary())], ["slice", "sums"])
+        part = np.full(len(flat), TaskContext.get().partitionId(), dtype=np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(part), pa.array([x.astype("<i8").tobytes() for x in flat], pa.binary())], ["slice", "part", "sums"])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(SLICE * DIM, dtype=np.int64)
         for b in pdf["sums"]:
             total += np.frombuffer(b, dtype="<i8")
-        return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "sums": [total.tobytes()]})
+        return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "part": pdf["part"].iloc[:1], "sums": [total.tobytes()]})
 
-    kind = "slice int, sums binary"
-    rows = docs.select("text").mapInArrow(run, kind).groupBy("slice").applyInPandas(add, kind).collect()
+    kind = "slice int, part int, sums binary"
+    texts = docs.select("text")
+    rows = added_up(texts.mapInArrow(run, kind), texts.rdd.getNumPartitions(), add, kind).collect()
     sums = np.zeros((2 * BUCKETS // SLICE, SLICE * DIM))
     for r in rows:
         sums[r.slice] = np.frombuffer(r.sums, dtype="<i8")
@@ -141,60 +142,81 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     return v.astype(np.float32)
 
 
+def groups(batch: pa.RecordBatch) -> Iterator[list[str | None]]:
+    """The texts of a batch, about PART characters at a time; a longer text comes in parts, each a list of its own."""
+    for part in slices(batch, PART):
+        texts = part["text"].to_pylist()
+        if len(texts) == 1 and len(texts[0] or "") > LONG:
+            yield from ([x] for x in cut_at_space(texts[0], LONG))
+        else:
+            yield texts
+
+
+class Pool:
+    """Sums over the words of one text, which come piece by piece."""
+
+    def __init__(self):
+        self.n, self.same, self.sums, self.last = 0, 0, np.zeros((3, 2 * DIM)), None
+
+    def add(self, x: np.ndarray, h: np.ndarray) -> None:
+        self.n += len(h)
+        self.sums[0] += x.sum(axis=0)
+        if self.last is not None:
+            self.sums[2] += np.abs(x[0] - self.last[0])
+            self.same += int(h[0] == self.last[1])
+        self.last = x[-1].copy(), h[-1]
+        self.same += int((h[1:] == h[:-1]).sum())
+        step = x[1:] - x[:-1]
+        np.abs(step, out=step)
+        self.sums[2] += step.sum(axis=0)
+        x *= x
+        self.sums[1] += x.sum(axis=0)
+
+    def row(self, chars: int) -> np.ndarray:
+        if not self.n:
+            return np.zeros(Features.SIZE)
+        mean, steps = self.sums[0] / self.n, max(self.n - 1, 1)
+        spread = np.sqrt(np.maximum(self.sums[1] / self.n - mean * mean, 0))
+        return np.concatenate((mean, spread, self.sums[2] / steps, [self.same / steps, np.log1p(self.n) / 10, min(chars / self.n, 40) / 10]))
+
+
 class Features:
     """Pooled vectors of whole texts."""
 
     SIZE = 6 * DIM + 3
 
     def __init__(self, vectors: np.ndarray):
-        def values(words: list[str]) -> np.ndarray:
-            b = buckets(words)
-            return np.concatenate((vectors[0][b[:, 0]], vectors[1][b[:, 1]]), axis=1)
+        self.vectors = vectors
 
-        self.tokens = TokenTable(values, cap=100_000)
+    def pool(self, into: Pool, t: Tokens, begin: int, end: int) -> None:
+        for at in range(begin, end, PIECE):
+            some = slice(at, min(end, at + PIECE))
+            x = np.empty((some.stop - at, 2 * DIM), dtype=np.float32)
+            x[:, :DIM] = self.vectors[0].take(t.word[some], axis=0)
+            x[:, DIM:] = self.vectors[1].take(t.shape[some], axis=0)
+            into.add(x, t.hash[some])
 
     def all(self, texts: list[str | None]) -> np.ndarray:
-        """A row for each text; texts are looked up together, very long ones piece by piece."""
-        self.tokens.begin()
-        n, chars = np.zeros(len(texts)), np.array([len(t or "") for t in texts], dtype=float)
-        sums, same = np.zeros((len(texts), 6 * DIM)), np.zeros(len(texts))
-        held: list[tuple[int, list[str], bool]] = []
-
-        def add() -> None:
-            ids = self.tokens.look_up([w for _, words, _ in held for w in words])
-            x = self.tokens.rows[ids]
-            size = np.array([len(words) for _, words, _ in held])
-            starts = np.cumsum(size) - size
-            step = np.zeros_like(x)
-            np.abs(x[1:] - x[:-1], out=step[1:])
-            step[starts] = 0
-            equal = np.concatenate(([False], ids[1:] == ids[:-1]))
-            equal[starts] = False
-            lead = np.array([led for _, _, led in held])
-            at = starts[lead]
-            x[at] = 0  # the word before a piece counts for its step only
-            owner = np.array([i for i, _, _ in held])
-            for k, part in enumerate((x, x * x, step)):
-                np.add.at(sums[:, 2 * DIM * k : 2 * DIM * (k + 1)], owner, np.add.reduceat(part, starts, axis=0))
-            np.add.at(same, owner, np.add.reduceat(equal.astype(float), starts))
-
-        held_words = 0
-        for i, t in enumerate(texts):
-            words = (t or "").split()
-            n[i] = len(words)
-            for at in range(0, len(words), PIECE):
-                held.append((i, words[max(0, at - 1) : at + PIECE], at > 0))
-                held_words += len(held[-1][1])
-                if held_words >= PIECE:
-                    add()
-                    held, held_words = [], 0
-        if held:
-            add()
-        some, steps = np.maximum(n, 1)[:, None], np.maximum(n - 1, 1)
-        mean = sums[:, : 2 * DIM] / some
-        spread = np.sqrt(np.maximum(sums[:, 2 * DIM : 4 * DIM] / some - mean * mean, 0))
-        extra = np.column_stack((same / steps, np.log1p(n) / 10, np.minimum(chars / some[:, 0], 40) / 10))
-        return np.concatenate((mean, spread, sums[:, 4 * DIM :] / steps[:, None], np.where(n[:, None] > 0, extra, 0)), axis=1)
+        """A row for each text; short texts are hashed together, very long ones part by part."""
+        out = np.zeros((len(texts), self.SIZE))
+        chars = np.array([len(t or "") for t in texts], dtype=np.int64)
+        total, at = np.cumsum(chars), 0
+        while at < len(texts):
+            to = max(at + 1, int(np.searchsorted(total, total[at] - chars[at] + PART)))
+            if to == at + 1 and chars[at] > LONG:
+                pool = Pool()
+                for part in cut_at_space(texts[at], LONG):
+                    t = Tokens([part])
+                    self.pool(pool, t, 0, len(t.hash))
+                out[at] = pool.row(chars[at])
+            else:
+                t = Tokens(texts[at:to])
+                for i in range(at, to):
+                    pool = Pool()
+                    self.pool(pool, t, int(t.begin[i - at]), int(t.begin[i - at + 1]))
+                    out[i] = pool.row(chars[i])
+            at = to
+        return out
 
 
 class Network:
@@ -248,9 +270,9 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
     vectors = word_vectors(docs)
     known = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     counts = known.groupBy("quality").agg(F.count("*").alias("n"))
-    few = sampled(known, counts, "quality", train_rows // 2, 7)
-    # at most about train_rows rows by construction, hence the broadcast
-    rows = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("doc_id", "text", "quality").collect()
+    few = sampled(known, counts, "quality", train_rows // 2, 7, ["doc_id"])
+    # at most about train_rows rows by construction, hence the broadcast; an id of several rows counts with one of its texts
+    rows = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: (r.doc_id, r.text or ""))
     return vectors, train(Features(vectors).all([r.text for r in rows]), np.array([r.quality for r in rows], dtype=int))
 
