@@ -5,410 +5,422 @@ classes of their own, the others share REST classes by the hash of their ending.
 over hashed features: the previous word, the previous two, and the one before the previous (a skip). Below a class its words are
 the leaves of a binary tree by bits of their hash; each inner node is a two-way maximum-entropy model over the same features,
 whose bias is the exact share of its sides, so that P(leaf | class, history) is a trained, normalised factor too. Words of one leaf
-share it by their add-one counts. Leaves, weights and class buckets grow with the corpus as its vocabulary does (Shape).
+share it by their add-one counts. Leaves, weights and class buckets grow with the cube root of the tokens (Shape), so that what a
+task holds stays within memory: 2^21 weights at 30 GB, 2^25 at 100 TB.
 
 The weights are trained by distributed gradient updates: in every round each task runs minibatch Adagrad over its training
 documents from the common weights and returns its change; a weight's changes, weighted by tokens, are averaged over the tasks that
-moved it (iterative parameter mixing).
+moved it (iterative parameter mixing), in a tree of groups of tasks.
 
-Counts are exact over all training documents. Documents are dealt by hash into blocks; a block counts its words, words meet by
-key once, and only totals of words that occur in several blocks travel back, so nothing of the vocabulary's size is ever
+Texts are read once: every task turns its documents into blocks of about BLOCK characters (the block's distinct words as 64-bit
+hashes, each token as a place among them), which are written and then serve counting, training and scoring. Counts are exact over
+all training documents but for words of equal hash (among 10^9 distinct words, 3 in 100 corpora have such a pair). Words meet by
+hash once, and only totals of words that occur in several blocks travel back, so nothing of the vocabulary's size is ever
 broadcast or collected.
 
-Defined cases: null text counts as empty: one token, the end; ties among top words go to the smaller word; repeated rows are
-scored and counted each; with nothing to learn from, N and V are 0 and both scores follow the same formulas.
+Defined cases: null text counts as empty: one token, the end; ties among top words go to the smaller hash; repeated rows, equal ids
+and null ids are scored and counted each; a text longer than a block is a block of its own; with nothing to learn from, N and V
+are 0 and both scores follow the same formulas.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import chain
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
-from .common import TokenTable, crc_fold, materialize
+from .common import Words, added_up, crc_fold, cut_at_space, materialize, slices
 
-END = b""
-TOP, REST = 20, 12
+TOP, REST = 4, 12
 CLASSES = TOP + REST
-BUCKETS = 1 << 14
 FEATURES = 3
-ROUNDS = 2
+ROUNDS = 1
 RATE = 0.2
-BATCH = 1 << 15
-SLICES = 32
+#: Tokens of a minibatch at least, and tokens handled at once.
+BATCH, AT_ONCE = 1 << 16, 1 << 12
 #: Characters of text a block holds about.
-BLOCK = 8_000_000
-MIX, TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+BLOCK = 4_000_000
+#: A text of more characters is read in parts.
+LONG = 1_000_000
+#: Weights in a row of a change.
+SLICE = 1 << 15
+END = np.uint64(0x5851F42D4C957F2D)
+M1, M2 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
 
 
 class Shape:
-    """Sizes that follow the corpus: about chars ** (2 / 3) leaves (Heaps' law), twice as many node weights."""
+    """Sizes that follow the number of tokens."""
 
-    def __init__(self, chars: int):
-        most = max(1, int(chars ** (2 / 3)))
-        self.levels = max(0, (most // REST).bit_length() - 1)
-        self.weight_bits = max(16, most.bit_length())
-        self.bucket_bits = max(14, self.weight_bits - 6)
+    def __init__(self, tokens: int):
+        root = round(max(tokens, 0) ** (1 / 3))
+        self.levels = max(0, (32 * root // REST).bit_length() - 1)
+        self.weight_bits = max(16, (2048 * root).bit_length() - 1)
+        self.bucket_bits = max(14, (128 * root).bit_length() - 1)
         self.leaves = REST << self.levels
 
     def leaf(self, h: np.ndarray, k: np.ndarray) -> np.ndarray:
         """Leaf of words of the REST classes k with hashes h."""
-        code = (h * TURN) >> np.uint64(64 - self.levels) if self.levels else np.zeros_like(h)
-        return ((k.astype(np.int64) - TOP) << self.levels) + code.astype(np.int64)
-
-
-def node_bias(leaf_mass: np.ndarray, shape: Shape) -> np.ndarray:
-    """Log odds of the right side of each node; those of class k at (k - TOP) << levels, from 1 on in breadth-first order."""
-    out = np.zeros((REST, 1 << shape.levels), dtype=np.float32)
-    mass = leaf_mass.reshape(REST, -1).astype(np.float64)
-    for d in range(shape.levels - 1, -1, -1):
-        left, right = mass[:, 0::2], mass[:, 1::2]
-        out[:, 1 << d : 2 << d] = np.log(right / left)
-        mass = left + right
-    return out.ravel()
-
-
-def node_steps(nodes: np.ndarray, bias: np.ndarray, shape: Shape, x: np.ndarray, leaf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(log odds, side taken, weights used) at each level of the way to the leaves, after histories x."""
-    code, tree = leaf & ((1 << shape.levels) - 1), (leaf >> shape.levels) << shape.levels
-    for d in range(shape.levels):
-        at = tree + ((1 << d) | (code >> (shape.levels - d)))
-        used = ((x ^ (at.astype(np.uint64) * TURN)[:, None]) * MIX >> np.uint64(64 - shape.weight_bits)).astype(np.int64)
-        yield bias[at] + nodes[used].sum(axis=1), code >> (shape.levels - d - 1) & 1, used
-
-
-def log_leaves(nodes: np.ndarray, bias: np.ndarray, shape: Shape, x: np.ndarray, leaf: np.ndarray) -> np.ndarray:
-    """Natural log-probabilities of the leaves within their classes after histories x."""
-    out = np.zeros(len(leaf))
-    for z, right, _ in node_steps(nodes, bias, shape, x, leaf):
-        out -= np.logaddexp(0, np.where(right == 1, -z, z))
-    return out
-
-
-def node_step(nodes: np.ndarray, bias: np.ndarray, seen: np.ndarray, scratch: np.ndarray, shape: Shape, x: np.ndarray, leaf: np.ndarray) -> None:
-    """One Adagrad update of the nodes on a minibatch, in place; scratch is zero before and after."""
-    held, sums = [], []
-    for z, right, used in node_steps(nodes, bias, shape, x, leaf):
-        held.append(used.ravel())
-        sums.append(np.repeat(1 / (1 + np.exp(-z)) - right, FEATURES))
-    if not held or not len(leaf):
-        return
-    used = np.concatenate(held)
-    np.add.at(scratch, used, np.concatenate(sums).astype(np.float32))
-    moved = np.flatnonzero(scratch) if len(used) > len(scratch) // 8 else np.unique(used)
-    g = scratch[moved]
-    seen[moved] += g * g
-    nodes[moved] -= RATE * g / np.sqrt(seen[moved])
-    scratch[moved] = 0
-
-
-def words_of(text: str | None) -> list[bytes]:
-    return [*(text or "").encode("utf-8", "replace").lower().split(), END]
+        code = (h >> np.uint64(64 - self.levels)).astype(np.int64) if self.levels else np.zeros(len(h), dtype=np.int64)
+        return ((k.astype(np.int64) - TOP) << self.levels) + code
 
 
 def rest_class(word: bytes) -> int:
     return TOP + crc32(word[-2:]) % REST
 
 
-def word_values(top: dict[bytes, int]):
-    """Hash and class of words, for a TokenTable."""
-
-    def values(words: list[bytes]) -> np.ndarray:
-        out = np.empty((len(words), 2), dtype=np.uint64)
-        out[:, 0] = np.fromiter((xxh64_intdigest(w, 10) for w in words), dtype=np.uint64, count=len(words))
-        out[:, 1] = np.fromiter((rest_class(w) if (k := top.get(w)) is None else k for w in words), dtype=np.uint64, count=len(words))
-        return out
-
-    return values
-
-
-def features(h: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """(n, FEATURES) hashes of each token's history; h: hashes of documents on end, first: where a document begins."""
-    n = len(h)
-    back = np.arange(n) - np.maximum.accumulate(np.where(first, np.arange(n), 0))  # words before the token in its document
-    prior = [np.zeros(n, dtype=np.uint64) for _ in range(2)]
-    for d, p in enumerate(prior, 1):
-        p[d:] = np.where(back[d:] >= d, h[:-d], np.uint64(d))
-    out = np.empty((n, FEATURES), dtype=np.uint64)
-    for j, x in enumerate((prior[0], (prior[1] * MIX) ^ prior[0], prior[1])):
-        out[:, j] = (x + np.uint64(j)) * MIX
-    return out
+def ending_classes() -> np.ndarray:
+    """rest_class by the last byte and, times 256, the byte before; the second half is for words of one byte."""
+    two = [rest_class(bytes((c >> 8, c & 255))) for c in range(1 << 16)]
+    return np.array(two + [rest_class(bytes((c,))) for c in range(256)], dtype=np.uint8)
+
+
+class Tree:
+    """The way from the root of its class to each leaf: hash, bias (log odds of the side taken) and side (1 or -1) of the nodes."""
+
+    def __init__(self, leaf_mass: np.ndarray, shape: Shape):
+        code = np.arange(shape.leaves)
+        within, tree = code & ((1 << shape.levels) - 1), (code >> shape.levels) << shape.levels
+        n = (shape.leaves, shape.levels)
+        self.hash, self.bias, self.side = np.empty(n, np.uint32), np.empty(n, np.float32), np.empty(n, np.float32)
+        mass = leaf_mass.reshape(REST, -1).astype(np.float64)
+        for d in range(shape.levels - 1, -1, -1):
+            left, right = mass[:, 0::2], mass[:, 1::2]
+            odds = np.zeros((REST, 1 << shape.levels))
+            odds[:, 1 << d : 2 << d] = np.log(right / left)
+            mass = left + right
+            at = tree + ((1 << d) | (within >> (shape.levels - d)))
+            self.hash[:, d] = at.astype(np.uint32) * M2
+            self.side[:, d] = (within >> (shape.levels - d - 1) & 1) * 2 - 1
+            self.bias[:, d] = odds.ravel()[at] * self.side[:, d]
+
+
+def histories(t: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """(FEATURES, n) hashes of each token's history; t: 32-bit hashes of documents on end, first: where a document begins."""
+    n = len(t)
+    one, two = np.ones(n, dtype=np.uint32), np.full(n, 2, dtype=np.uint32)
+    one[1:] = t[:-1]
+    two[2:] = t[:-2]
+    one[first] = 1
+    two[first] = 2
+    two[1:][first[:-1]] = 2
+    x = np.empty((FEATURES, n), dtype=np.uint32)
+    x[0] = one * M1
+    x[1] = ((two * M2) ^ one) * M1
+    x[2] = (two + np.uint32(3)) * M2
+    x ^= x >> np.uint32(15)
+    return x
+
+
+def node_places(x: np.ndarray, tree: Tree, leaf: np.ndarray, shape: Shape) -> list[np.ndarray]:
+    """For each feature the (n, levels) places of the weights on the way to the leaves."""
+    way, shift = tree.hash[leaf], np.uint32(32 - shape.weight_bits)
+    return [(((h[:, None] ^ way) * M1) >> shift).astype(np.intp) for h in x]
+
+
+def side_odds(nodes: np.ndarray, tree: Tree, leaf: np.ndarray, places: list[np.ndarray]) -> np.ndarray:
+    """(n, levels) log odds of the sides taken."""
+    z = nodes.take(places[0])
+    for p in places[1:]:
+        z += nodes.take(p)
+    z *= tree.side[leaf]
+    z += tree.bias[leaf]
+    return z
 
 
-def buckets_of(x: np.ndarray, bits: int) -> np.ndarray:
-    """Buckets of history hashes."""
-    return (x >> np.uint64(64 - bits)).astype(np.int64)
+def log_leaves(nodes: np.ndarray, tree: Tree, shape: Shape, x: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+    """Natural log-probabilities of the leaves within their classes after histories x."""
+    z = side_odds(nodes, tree, leaf, node_places(x, tree, leaf, shape))
+    return -np.log1p(np.exp(np.minimum(-z, 80))).sum(axis=1, dtype=np.float64)
 
 
-def logits(weights: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
-    """Scores of the classes after each history, less the largest."""
-    z = weights[f[:, 0]]
+def shares(weights: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
+    """(n, CLASSES) probabilities of the classes after histories in buckets f."""
+    z = weights.take(f[0], axis=0)
     for j in range(1, FEATURES):
-        z += weights[f[:, j]]
+        z += weights.take(f[j], axis=0)
     z += bias
-    z -= z.max(axis=1, keepdims=True)
+    np.minimum(z, 60, out=z)
+    np.exp(z, out=z)
+    z /= (z @ np.ones(CLASSES, dtype=z.dtype))[:, None]
     return z
 
 
-def log_classes(weights: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
-    """Natural log-probabilities of the classes after each history."""
-    z = logits(weights, bias, f)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
-
-
-def sgd_step(weights: np.ndarray, bias: np.ndarray, seen: np.ndarray, f: np.ndarray, c: np.ndarray) -> None:
-    """One Adagrad update on a minibatch, in place."""
-    g = logits(weights, bias, f)
-    np.exp(g, out=g)
-    g /= g.sum(axis=1, keepdims=True)
-    g[np.arange(len(c)), c] -= 1
-    # a class at a time, whose sums by bucket in use fit the processor's cache
-    moved, f = np.unique(f, return_inverse=True)
-    f = f.reshape(-1, FEATURES)
-    total, columns = np.zeros((CLASSES, len(moved))), [np.ascontiguousarray(f[:, j]) for j in range(FEATURES)]
-    for k, own in enumerate(np.ascontiguousarray(g.T, dtype=np.float64)):
-        for at in columns:
-            total[k] += np.bincount(at, weights=own, minlength=len(moved))
-    total = np.ascontiguousarray(total.T, dtype=np.float32)
-    seen[moved] += (total * total).sum(axis=1) / CLASSES
-    weights[moved] -= RATE * total / np.sqrt(seen[moved])[:, None]
-    bias -= 0.02 * g.mean(axis=0)
-
-
-class Model:
-    def __init__(self, top: dict[bytes, int], leaf_mass: np.ndarray, n: int, v: int, shape: Shape, weights: np.ndarray, bias: np.ndarray, nodes: np.ndarray):
-        """top: class of the most frequent tokens; leaf_mass: sum of count + 1 in each leaf; n, v: training tokens, distinct."""
-        self.top, self.leaf_mass, self.n, self.v, self.shape = top, leaf_mass, n, v, shape
-        self.weights, self.bias, self.nodes = weights, bias, nodes
-
-
-def with_block(docs: DataFrame, modulus: int, held: int) -> tuple[DataFrame, int]:
-    """Rows (block, doc_id, held_out, text) dealt evenly by block, and the number of characters."""
-    chars = docs.agg(F.sum(F.length("text")).alias("n")).first().n or 0
-    blocks = max(1, -(-chars // BLOCK))
-    fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % modulus == held
-    placed = docs.select(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)).alias("block"), "doc_id", fold.alias("held_out"), "text")
-    return placed.repartition(blocks, "block"), chars
-
-
-def gather(docs: DataFrame, modulus: int, held: int) -> tuple[DataFrame, int, int, dict[bytes, int], np.ndarray, np.ndarray, Shape]:
-    """(totals, N, V, top, class masses, leaf masses, shape): totals(block, word, total) for the words that several blocks have."""
-    placed, chars = with_block(docs, modulus, held)
-    shape = Shape(chars)
+class Trainer:
+    """Minibatch Adagrad from given weights."""
+
+    def __init__(self, weights: np.ndarray, bias: np.ndarray, nodes: np.ndarray, tree: Tree, shape: Shape):
+        self.weights, self.bias, self.nodes, self.tree, self.shape = weights.copy(), bias.copy(), nodes.copy(), tree, shape
+        self.seen, self.seen_nodes = np.ones(len(weights), dtype=np.float32), np.ones(len(nodes), dtype=np.float32)
+        self.sums = np.zeros(len(nodes), dtype=np.float32)
+        self.batch = max(BATCH, len(weights), len(nodes) >> 5)
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.n = self.waiting = 0
+
+    def add(self, x: np.ndarray, c: np.ndarray, leaf: np.ndarray) -> None:
+        """Gradients of some tokens; an update once a minibatch is full."""
+        f = (x >> np.uint32(32 - self.shape.bucket_bits)).astype(np.intp)
+        g = shares(self.weights, self.bias, f)
+        g[np.arange(len(c)), c] -= 1
+        self.held.append((f, g))
+        own = c >= TOP
+        if self.shape.levels and own.any():
+            x, leaf = x[:, own], leaf[own]
+            places = node_places(x, self.tree, leaf, self.shape)
+            z = side_odds(self.nodes, self.tree, leaf, places)
+            up = (self.tree.side[leaf] / (-1 - np.exp(np.minimum(z, 80)))).ravel()
+            for p in places:
+                np.add.at(self.sums, p.ravel(), up)
+        self.n += len(c)
+        self.waiting += len(c)
+        if self.waiting >= self.batch:
+            self.update()
+
+    def update(self) -> None:
+        if not self.waiting:
+            return
+        f = np.concatenate([f for f, _ in self.held], axis=1)
+        g = np.concatenate([g for _, g in self.held])
+        by_class = np.ascontiguousarray(g.T, dtype=np.float64)
+        total = np.empty((CLASSES, len(self.weights)), dtype=np.float32)
+        for k in range(CLASSES):
+            total[k] = sum(np.bincount(f[j], weights=by_class[k], minlength=len(self.weights)) for j in range(FEATURES))
+        total = np.ascontiguousarray(total.T)
+        self.seen += np.einsum("ij,ij->i", total, total) / CLASSES
+        total *= (RATE / np.sqrt(self.seen))[:, None]
+        self.weights -= total
+        self.bias -= 0.02 * g.mean(axis=0)
+        self.seen_nodes += self.sums * self.sums
+        self.nodes -= RATE * self.sums / np.sqrt(self.seen_nodes)
+        self.sums[:] = 0
+        self.held, self.waiting = [], 0
+
+
+class Block:
+    """Some documents' tokens: hashes and classes of the distinct words, and for each token its word and whether a document begins."""
+
+    @classmethod
+    def of(cls, batch: pa.RecordBatch, i: int, top: np.ndarray, shape: Shape) -> Block:
+        vocab, kind, at = (batch[c][i].as_py() for c in ("vocab", "kind", "at"))
+        return cls(vocab, kind, at, batch["sizes"][i].values.to_numpy(), top, shape)
+
+    def __init__(self, vocab: bytes, kind: bytes, at: bytes, size: np.ndarray, top: np.ndarray, shape: Shape):
+        h = np.frombuffer(vocab, dtype="<u8")
+        self.kind, self.at, self.size = np.frombuffer(kind, dtype=np.uint8).astype(np.intp), np.frombuffer(at, dtype="<u4").astype(np.intp), size
+        self.leaf = shape.leaf(h, self.kind)
+        for k, t in enumerate(top):
+            self.kind[h == t] = k
+        self.short = (h >> np.uint64(16)).astype(np.uint32)
+        self.first = np.zeros(len(self.at), dtype=bool)
+        self.first[np.cumsum(size) - size] = True
+
+    def pieces(self) -> Iterator[tuple[slice, np.ndarray]]:
+        """(tokens, histories) about AT_ONCE tokens at a time."""
+        for at in range(0, len(self.at), AT_ONCE):
+            lead, to = min(at, 2), min(len(self.at), at + AT_ONCE)
+            yield slice(at, to), histories(self.short[self.at[at - lead : to]], self.first[at - lead : to])[:, lead:]
+
+
+def hashed(texts: list[str | None], endings: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes and classes by ending of the tokens of some texts, each with its end, and each text's number of tokens."""
+    w = Words([(t or "").encode("utf-8", "surrogatepass").lower() for t in texts])
+    data = np.frombuffer(w.data, dtype=np.uint8)
+    code = data[w.end - 1].astype(np.int64)
+    code += np.where(w.end - w.start > 1, data[np.maximum(w.end - 2, 0)].astype(np.int64) << 8, 1 << 16)
+    size = np.bincount(w.owner, minlength=len(texts)) + 1
+    is_end = np.zeros(int(size.sum()), dtype=bool)
+    is_end[np.cumsum(size) - 1] = True
+    h, k = np.full(len(is_end), END), np.full(len(is_end), rest_class(b""), dtype=np.uint8)
+    h[~is_end], k[~is_end] = w.hash, endings[code]
+    return h, k, size
+
+
+def hashed_long(text: str, endings: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same of one long text, in parts of about LONG characters cut at white space."""
+    h, k = [], []
+    for part in cut_at_space(text, LONG):
+        a, b, _ = hashed([part], endings)
+        h.append(a[:-1]), k.append(b[:-1])
+    h.append(a[-1:]), k.append(b[-1:])
+    h = np.concatenate(h)
+    return h, np.concatenate(k), np.array([len(h)])
+
+
+def coded(docs: DataFrame, modulus: int, held: int) -> DataFrame:
+    """docs(doc_id, text) as blocks: ids, sizes in tokens and held_out of their documents; vocab (hashes), kind (classes by ending)
+    and n (training count) of their distinct words; at: each token's place among these."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by: dict[int, Counter] = defaultdict(Counter)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        endings, block = ending_classes(), TaskContext.get().partitionId() << 32
+        ids, parts, chars = [], [], 0
+
+        def full() -> pa.RecordBatch:
+            who = pa.concat_arrays(ids)
+            out = np.array([crc_fold(i, modulus) == held for i in who.to_pylist()], dtype=bool)
+            size = np.concatenate([p[2] for p in parts])
+            codes, vocab = pd.factorize(np.concatenate([p[0] for p in parts]))
+            by = np.empty(len(vocab), dtype=np.uint8)
+            by[codes] = np.concatenate([p[1] for p in parts])
+            n = np.bincount(codes[np.repeat(~out, size)], minlength=len(vocab))
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(who)], pa.int32()), x) for x in (who, pa.array(size), pa.array(out))]
+            data = [pa.array([x.tobytes()], pa.binary()) for x in (vocab.astype("<u8"), by, n.astype("<i8"), codes.astype("<u4"))]
+            return pa.RecordBatch.from_arrays([pa.array([block]), *lists, *data], ["block", "ids", "sizes", "held_out", "vocab", "kind", "n", "at"])
+
+        for batch in batches:
+            for part in slices(batch, AT_ONCE * 32):
+                texts = part["text"].to_pylist()
+                parts.append(hashed_long(texts[0], endings) if len(texts) == 1 and len(texts[0] or "") > LONG else hashed(texts, endings))
+                ids.append(part["doc_id"])
+                chars += sum(len(t or "") for t in texts)
+                if chars >= BLOCK:
+                    yield full()
+                    ids, parts, chars, block = [], [], 0, block + 1
+        if ids:
+            yield full()
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"block long, ids array<{kind}>, sizes array<long>, held_out array<boolean>, vocab binary, kind binary, n binary, at binary")
+
+
+def gather(blocks: DataFrame) -> tuple[DataFrame, int, int, np.ndarray, np.ndarray, np.ndarray, Shape]:
+    """(totals, N, V, top, class masses, leaf masses, shape): totals(block, place, total) for the words that several blocks have."""
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for block, out, t in zip(b["block"].to_pylist(), b["held_out"].to_pylist(), b["text"].to_pylist(), strict=True):
-                if out:
-                    by[block].update(dict.fromkeys(words_of(t), 0))
-                else:
-                    by[block].update(words_of(t))
-        for block, c in by.items():
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(c), block)), pa.array(list(c), pa.binary()), pa.array(list(c.values()), pa.int64())], ["block", "word", "n"])
-
-    pairs = placed.select("block", "held_out", "text").mapInArrow(count, "block long, word binary, n long")
-
-    # a word's group has at most one row a block
-    def total(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        mass, n, v, best = np.zeros(shape.leaves, dtype=np.int64), 0, 0, Counter()
-        left = None
-        for pdf in chain((b for b in batches if len(b)), (None,)):
-            if pdf is None:
-                whole = left
-            else:
-                pdf = pd.concat([left, pdf], ignore_index=True) if left is not None else pdf
-                other = np.flatnonzero((pdf["word"] != pdf["word"].iloc[-1]).to_numpy())
-                cut = int(other[-1]) + 1 if len(other) else 0
-                whole, left = pdf.iloc[:cut], pdf.iloc[cut:]
-            if whole is None or not len(whole):
-                continue
-            word, c = whole["word"].to_numpy(), whole["n"].to_numpy()
-            new = np.concatenate(([True], word[1:] != word[:-1]))
-            starts = np.flatnonzero(new)
-            totals = np.add.reduceat(c, starts)
-            size = np.diff(np.append(starts, len(word)))
-            known = np.flatnonzero(totals > 0)
-            n, v = n + int(totals.sum()), v + len(known)
-            kinds = np.fromiter((rest_class(w) for w in word[starts[known]]), dtype=np.int64, count=len(known))
-            hashes = np.fromiter((xxh64_intdigest(w, 10) for w in word[starts[known]]), dtype=np.uint64, count=len(known))
-            np.add.at(mass, shape.leaf(hashes, kinds), totals[known] + 1)
-            for i in known[np.argsort(-totals[known], kind="stable")[: 4 * TOP]]:
-                best[word[starts[i]]] = int(totals[i])
-            best = Counter(dict(sorted(best.items(), key=lambda x: (-x[1], x[0]))[:TOP]))
-            many = np.repeat(size > 1, size)
-            yield pd.DataFrame({"block": whole["block"].to_numpy()[many], "word": word[many], "total": np.repeat(totals, size)[many], "kind": np.int32(0)})
-        own = [(-1, b"", n, 1), (-1, b"", v, 2), *((-1, w, c, 4) for w, c in best.items())]
-        yield pd.DataFrame(own, columns=["block", "word", "total", "kind"])
-        leaves = np.flatnonzero(mass)
-        yield pd.DataFrame({"block": leaves, "word": b"", "total": mass[leaves], "kind": np.int32(3)})
-
-    def slice_(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.zeros(1 << 16, dtype="<i8")
-        x[pdf["block"].to_numpy() & 0xFFFF] = pdf["total"]
-        return pd.DataFrame({"slice": [int(pdf["block"].iloc[0]) >> 16], "mass": [x.tobytes()]})
-
-    shuffle = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = pairs.repartition(shuffle, "word").sortWithinPartitions("word", "block")
-    found = materialize(found.mapInPandas(total, "block long, word binary, total long, kind int"), "totals")
-    # a bounded number of rows from each task: sums by kind, and candidates for the TOP words
-    sums = {r.kind: r.total for r in found.where("kind in (1, 2)").groupBy("kind").agg(F.sum("total").alias("total")).collect()}
-    first = found.where("kind = 4").orderBy(F.desc("total"), "word").limit(TOP).collect()
-    by_leaf = found.where("kind = 3").groupBy("block").agg(F.sum("total").alias("total"))
-    by_slice = by_leaf.groupBy(F.shiftright("block", 16)).applyInPandas(slice_, "slice long, mass binary").collect()
-    leaf_mass = np.zeros(-(-shape.leaves // (1 << 16)) << 16, dtype=np.float64)
-    for r in by_slice:
-        leaf_mass[r.slice << 16 : (r.slice + 1) << 16] = np.frombuffer(r.mass, dtype="<i8")
-    leaf_mass = leaf_mass[: shape.leaves] + 1  # the unknown word of each leaf
-    top, mass = {}, np.zeros(CLASSES)
-    for k, r in enumerate(first):
-        w = bytes(r.word)
-        top[w] = k
+            for block, vocab, kind, n in zip(b["block"].to_pylist(), b["vocab"].to_pylist(), b["kind"].to_pylist(), b["n"].to_pylist(), strict=True):
+                h = np.frombuffer(vocab, dtype="<i8")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h), pa.array(np.frombuffer(kind, dtype=np.int8)), pa.array(np.full(len(h), block)), pa.array(np.arange(len(h), dtype=np.int32)), pa.array(np.frombuffer(n, dtype="<i8"))], ["h", "kind", "block", "place", "n"]
+                )
+
+    each = blocks.select("block", "vocab", "kind", "n").mapInArrow(words, "h long, kind byte, block long, place int, n long")
+    by_word = Window.partitionBy("h")
+    met = each.select("*", F.sum("n").over(by_word).alias("total"), F.count("*").over(by_word).alias("blocks"), F.min("block").over(by_word).alias("least"))
+    met = materialize(met.select("h", "kind", "block", "place", "total", (F.col("blocks") > 1).alias("many"), (F.col("block") == F.col("least")).alias("first")), "totals")
+    shape = Shape(blocks.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0)
+    known = met.where("first and total > 0")
+    code = F.shiftrightunsigned("h", 64 - shape.levels) if shape.levels else F.lit(0).cast("long")
+    leaf = F.shiftleft(F.col("kind").cast("long") - TOP, shape.levels) + code
+    sums = known.groupBy(leaf.alias("leaf")).agg(F.sum("total").alias("n"), F.count("*").alias("v")).toArrow()
+    n, v = (sums[c].to_numpy().astype(np.int64) for c in ("n", "v"))
+    leaf_mass = np.ones(shape.leaves)  # the unknown word of each leaf
+    leaf_mass[sums["leaf"].to_numpy()] += n + v
+    most = known.orderBy(F.desc("total"), "h").select("h", "kind", "total").limit(TOP).collect()
+    top, mass = np.array([r.h for r in most], dtype=np.int64).view(np.uint64), np.zeros(CLASSES)
+    for k, r in enumerate(most):
         mass[k] = r.total + 1
-        leaf_mass[shape.leaf(np.array([xxh64_intdigest(w, 10)], dtype=np.uint64), np.array([rest_class(w)]))] -= r.total + 1
+        leaf_mass[shape.leaf(top[k : k + 1], np.array([r.kind]))] -= r.total + 1
     mass[TOP:] = leaf_mass.reshape(REST, -1).sum(axis=1)
-    return found.where("kind = 0").select("block", "word", "total"), sums.get(1, 0), sums.get(2, 0), top, mass, leaf_mass, shape
+    return met.where("many").select("block", "place", "total"), int(n.sum()), int(v.sum()), top, mass, leaf_mass, shape
 
 
-def train(docs: DataFrame, top: dict[bytes, int], mass: np.ndarray, leaf_mass: np.ndarray, shape: Shape, modulus: int, held: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def train(blocks: DataFrame, top: np.ndarray, mass: np.ndarray, leaf_mass: np.ndarray, shape: Shape, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Class weights, class bias and node weights after some rounds over every training document."""
     buckets, size = 1 << shape.bucket_bits, 1 << shape.weight_bits
     weights, nodes = np.zeros((buckets, CLASSES), dtype=np.float32), np.zeros(size, dtype=np.float32)
     bias = np.log(np.maximum(mass, 1e-3) / max(mass.sum(), 1)).astype(np.float32)
-    odds = node_bias(leaf_mass, shape)
+    slices_ = max(1, (buckets * CLASSES + size) // SLICE)
+    kind = "slice int, part int, n long, total binary, weight binary"
+    blocks = blocks.select("sizes", "held_out", "vocab", "kind", "at")
+
+    def add_up(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Sums of changes times tokens and of the tokens behind them; a row without weight is a task's own change."""
+        total = weight = None
+        for n, a, b in sorted(zip(pdf["n"], pdf["total"], pdf["weight"], strict=True)):
+            x = np.frombuffer(a, dtype="<f4" if b == b"" else "<f8")
+            if total is None:
+                total, weight = np.zeros(len(x)), np.zeros(len(x))
+            total += x * float(n) if b == b"" else x
+            weight += (x != 0) * float(n) if b == b"" else np.frombuffer(b, dtype="<f8")
+        return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "part": pdf["part"].iloc[:1], "n": [int(pdf["n"].sum())], "total": [total.tobytes()], "weight": [weight.tobytes()]})
+
     for _ in range(rounds):
 
         def run(batches: Iterator[pa.RecordBatch], w0: np.ndarray = weights, b0: np.ndarray = bias, v0: np.ndarray = nodes) -> Iterator[pa.RecordBatch]:
-            w, b, seen = w0.copy(), b0.copy(), np.ones(buckets, dtype=np.float32)
-            v, seen_v, scratch = v0.copy(), np.ones(size, dtype=np.float32), np.zeros(size, dtype=np.float32)
-            tokens, n = TokenTable(word_values(top)), 0
+            t = Trainer(w0, b0, v0, Tree(leaf_mass, shape), shape)
             for batch in batches:
-                tokens.begin()
-                keep = [t for i, t in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True) if crc_fold(i, modulus) != held]
-                for x, first in pieces_of(keep, tokens):
-                    past, c = features(x[:, 0], first), x[:, 1].astype(np.int64)
-                    f, rest = buckets_of(past, shape.bucket_bits), c >= TOP
-                    for at in range(0, len(c), BATCH):
-                        some = slice(at, at + BATCH)
-                        sgd_step(w, b, seen, f[some], c[some])
-                        own = rest[some]
-                        node_step(v, odds, seen_v, scratch, shape, past[some][own], shape.leaf(x[some, 0][own], c[some][own]))
-                    n += len(c)
-            if n:
-                change = np.concatenate(((w - w0).reshape(SLICES, -1), (v - v0).reshape(SLICES, -1), np.tile(b - b0, (SLICES, 1))), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLICES, dtype=np.int32)), pa.array(np.full(SLICES, n)), pa.array([x.astype("<f4").tobytes() for x in change], pa.binary())], ["slice", "n", "change"])
-
-        def mean(pdf: pd.DataFrame) -> pd.DataFrame:
-            total, n = None, None
-            for k, c in sorted(zip(pdf["n"], pdf["change"], strict=True)):
-                x = np.frombuffer(c, dtype="<f4").astype(np.float64)
-                total, n = (np.zeros(len(x)), np.zeros(len(x))) if total is None else (total, n)
-                total += x * k
-                n += (x != 0) * float(k)
-            return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "n": [int(pdf["n"].sum())], "change": [(total / np.maximum(n, 1)).astype("<f4").tobytes()]})
-
-        kind = "slice int, n long, change binary"
-        rows = docs.select("doc_id", "text").mapInArrow(run, kind).groupBy("slice").applyInPandas(mean, kind).collect()
+                for i in range(len(batch)):
+                    block = Block.of(batch, i, top, shape)
+                    learn = np.repeat(~batch["held_out"][i].values.to_numpy(zero_copy_only=False), block.size)
+                    for some, x in block.pieces():
+                        own = learn[some]
+                        if own.any():
+                            at = block.at[some][own]
+                            t.add(x[:, own], block.kind[at], block.leaf[at])
+            t.update()
+            if t.n:
+                change = np.concatenate(((t.weights - w0).ravel(), t.nodes - v0)).reshape(slices_, -1)
+                change = np.concatenate((change, np.tile(t.bias - b0, (slices_, 1))), axis=1).astype("<f4")
+                part = TaskContext.get().partitionId()
+                columns = [np.arange(slices_, dtype=np.int32), np.full(slices_, part, dtype=np.int32), np.full(slices_, t.n)]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array([x.tobytes() for x in change], pa.binary()), pa.array([b""] * slices_, pa.binary())], ["slice", "part", "n", "total", "weight"])
+
+        rows = added_up(blocks.mapInArrow(run, kind), blocks.rdd.getNumPartitions(), add_up, kind).select("slice", "total", "weight").collect()
         weights, bias, nodes = weights.copy(), bias.copy(), nodes.copy()
-        per, own = buckets // SLICES, size // SLICES
+        flat, per = np.concatenate((weights.ravel(), nodes)), (buckets * CLASSES + size) // slices_
         for r in rows:
-            x = np.frombuffer(r.change, dtype="<f4")
-            weights[r.slice * per : (r.slice + 1) * per] += x[: per * CLASSES].reshape(per, CLASSES)
-            nodes[r.slice * own : (r.slice + 1) * own] += x[per * CLASSES : per * CLASSES + own]
+            x = np.frombuffer(r.total, dtype="<f8") / np.maximum(np.frombuffer(r.weight, dtype="<f8"), 1)
+            flat[r.slice * per : (r.slice + 1) * per] += x[:per]
             if r.slice == 0:
-                bias += x[per * CLASSES + own :]
+                bias += x[per:]
+        weights, nodes = flat[: buckets * CLASSES].reshape(buckets, CLASSES), flat[buckets * CLASSES :]
     return weights, bias, nodes
 
 
-def pieces_of(texts: list[str | None], tokens: TokenTable, most: int = 1 << 16) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(values, first) of documents on end, about most tokens at a time; a longer document is cut, its history starting anew."""
-    held, n = [], 0
-    for t in texts:
-        words = words_of(t)
-        for at in range(0, len(words), most):
-            held.append(tokens.look_up(words[at : at + most]))
-            n += len(held[-1])
-            if n >= most:
-                yield joined(held, tokens)
-                held, n = [], 0
-    if held:
-        yield joined(held, tokens)
-
-
-def joined(held: list[np.ndarray], tokens: TokenTable) -> tuple[np.ndarray, np.ndarray]:
-    first = np.zeros(sum(map(len, held)), dtype=bool)
-    first[np.cumsum([0, *map(len, held[:-1])])] = True
-    return tokens.rows[np.concatenate(held)], first
-
-
-def score_block(pdf: pd.DataFrame, answers: pd.DataFrame, model: Model) -> pd.DataFrame:
-    """Scores of a block's documents; answers(word, total) for words that other blocks have too, the rest is counted here."""
-    total = Counter()
-    for out, t in zip(pdf["held_out"], pdf["text"], strict=True):
-        if not out:
-            total.update(words_of(t))
-    total.update({w: 0 for w in answers["word"]})
-    for w, c in zip(answers["word"], answers["total"], strict=True):
-        total[w] = c
-    plain = word_values(model.top)
-
-    def values(words: list[bytes]) -> np.ndarray:
-        return np.column_stack((plain(words), np.fromiter((total.get(w, 0) for w in words), dtype=np.uint64, count=len(words))))
-
-    tokens = TokenTable(values)
-    base_all = np.log10(model.n + model.v + 1)
-    odds, log_leaf = node_bias(model.leaf_mass, model.shape), np.log10(model.leaf_mass)
-    rows = []
-    for t in pdf["text"]:
-        words = words_of(t)
-        known, base, score, ids = 0, 0.0, 0.0, tokens.look_up(words)
-        for at in range(0, len(ids), 1 << 14):
-            lead = min(at, 2)
-            x = tokens.rows[ids[at - lead : at + (1 << 14)]]
-            first = np.zeros(len(x), dtype=bool)
-            first[0] = at == 0
-            past = features(x[:, 0], first)[lead:]
-            x = x[lead:]
-            c, k = x[:, 2].astype(np.int64), x[:, 1].astype(np.int64)
-            known += int((c > 0).sum())
-            own = np.log10(c + 1.0)
-            base += float((own - base_all).sum())
-            f = buckets_of(past, model.shape.bucket_bits)
-            p = log_classes(model.weights, model.bias, f)[np.arange(len(k)), k].astype(np.float64)
-            rest = k >= TOP
-            leaf = model.shape.leaf(x[rest, 0], k[rest])
-            inner = log_leaves(model.nodes, odds, model.shape, past[rest], leaf)
-            score += float((p.sum() + inner.sum()) / np.log(10) + (own[rest] - log_leaf[leaf]).sum())
-        rows.append((len(words), known, base, score))
-    out = pd.DataFrame(rows, columns=["n_tokens", "n_known", "base_score", "score"])
-    out.insert(0, "doc_id", pdf["doc_id"].to_numpy())
-    out.insert(1, "held_out", pdf["held_out"].to_numpy())
-    out["train_tokens"] = model.n
-    return out
+class Model:
+    def __init__(self, top: np.ndarray, leaf_mass: np.ndarray, n: int, v: int, shape: Shape, weights: np.ndarray, bias: np.ndarray, nodes: np.ndarray):
+        """top: hashes of the most frequent tokens; leaf_mass: sum of count + 1 in each leaf; n, v: training tokens, distinct."""
+        self.top, self.leaf_mass, self.n, self.v, self.shape = top, leaf_mass, n, v, shape
+        self.weights, self.bias, self.nodes = weights, bias, nodes
+
+
+def score_block(block: Block, count: np.ndarray, model: Model, tree: Tree) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(known tokens, base score, score) of a block's documents; count: of each word of the block."""
+    own, log_leaf = np.log10(count + 1.0), np.log10(model.leaf_mass)
+    base = own - np.log10(model.n + model.v + 1)
+    inside = own - log_leaf[np.clip(block.leaf, 0, len(log_leaf) - 1)]
+    score = np.empty(len(block.at))
+    for some, x in block.pieces():
+        at = block.at[some]
+        k = block.kind[at]
+        f = (x >> np.uint32(32 - model.shape.bucket_bits)).astype(np.intp)
+        p = np.log(shares(model.weights, model.bias, f)[np.arange(len(k)), k] + 1e-30).astype(np.float64)
+        rest = np.flatnonzero(k >= TOP)
+        if model.shape.levels:
+            p[rest] += log_leaves(model.nodes, tree, model.shape, x[:, rest], block.leaf[at[rest]])
+        p /= np.log(10)
+        p[rest] += inside[at[rest]]
+        score[some] = p
+    begin = np.cumsum(block.size) - block.size
+    return np.add.reduceat((count > 0).astype(np.int64)[block.at], begin), np.add.reduceat(base[block.at], begin), np.add.reduceat(score, begin)
 
 
 def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
     """Rows (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of docs. Learns from the rows
     whose crc32 of the id modulo modulus is not held."""
     docs = docs.select("doc_id", "text")
-    totals, n, v, top, mass, leaf_mass, shape = gather(docs, modulus, held)
-    weights, bias, nodes = train(docs, top, mass, leaf_mass, shape, modulus, held)
-    model = Model(top, leaf_mass, n, v, shape, weights, bias, nodes)
-    placed, _ = with_block(docs, modulus, held)
+    blocks = materialize(coded(docs, modulus, held), "blocks", compression="zstd")
+    totals, n, v, top, mass, leaf_mass, shape = gather(blocks)
+    model = Model(top, leaf_mass, n, v, shape, *train(blocks, top, mass, leaf_mass, shape))
     kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def run(pdf: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        return score_block(pdf, answers, model)
-
-    scored = placed.groupBy("block").cogroup(totals.groupBy("block")).applyInPandas(
-        run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, train_tokens long"
-    )
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    out = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    names = [f.split()[0] for f in out.split(", ")]
+
+    def run(own: pa.Table, answers: pa.Table) -> pa.Table:
+        tree, done = Tree(model.leaf_mass, model.shape), []
+        for batch in own.combine_chunks().to_batches():
+            for i in range(len(batch)):  # one
+                block = Block.of(batch, i, model.top, model.shape)
+                count = np.frombuffer(batch["n"][i].as_py(), dtype="<i8").copy()
+                count[answers["place"].to_numpy()] = answers["total"].to_numpy()
+                known, base, s = score_block(block, count, model, tree)
+                columns = [batch["ids"][i].values, batch["held_out"][i].values, batch["sizes"][i].values, known, np.full(len(s), model.n), base, s]
+                done.append(pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names))
+        return pa.Table.from_batches(done)
+
+    return blocks.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(run, out)

@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, decontaminate, langid, lm, packing, pii, quality
+from tessera.llm import chat, common, decontaminate, langid, lm, packing, pii, quality
 
 from .conftest import prose
 
@@ -294,6 +294,41 @@ def test_context_sums():
         assert (got == want).all()
 
 
+def test_features_against_a_plain_version(monkeypatch):
+    """Words one by one, texts in many pieces."""
+    rng, gen = random.Random(21), np.random.default_rng(21)
+    vectors = gen.normal(size=(2, quality.BUCKETS, quality.DIM)).astype(np.float32)
+    texts = [prose(rng, rng.randint(1, 300)) for _ in range(12)] + [None, "", " \n", "one", "same same same", "Ünï 12-34 ABC!! 漢字", prose(rng, 900)]
+    monkeypatch.setattr(quality, "PIECE", 7)
+    monkeypatch.setattr(quality, "PART", 1500)
+    monkeypatch.setattr(quality, "LONG", 2000)
+    got = quality.Features(vectors).all(texts)
+    for row, t in zip(got, texts, strict=True):
+        words = (t or "").split()
+        if not words:
+            assert not row.any()
+            continue
+        each = [quality.Tokens([w]) for w in words]
+        x = np.array([np.concatenate((vectors[0][e.word[0]], vectors[1][e.shape[0]])) for e in each], dtype=float)
+        step = np.abs(np.diff(x, axis=0)).sum(axis=0) / max(len(words) - 1, 1)
+        same = sum(a == b for a, b in zip(words, words[1:], strict=False)) / max(len(words) - 1, 1)
+        want = np.concatenate((x.mean(axis=0), x.std(axis=0), step, [same, np.log1p(len(words)) / 10, min(len(t) / len(words), 40) / 10]))
+        assert np.allclose(row, want, atol=2e-3)  # single precision
+    assert quality.shape(b"Hello, WORLD 1999 ") == b"Aa, A 0 "
+
+
+def test_sums_in_a_tree_and_samples(spark, monkeypatch):
+    monkeypatch.setattr(common, "FAN", 3)
+    rows = spark.range(40).selectExpr("cast(id % 2 as int) as slice", "cast(id div 2 as int) as part", "id as n")
+    add = lambda pdf: pdf.iloc[:1].assign(n=pdf["n"].sum())
+    got = {r.slice: r.n for r in common.added_up(rows, 20, add, "slice int, part int, n long").collect()}
+    assert got == {0: sum(range(0, 40, 2)), 1: sum(range(1, 40, 2))}
+    # repeated and null ids come with the texts they are drawn with, equal rows once
+    many = spark.createDataFrame([(None, "same", "a")] * 500 + [(7, f"t{i}", "a") for i in range(500)], "doc_id long, text string, lang string")
+    drawn = common.sampled(many, many.groupBy("lang").count().withColumnRenamed("count", "n"), "lang", 100, 3, many.columns).collect()
+    assert 20 <= len(drawn) <= 90
+
+
 # --- decontamination
 
 
@@ -421,22 +456,66 @@ def test_lm_learns_between_ordinary_words(spark):
 
 def test_leaf_probabilities_sum_to_one():
     rng, shape = np.random.default_rng(17), lm.Shape(10**5)
-    assert lm.Shape(10**8).leaves > shape.leaves > lm.REST
+    assert lm.Shape(10**8).leaves > shape.leaves > lm.REST and lm.Shape(0).leaves == lm.REST
     mass, nodes = rng.integers(1, 50, shape.leaves), rng.normal(size=1 << shape.weight_bits).astype(np.float32)
-    past, bias = rng.integers(0, 1 << 63, (1, lm.FEATURES)).astype(np.uint64), lm.node_bias(mass, shape)
-    p = np.exp(lm.log_leaves(nodes, bias, shape, np.repeat(past, shape.leaves, axis=0), np.arange(shape.leaves)))
-    assert np.allclose(p.reshape(lm.REST, -1).sum(axis=1), 1, atol=1e-5)
-    plain = np.exp(lm.log_leaves(np.zeros_like(nodes), bias, shape, np.repeat(past, shape.leaves, axis=0), np.arange(shape.leaves)))
+    past = np.repeat(rng.integers(0, 1 << 32, (lm.FEATURES, 1)).astype(np.uint32), shape.leaves, axis=1)
+    tree, leaves = lm.Tree(mass, shape), np.arange(shape.leaves)
+    p = np.exp(lm.log_leaves(nodes, tree, shape, past, leaves))
+    assert np.allclose(p.reshape(lm.REST, -1).sum(axis=1), 1, atol=1e-4)
+    plain = np.exp(lm.log_leaves(np.zeros_like(nodes), tree, shape, past, leaves))
     assert np.allclose(plain, mass / np.repeat(mass.reshape(lm.REST, -1).sum(axis=1), shape.leaves // lm.REST), rtol=1e-4)
 
 
 def test_class_probabilities_sum_to_one():
     rng = np.random.default_rng(15)
-    w, b = rng.normal(size=(lm.BUCKETS, lm.CLASSES)).astype(np.float32), rng.normal(size=lm.CLASSES).astype(np.float32)
-    p = np.exp(lm.log_classes(w, b, rng.integers(0, lm.BUCKETS, (50, lm.FEATURES))))
+    w, b = rng.normal(size=(1 << 14, lm.CLASSES)).astype(np.float32), rng.normal(size=lm.CLASSES).astype(np.float32)
+    p = lm.shares(w, b, rng.integers(0, 1 << 14, (lm.FEATURES, 50)))
     assert np.allclose(p.sum(axis=1), 1, atol=1e-5)
 
 
+def test_histories_stop_at_documents():
+    t, first = np.arange(10, 18, dtype=np.uint32), np.array([1, 0, 0, 1, 1, 0, 0, 0], dtype=bool)
+    x = lm.histories(t, first)
+    alone = lm.histories(np.array([99], dtype=np.uint32), np.array([True]))
+    assert (x[:, first] == alone).all() and (x[:, 1:3] == lm.histories(t[:3], first[:3])[:, 1:]).all()
+    assert (x[:, 5:] == lm.histories(t[4:], first[4:])[:, 1:]).all() and (x[1, 5:7] != x[1, 6:8]).all()
+
+
+def test_updates_follow_the_gradient():
+    """The change of every weight has the sign of the numeric gradient of the tokens' log-probability."""
+    rng, shape = np.random.default_rng(19), lm.Shape(10**3)
+    mass = rng.integers(1, 50, shape.leaves).astype(float)
+    tree, n = lm.Tree(mass, shape), 40
+    x, c = rng.integers(0, 1 << 32, (lm.FEATURES, n)).astype(np.uint32), rng.integers(0, lm.CLASSES, n)
+    leaf = np.where(c >= lm.TOP, (c - lm.TOP) << shape.levels, 0) + rng.integers(0, 1 << shape.levels, n)
+    start = np.zeros((1 << shape.bucket_bits, lm.CLASSES), np.float32), np.zeros(lm.CLASSES, np.float32), np.zeros(1 << shape.weight_bits, np.float32)
+    t = lm.Trainer(*start, tree, shape)
+    t.add(x, c, leaf)
+    t.update()
+    own, f = c >= lm.TOP, (x >> np.uint32(32 - shape.bucket_bits)).astype(int)
+
+    def loss(weights, nodes):
+        return np.log(lm.shares(weights.astype(float), start[1], f)[np.arange(n), c]).sum() + lm.log_leaves(nodes, tree, shape, x[:, own], leaf[own]).sum()
+
+    for before, after, at in ((start[0], t.weights, lambda w: loss(w, start[2])), (start[2], t.nodes, lambda v: loss(start[0], v))):
+        for i in rng.choice(np.flatnonzero(after.ravel()), 15, replace=False):
+            up = before.copy().astype(float)
+            up.ravel()[i] = 1e-2
+            assert np.sign(after.ravel()[i]) == np.sign(at(up) - at(before.astype(float)))
+
+
+def test_lm_cuts_long_texts(spark, monkeypatch):
+    rng = random.Random(20)
+    rows = [(i, prose(rng, rng.randint(1, 400)) + "\n") for i in range(30)] + [(5, "x" * 5000), (5, "x" * 5000), (None, "a b"), (None, "a b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    whole = sorted(map(tuple, lm.score(df).collect()), key=str)
+    monkeypatch.setattr(lm, "LONG", 300)
+    monkeypatch.setattr(lm, "BLOCK", 1000)
+    got = lm.score(df).collect()
+    keys = lambda rs: Counter((*r[:5], round(r[5], 4)) for r in rs)
+    assert keys(got) == keys(whole) == lm_brute(rows)
+
+
 # --- chat
 
 THREAD = [
