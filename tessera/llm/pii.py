@@ -26,7 +26,6 @@ import hashlib
 import ipaddress
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from math import isqrt
 
 import pyarrow as pa
@@ -40,6 +39,8 @@ KEY = b"replace this key in production"
 EXCEPTIONS = 100_000
 ATTEMPTS, LEAVE, WIDER = 32, 8, 16
 ROUNDS = 6
+#: Signs that are permuted together.
+CHUNK = 256
 
 # Letters by script, vowels first where names need them.
 VOWELS, CONSONANTS = "aeiouy", "bcdfghjklmnpqrstvwxz"
@@ -67,7 +68,7 @@ FRENCH = r"0[1-9](?:[ .\u00a0-]?\d{2}){4}"
 GERMAN = r"(?:\(0\d{2,4}\)[ \u00a0]?|0\d{2,4}(?: ?[/-] ?|[ \u00a0]))\d{3,4}(?:[ -]?\d{2,5}){1,2}|01[5-7]\d{8,9}"
 SPANISH = r"[6-9]\d{2}([ \u00a0-])(?:\d{3}\1\d{3}|\d{2}\1\d{2}\1\d{2})"
 PATTERNS = [
-    ("email", re.compile(r"[\w.+%-]+@[\w-]+(?:\.[\w-]+)+"), "@"),
+    ("email", re.compile(r"(?<![\w.+%-])[\w.+%-]+@[\w-]+(?:\.[\w-]+)+"), "@"),
     ("secret", re.compile(r"(?<!\w)(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?!\w)|(?<!\w)(?:AKIA|ghp_|gho_|sk-|xox[abp]-)[A-Za-z0-9-]{16,}"), None),
     ("iban", re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"), None),
     ("ipv6", re.compile(rf"(?<![\w:.])(?:(?:{GROUP}:){{7}}{GROUP}|(?:{GROUP}:){{6}}{QUAD}|(?:{GROUP}(?::{GROUP}){{0,6}})?::(?:(?:{GROUP}:){{0,5}}{QUAD}|{GROUP}(?::{GROUP}){{0,6}})?)(?![\w:]|\.\d)"), ":"),
@@ -96,14 +97,31 @@ def iban_check(country: str, bban: str) -> str:
     return f"{98 - int(''.join(str(int(c, 36)) for c in bban + country + '00')) % 97:02d}"
 
 
-@lru_cache(maxsize=200_000)
 def letters_of(c: str, kind: str) -> str:
     """The signs that may stand for a lower-case sign in this kind of entity; itself only if it stays."""
-    if kind == "hex":
+    named = kind.startswith("name")
+    at = c, kind == "hex", named
+    if at not in LETTERS:
+        LETTERS[at] = found_letters(c, kind == "hex", named)
+    return LETTERS[at]
+
+
+class Cache(dict):
+    """Travels empty."""
+
+    def __reduce__(self):
+        return Cache, ()
+
+
+#: At most three entries a sign.
+LETTERS = Cache()
+
+
+def found_letters(c: str, hexed: bool, named: bool) -> str:
+    if hexed:
         return HEX if c in HEX else c
     if "0" <= c <= "9":
         return "0123456789"
-    named = kind.startswith("name")
     for vowels, consonants in ((VOWELS, CONSONANTS), (ACCENTED_VOWELS, ACCENTED_CONSONANTS), (CYRILLIC_VOWELS, CYRILLIC_CONSONANTS), (GREEK_VOWELS, GREEK_CONSONANTS)):
         if c in vowels:
             return vowels if named else vowels + consonants
@@ -145,7 +163,7 @@ class Surrogates:
         wide = (below.bit_length() + 7) // 8 + 8
         out = b""
         while len(out) < wide:
-            out += hashlib.blake2b(f"{tweak}|{round_}|{x}|{len(out)}".encode("utf-8", "replace"), key=self.key, digest_size=64).digest()
+            out += hashlib.blake2b(f"{tweak}|{round_}|{x:x}|{len(out)}".encode("utf-8", "replace"), key=self.key, digest_size=64).digest()
         return int.from_bytes(out[:wide], "big") % below
 
     def permute(self, tweak: str, x: int, n: int) -> int:
@@ -182,7 +200,14 @@ class Surrogates:
         return back((forth(x) + 1) % n)
 
     def spell(self, text: str, kind: str, attempt: int) -> str:
-        """text with each sign moved within its letters, all signs together as one number."""
+        """text with each sign moved within its letters, all signs together as one number; a long text in parts of CHUNK signs, each
+        moved by the form of all."""
+        if len(text) > CHUNK:
+            form = hashlib.blake2b("".join(letters_of(c, kind)[0] for c in text).encode("utf-8", "replace")).hexdigest()
+            return "".join(self.spell_part(text[at : at + CHUNK], kind, f"{attempt}|{form}|{at}") for at in range(0, len(text), CHUNK))
+        return self.spell_part(text, kind, str(attempt))
+
+    def spell_part(self, text: str, kind: str, attempt: str) -> str:
         sets = [letters_of(c, kind) for c in text]
         x, n = 0, 1
         for c, s in zip(text, sets, strict=True):
