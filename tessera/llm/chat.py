@@ -8,13 +8,14 @@ any own text that holds these words on end (signs of scripts without spaces coun
 where they are the whole own text of a message. The
 parent of a message is the earlier message that most characters of its outermost quotes come from; deeper levels count where
 the outermost link nothing. Conversations are then put in reply order: thread after thread by the turn that opens it, messages
-of a thread by turn, so that a reply always follows what it answers, and quotes are left out of the text.
+of a thread by turn, so that a reply always follows what it answers, and what links is left out of the text. Lines that look quoted
+but link to nothing (a prompt, a heading, a quote from elsewhere) stay as they are.
 
 Rows stay rows: a conversation is never gathered into one task. Positions come from a range partitioning with pre-aggregated
 offsets, so that a conversation that holds a third of all rows is dealt over many tasks.
 
-Defined cases: null text is an empty message; a message of quotes alone has empty text; a quote that matches nothing leaves its
-message in a thread of its own; of messages with equal passages the first is the original; rows that share (conv_id, turn)
+Defined cases: null text is an empty message; a message of linked quotes alone has empty text; a quote that matches nothing stays
+and leaves its message in a thread of its own; of messages with equal passages the first is the original; rows that share (conv_id, turn)
 are one message for links and keep their rows; a null conv_id or turn links with nothing.
 """
 
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +41,7 @@ LEAST = 8
 WIDTH = 5
 WORD = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]|(?:(?![\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])\w)+")
 SENTENCE = re.compile(r"[.!?…。！？]+")
-KIND = "turn long, role string, own string, quoted array<struct<level:int,hash:long,size:int>>, passages array<long>, pieces array<struct<level:int,hash:long,size:int>>"
+KIND = "turn long, role string, own string, quoted array<struct<level:int,hash:long,size:int>>, passages array<long>, pieces array<struct<level:int,hash:long,size:int>>, raw string"
 
 
 def levels(text: str | None) -> list[tuple[int, str]]:
@@ -133,12 +135,44 @@ def own_fragments(own: str) -> list[int]:
     return sorted(out)
 
 
+def hashed(lines: list[tuple[int, str]]) -> list[tuple[int, int, int]]:
+    """(level, hash, size) of the passages; short ones have hashes of their own, which only whole messages share."""
+    return [(level, xxh64_intdigest(p.encode("utf-8", "replace"), 5 if len(p) >= LEAST else 6) - (1 << 63), len(p)) for level, p in passages(lines)]
+
+
+def tidy(lines: list[str]) -> str:
+    return re.sub(r"\n{3,}", "\n\n", "\n".join(lines)).strip()
+
+
+def without(text: str, linked: set[int]) -> str:
+    """The text less its runs of quoted lines of which any passage or fragment is linked, and less their attribution lines."""
+    lines, raw = levels(text), text.split("\n")
+    out: list[str] = []
+    intro: list[str] = []  # attribution lines wait for the quote below them
+    at = 0
+    while at < len(lines):
+        level, to = lines[at][0], at + 1
+        while to < len(lines) and lines[to][0] == level:
+            to += 1
+        run = lines[at:to]
+        if level == -1:
+            intro += raw[at:to]
+        elif level > 0 and any(h in linked for _, h, _ in chain(hashed(run), fragments(run))):
+            intro = []
+        elif intro and level == 0 and not any(x.strip() for _, x in run):
+            intro += raw[at:to]  # empty lines between an attribution and its quote
+        else:
+            out += intro + raw[at:to]
+            intro = []
+        at = to
+    return tidy(out + intro)
+
+
 def parse(text: str | None) -> tuple[str, list[tuple[int, int, int]], list[int], list[tuple[int, int, int]]]:
     """(own text, quoted passages as (level, hash, size), hashes of own passages, quoted fragments)."""
     lines = levels(text)
-    own = re.sub(r"\n{3,}", "\n\n", "\n".join(x for level, x in lines if level == 0)).strip()
-    # short passages have hashes of their own, which only whole messages share
-    found = [(level, xxh64_intdigest(p.encode("utf-8", "replace"), 5 if len(p) >= LEAST else 6) - (1 << 63), len(p)) for level, p in passages(lines)]
+    own = tidy([x for level, x in lines if level == 0])
+    found = hashed(lines)
     whole = normal([own])
     answers = [h for level, h, size in found if level == 0 and (size >= LEAST or size == len(whole))]
     quoted = [x for x in found if x[0] > 0]
@@ -158,15 +192,16 @@ def parsed(turns: DataFrame) -> DataFrame:
                     pa.array([[dict(zip(("level", "hash", "size"), q, strict=True)) for q in x[1]] for x in each], quoted),
                     pa.array([x[2] for x in each], pa.list_(pa.int64())),
                     pa.array([[dict(zip(("level", "hash", "size"), q, strict=True)) for q in x[3]] for x in each], quoted),
+                    pa.array([t if x[1] else None for t, x in zip(b["text"].to_pylist(), each, strict=True)], pa.string()),
                 ],
-                ["conv_id", "turn", "role", "own", "quoted", "passages", "pieces"],
+                ["conv_id", "turn", "role", "own", "quoted", "passages", "pieces", "raw"],
             )
 
     return turns.select("conv_id", F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), "text").mapInArrow(run, f"conv_id {kind}, {KIND}")
 
 
 def parents(messages: DataFrame) -> DataFrame:
-    """Rows (conv_id, turn, parent, links): the message that each quoting message answers."""
+    """Rows (conv_id, turn, parent, links, linked): the message that each quoting message answers, and the hashes that link."""
     each = [messages.select("conv_id", "turn", F.explode(c).alias("q"), F.lit(whole).alias("whole")) for c, whole in (("quoted", 1), ("pieces", 0))]
     quoted = each[0].unionByName(each[1]).select("conv_id", "turn", "q.*", "whole").distinct()
     asked = quoted.select("conv_id", "hash").distinct()
@@ -177,7 +212,9 @@ def parents(messages: DataFrame) -> DataFrame:
     # characters from each candidate by level; the outermost level that links decides, then size, then the later message
     by = met.groupBy("conv_id", "turn", "level", "parent").agg(F.sum("size").alias("size"), F.sum("whole").alias("n"))
     best = F.max_by("parent", F.struct(-F.col("level"), F.col("size"), F.col("parent"))).alias("parent")
-    return by.groupBy("conv_id", "turn").agg(best, F.greatest(F.sum("n"), F.lit(1)).alias("links"))
+    each = by.groupBy("conv_id", "turn").agg(best, F.greatest(F.sum("n"), F.lit(1)).alias("links"))
+    # at most the hashes of one message
+    return each.join(met.groupBy("conv_id", "turn").agg(F.collect_set("hash").alias("linked")), ["conv_id", "turn"])
 
 
 def pieces_of(messages: DataFrame) -> DataFrame:
@@ -213,14 +250,14 @@ def threads(links: DataFrame, rounds: int = 60) -> DataFrame:
 def format_chats(turns: DataFrame) -> DataFrame:
     """Rows (conv_id, position, turn, role, text, reply_to, thread, n_quotes, n_links) for every row of turns.
 
-    position counts from 0 within a conversation, in reply order; text has no quotes; reply_to is the turn answered, if any;
+    position counts from 0 within a conversation, in reply order; text has no quotes that link; reply_to is the turn answered, if any;
     n_links counts the passages of n_quotes that link, 1 where only fragments do.
     """
     messages = materialize(parsed(turns), "messages")
     links = materialize(parents(messages), "parents")
-    found = threads(links).join(links.select("conv_id", "turn", "links"), ["conv_id", "turn"])
+    found = threads(links).join(links.select("conv_id", "turn", "links", "linked"), ["conv_id", "turn"])
     rows = messages.drop("passages", "pieces").withColumn("n_quotes", F.size("quoted")).drop("quoted").join(found, ["conv_id", "turn"], "left")
-    rows = rows.withColumn("thread", F.coalesce("root", "turn"))
+    rows = with_text(rows.withColumn("thread", F.coalesce("root", "turn")))
     n = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["thread", "turn", "role", "own"]
     dealt = materialize(rows.repartitionByRange(n, "conv_id", *order).withColumn("part", F.spark_partition_id()), "ordered")
@@ -236,6 +273,18 @@ def format_chats(turns: DataFrame) -> DataFrame:
     )
 
 
+def with_text(rows: DataFrame) -> DataFrame:
+    """rows with own as the text that stays, less raw and linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [o if r is None else without(r, set(h or ())) for o, r, h in zip(b["own"].to_pylist(), b["raw"].to_pylist(), b["linked"].to_pylist(), strict=True)]
+            yield b.select(names).set_column(names.index("own"), "own", pa.array(own, pa.string()))
+
+    names = [c for c in rows.columns if c not in ("raw", "linked")]
+    return rows.mapInArrow(run, rows.select(names).schema)
+
+
 def templated(rows: DataFrame) -> DataFrame:
     """Rows (conv_id, position, line): each message in chat markup, for writing conversations out in order."""
     line = F.concat(F.lit("<|"), F.coalesce("role", F.lit("user")), F.lit("|>\n"), "text", F.lit("\n<|end|>"))
