@@ -4,13 +4,14 @@ Words are lower-case runs of letters and digits, split at Unicode separators and
 spaces is a word, so that word trigrams are character trigrams there. A first pass counts, over the whole corpus, in how many documents
 each word trigram of the test items occurs. Of every SPAN consecutive trigrams of an item the rarest becomes a seed, so rarity
 never leaves a stretch of an item unseeded: any run of N + SPAN - 1 equal words holds a seed. A second pass finds the seeds in
-whole documents; hits of one item on near diagonals open a region, and a region that shares enough words with the item is
-aligned (match 2, mismatch -1, gap -1). A pair's score is the best local alignment over that of a perfect copy; pairs are reported
-from a score of THRESHOLD, and below it where the alignment is worth LONG matched words (CHARACTERS in scripts without spaces).
+whole documents; hits of one item on near diagonals open a region, and a region that shares so many words with the item that it
+could be reported is aligned (match 2, mismatch -1, gap -1). A pair's score is the best local alignment over that of a perfect copy;
+pairs are reported from a score of THRESHOLD, and below it where the alignment is worth LONG matched words (CHARACTERS in scripts
+without spaces).
 
 The test items are the stated query set: they are taken in blocks of at most ITEMS items, each small enough to travel with the
-tasks, and items longer than PIECE words are cut in pieces, of which the best counts; a piece of 2 LONG words over each cut makes
-sure that a passage across it is found. An item of fewer than N words matches where all its words stand on end, if they have
+tasks, and items longer than PIECE words are aligned in pieces, whose scores add up to the item's; a piece of 2 LONG words over each
+cut makes sure that a passage across it is found. An item of fewer than N words matches where all its words stand on end, if they have
 SHORT characters at least.
 
 Defined cases: null or empty texts on either side match nothing; so does an item of fewer than N words and SHORT characters; ties keep the smallest
@@ -25,6 +26,7 @@ import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +40,6 @@ SPAN = 3
 THRESHOLD = 0.5
 ITEMS = 5000
 PIECE = 256
-#: Least share of an item's words that a region must hold to be aligned.
-SHARED = 0.4
 BITS = 22
 #: Matched words (characters in scripts without spaces) that tell a copy of a part, however long the item.
 LONG, CHARACTERS = 20, 60
@@ -129,27 +129,37 @@ def smith_waterman(items: list[np.ndarray], regions: list[np.ndarray]) -> np.nda
     return best
 
 
+class Piece(NamedTuple):
+    """Some words of a test item."""
+
+    item: int
+    words: np.ndarray
+    tell: int  #: matched words that tell, however long the item
+    whole: int  #: words of the item
+    text: int  #: number of the item's text
+    part: int  #: place in the item, -1 over a cut
+
+
 class Matcher:
-    """Scores documents against one block of test items: items(item id, word hashes, words that tell), df of each trigram."""
+    """Scores documents against one block of test items, given the document frequency of each trigram."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray, int]], frequency: dict[int, int]):
+    def __init__(self, items: list[Piece], frequency: dict[int, int]):
         self.short: dict[int, dict[int, set[int]]] = {}
-        for i, words, _ in items:
-            if len(words) < N:
-                self.short.setdefault(len(words), defaultdict(set))[int(grams(words, len(words))[0])].add(i)
-        items = [x for x in items if len(x[1]) >= N]
+        for x in items:
+            if len(x.words) < N:
+                self.short.setdefault(len(x.words), defaultdict(set))[int(grams(x.words, len(x.words))[0])].add(x.item)
+        items = [x for x in items if len(x.words) >= N]
         self.items = items
         seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for k, (_, words, _) in enumerate(items):
-            g = grams(words)
-            df = np.array([frequency.get(int(x), 0) for x in g])
+        for k, x in enumerate(items):
+            g = grams(x.words)
+            df = np.array([frequency.get(int(y), 0) for y in g])
             picked = {s + int(df[s : s + SPAN].argmin()) for s in range(max(1, len(g) - SPAN + 1))} if len(g) else set()
             for j in picked:
                 seeds[int(g[j])].append((k, j))
         self.lookup = Lookup(np.array(list(seeds), dtype=np.uint64))
         self.places = [np.array(seeds[int(x)], dtype=np.int64) for x in self.lookup.keys]
-        self.sets = [np.unique(w) for _, w, _ in items]
-        self.memo: dict[tuple[int, bytes], float] = {}
+        self.memo: dict[tuple[int, bytes], int] = {}
 
     def regions(self, n_words: int, at: np.ndarray, key: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(item, from, to) for the candidate regions of a document with these seeds."""
@@ -158,7 +168,7 @@ class Matcher:
         item, diagonal = hit[:, 0], np.repeat(at, size) - hit[:, 1]
         order = np.lexsort((diagonal, item))
         item, diagonal = item[order], diagonal[order]
-        length = np.array([len(self.items[k][1]) for k in item])
+        length = np.array([len(self.items[k].words) for k in item])
         new = np.concatenate(([True], (item[1:] != item[:-1]) | (np.diff(diagonal) > length[1:] // 2)))
         starts = np.flatnonzero(new)
         for s, e in zip(starts.tolist(), np.append(starts[1:], len(item)).tolist(), strict=True):
@@ -180,10 +190,9 @@ class Matcher:
             words = w.hash[w.begin[i] : ends[i]]
             for k, s, e in self.regions(len(words), place[a:b], key[a:b]):
                 part = words[s:e]
-                if np.isin(self.sets[k], part).sum() < SHARED * len(self.sets[k]):
-                    _, own, tell = self.items[k]
-                    if len(own) < tell or np.isin(own, part).sum() < tell:
-                        continue
+                own = self.items[k]
+                if np.isin(own.words, part).sum() < min(THRESHOLD * len(own.words), own.tell):  # a word found is worth 2 at most
+                    continue
                 at = (k, part.tobytes())
                 asked.append((i, k, at))
                 if at not in self.memo:
@@ -191,13 +200,20 @@ class Matcher:
         todo = sorted(open_, key=lambda x: len(x[1]))
         for at in range(0, len(todo), 128):
             some = todo[at : at + 128]
-            score = smith_waterman([self.items[k][1] for k, _ in some], [open_[x] for x in some])
-            self.memo.update({x: float(s) / (2 * len(self.items[x[0]][1])) for x, s in zip(some, score, strict=True)})
-        out: list[dict[int, float]] = [{} for _ in texts]
+            score = smith_waterman([self.items[k].words for k, _ in some], [open_[x] for x in some])
+            self.memo.update(zip(some, map(int, score), strict=True))
+        best: dict[tuple[int, int], dict[int, int]] = defaultdict(dict)  # of each document, item text and piece
+        of: dict[int, Piece] = {}
         for d, k, key in asked:
-            i, own, tell = self.items[k]
-            if (s := self.memo[key]) >= min(THRESHOLD, tell / len(own)):
-                out[d][i] = max(s, out[d].get(i, 0.0))
+            own = of[self.items[k].text] = self.items[k]
+            parts = best[d, own.text]
+            parts[own.part] = max(self.memo[key], parts.get(own.part, 0))
+        out: list[dict[int, float]] = [{} for _ in texts]
+        for (d, text), parts in best.items():
+            own, most = of[text], max(parts.values())
+            s = max(most, sum(x for k, x in parts.items() if k >= 0)) / (2 * own.whole)
+            if s >= THRESHOLD or most >= 2 * own.tell:
+                out[d][own.item] = max(s, out[d].get(own.item, 0.0))
         for size, known in self.short.items():
             g = grams(w.hash, size)
             for at in np.flatnonzero(np.isin(g, np.array(list(known), dtype=np.uint64))).tolist():
@@ -206,30 +222,30 @@ class Matcher:
         return out
 
 
-def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, np.ndarray, int]]]:
-    """The test items in blocks of about ITEMS, as word hashes in pieces of at most PIECE words, and how many of them tell."""
-    known = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
+def blocks(benchmark: DataFrame) -> Iterator[list[Piece]]:
+    """The test items in blocks of about ITEMS, as word hashes in pieces of at most PIECE words."""
+    known = benchmark.where("item_id is not null and text is not null").select("item_id", "text").distinct()
     n = max(1, -(-known.count() // ITEMS))
     for k in range(n):
         rows = known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()
         out = []
-        for r in sorted(rows, key=lambda r: (r.item_id, r.text)):
+        for i, r in enumerate(sorted(rows, key=lambda r: (r.item_id, r.text))):
             h = words_of([r.text]).hash
             if len(h) < N:
                 if len(h) and sum(map(str.isalnum, r.text)) >= SHORT:
-                    out.append((r.item_id, h, len(h)))
+                    out.append(Piece(r.item_id, h, len(h), len(h), i, 0))
                 continue
             tell = CHARACTERS if 2 * len(SINGLE.findall(r.text)) > len(h) else LONG
             pieces = np.array_split(h, -(-len(h) // PIECE))
-            out += [(r.item_id, p, tell) for p in pieces]
+            out += [Piece(r.item_id, p, tell, len(h), i, k) for k, p in enumerate(pieces)]
             for at in np.cumsum([len(p) for p in pieces[:-1]]).tolist():
-                out.append((r.item_id, h[max(0, at - tell) : at + tell], tell))
+                out.append(Piece(r.item_id, h[max(0, at - tell) : at + tell], tell, len(h), i, -1))
         yield out
 
 
-def frequencies(docs: DataFrame, items: list[tuple[int, np.ndarray, int]]) -> dict[int, int]:
+def frequencies(docs: DataFrame, items: list[Piece]) -> dict[int, int]:
     """In how many rows of docs each trigram of the items occurs; at most one row a trigram comes back."""
-    lookup = Lookup(np.concatenate([grams(w) for _, w, _ in items]) if items else np.empty(0, dtype=np.uint64))
+    lookup = Lookup(np.concatenate([grams(x.words) for x in items]) if items else np.empty(0, dtype=np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(len(lookup.keys), dtype=np.int64)
