@@ -19,12 +19,15 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder all executors share: spark.checkpoint.dir. Where that is unset a temporary folder serves on one machine; on a
+    cluster that is an error, as executors wouldn't see each other's files."""
     set_dir = spark.conf.get("spark.checkpoint.dir", None)
     if set_dir:
         return set_dir.rstrip("/")
     at = spark.sparkContext.getCheckpointDir()
     if at is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-checkpoint-"))
         at = spark.sparkContext.getCheckpointDir()
     return at.rstrip("/")
@@ -33,8 +36,8 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Cut the lineage: write df as Parquet in the shared folder and read it back.
 
-    Unlike a local checkpoint the files outlive any executor. They stay until the owner of the folder clears it. The shuffle
-    files of the plan that is cut off here aren't needed again and go when it has run.
+    Unlike a local checkpoint the files outlive any executor. They stay until discard() or the owner of the folder removes them.
+    The shuffle files of the plan that is cut off here aren't needed again and go when it has run.
     """
     conf, path = df.sparkSession.conf, f"{shared_dir(df.sparkSession)}/tessera/{name}-{uuid.uuid4().hex}"
     before = conf.get(CLEANUP, None)
@@ -43,7 +46,16 @@ def materialize(df: DataFrame, name: str, compression: str | None = None) -> Dat
         df.write.parquet(path, compression=compression)
     finally:
         conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a frame that materialize returned, once nothing will read it."""
+    jvm = df.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df.written)
+    path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -129,7 +141,7 @@ def roots_of(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Components of an undirected graph given as edges(src long, dst long): rows (node, component), component the
     smallest node; nodes without edges are absent.
 
@@ -141,7 +153,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         edges.where("src != dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct(), "edges"
     )
     sign = None
-    for _ in range(max_rounds):
+    while True:
         now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         if not now.n or (now.n, now.s) == sign:
             return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
@@ -154,8 +166,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         large = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("x"))
-        e = materialize(small.select(F.col("x.u").alias("u"), F.col("x.m").alias("v")).where("u != v").distinct(), "edges")
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        old, e = e, materialize(small.select(F.col("x.u").alias("u"), F.col("x.m").alias("v")).where("u != v").distinct(), "edges")
+        discard(old)
 
 
 class TokenTable:
@@ -236,16 +248,24 @@ SPACE, SIGNS = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 SIGNS[[i for i in range(128) if not chr(i).isalnum()]] = True
 BASE = 0x9E3779B97F4A7C15
-_powers: dict[int, np.ndarray] = {}
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0, 1, ... modulo 2 ** 64, at least n of them."""
-    if base not in _powers or len(_powers[base]) < n:
-        x = np.full(max(n, 1 << 20), base, dtype=np.uint64)
-        x[0] = 1
-        _powers[base] = np.multiply.accumulate(x)
-    return _powers[base]
+class Powers(dict):
+    """base ** 0, 1, ... modulo 2 ** 64 by base. Travels empty: every process makes its own."""
+
+    def __reduce__(self):
+        return Powers, ()
+
+    def of(self, base: int, n: int) -> np.ndarray:
+        """At least n of them."""
+        if base not in self or len(self[base]) < n:
+            x = np.full(max(n, 1 << 17), base, dtype=np.uint64)
+            x[0] = 1
+            self[base] = np.multiply.accumulate(x)
+        return self[base]
+
+
+POWERS = Powers()
 
 
 class Words:
@@ -261,8 +281,8 @@ class Words:
         space = np.concatenate(([True], between[b]))
         self.start = np.flatnonzero(space[:-1] & ~space[1:])
         self.end = np.flatnonzero(~space[:-1] & space[1:])
-        total = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(b))[: len(b)])))
-        h = (total[self.end] - total[self.start]) * powers(pow(BASE, -1, 1 << 64), len(b))[self.start]
+        total = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * POWERS.of(BASE, len(b))[: len(b)])))
+        h = (total[self.end] - total[self.start]) * POWERS.of(pow(BASE, -1, 1 << 64), len(b))[self.start]
         self.hash = mixed(h, h >> np.uint64(32))
         size = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) + 1
         text = np.cumsum(size) - size

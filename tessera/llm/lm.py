@@ -301,7 +301,9 @@ def gather(blocks: DataFrame) -> tuple[DataFrame, int, int, np.ndarray, np.ndarr
     each = blocks.select("block", "vocab", "kind", "n").mapInArrow(words, "h long, kind byte, block long, place int, n long")
     by_word = Window.partitionBy("h")
     met = each.select("*", F.sum("n").over(by_word).alias("total"), F.count("*").over(by_word).alias("blocks"), F.min("block").over(by_word).alias("least"))
-    met = materialize(met.select("h", "kind", "block", "place", "total", (F.col("blocks") > 1).alias("many"), (F.col("block") == F.col("least")).alias("first")), "totals")
+    first = F.col("block") == F.col("least")  # a word's hash is kept once
+    met = met.select(F.when(first, F.col("h")).alias("h"), F.when(first, F.col("kind")).alias("kind"), "block", "place", "total", (F.col("blocks") > 1).alias("many"), first.alias("first"))
+    met = materialize(met, "totals", compression="zstd")
     shape = Shape(blocks.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0)
     known = met.where("first and total > 0")
     code = F.shiftrightunsigned("h", 64 - shape.levels) if shape.levels else F.lit(0).cast("long")
@@ -360,7 +362,8 @@ def train(blocks: DataFrame, top: np.ndarray, mass: np.ndarray, leaf_mass: np.nd
                 columns = [np.arange(slices_, dtype=np.int32), np.full(slices_, part, dtype=np.int32), np.full(slices_, t.n)]
                 yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array([x.tobytes() for x in change], pa.binary()), pa.array([b""] * slices_, pa.binary())], ["slice", "part", "n", "total", "weight"])
 
-        rows = added_up(blocks.mapInArrow(run, kind), blocks.rdd.getNumPartitions(), add_up, kind).select("slice", "total", "weight").collect()
+        rows = added_up(blocks.mapInArrow(run, kind), blocks.rdd.getNumPartitions(), add_up, kind)
+        rows = materialize(rows.select("slice", "total", "weight"), "changes").collect()
         weights, bias, nodes = weights.copy(), bias.copy(), nodes.copy()
         flat, per = np.concatenate((weights.ravel(), nodes)), (buckets * CLASSES + size) // slices_
         for r in rows:
