@@ -1,7 +1,8 @@
 """Best-fit packing by a grouping genetic algorithm on islands.
 
 Documents become token ids (the 50k byte-level BPE vocabulary) and an end id; longer ones are cut into full sequences, their
-remainder first. What is shorter than a sequence is packed. Items are dealt by hash into blocks of about BLOCK, and every block
+remainder first. What is shorter than a sequence is packed. Items are numbered and dealt by the hash of their number into blocks of
+about BLOCK, so that equal rows spread, and every block
 is evolved on ISLANDS islands, each a task of its own with its own seed. A chromosome is a set of bins (Falkenauer, 1996):
 crossover injects whole well-filled bins of one parent into the other, drops the bins that hold an item twice, and
 best-fits the displaced items, largest first; mutation empties the worst bins. After each epoch every island's elite migrates to
@@ -9,12 +10,13 @@ its neighbour; the best island of a block decides. Bins that are still not nearl
 blocks, are packed again together, so that the blocks' borders cost nothing.
 
 Defined cases: null text counts as empty and gives the end id alone; a text of exactly one sequence is not cut; equal items
-are interchangeable; repeated rows are packed each; special-token strings in a text are ordinary text.
+are interchangeable; repeated rows are packed each; the strings of special tokens get their ids, as the library gives them.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -35,29 +37,55 @@ GENERATIONS = 4
 POPULATION = 4
 #: A bin filled to this share is done; the others are packed again across blocks.
 NEARLY = 0.97
+LONG_SPACE = 10_000
+RUN = re.compile(rf"\s{{{LONG_SPACE}}}")
 
 
 def vocabulary(path: str | None = None):
-    """Encoder of the byte-level vocabulary. The same ranks and pattern give the ids that the tokenizers library gives for
-    byte_bpe_50k.json (tests compare them), several times faster."""
+    """The byte-level vocabulary by the tokenizers library, from path or byte_bpe_50k.json."""
     import public_tokenizers
-    import tiktoken
+    from tokenizers import Tokenizer
 
-    with open(path or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return Tokenizer.from_file(path or public_tokenizers.path("byte_bpe_50k.json"))
+
+
+class Encoder:
+    """The ids that the tokenizers library gives for a text of byte_bpe_50k.json, add_special_tokens=False (tests compare them).
+
+    Its ranks and pattern in tiktoken give the same ids in a sixth of the time. What that can't do is left to the library itself:
+    strings of special tokens, and runs of white space of over LONG_SPACE, on which its pattern overflows the stack.
+    """
+
+    def __init__(self):
+        import public_tokenizers
+        import tiktoken
+
+        with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.fast = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.library = vocabulary()
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+
+    def ids(self, text: str) -> list[int]:
+        if any(s in text for s in self.special) or len(text) > LONG_SPACE and RUN.search(text):
+            return self.library.encode(text, add_special_tokens=False).ids
+        return self.fast.encode_ordinary(text)
 
 
 def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH) -> DataFrame:
-    """Rows (doc_id, piece, start, length, ids_crc32) of all documents."""
+    """Rows (doc_id, piece, start, length, ids_crc32) of all documents. path: another vocabulary of the tokenizers library."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = vocabulary(path)
+        if path is None:
+            encode = Encoder().ids
+        else:
+            own = vocabulary(path)
+            encode = lambda t: own.encode(t, add_special_tokens=False).ids
         for batch in batches:
             at, piece, start, size, crc = [], [], [], [], []
             for i, t in enumerate(batch["text"].to_pylist()):
-                ids = np.array([*encoding.encode_ordinary(t or ""), END], dtype="<u4")
+                ids = np.array([*encode(t or ""), END], dtype="<u4")
                 first = (len(ids) - 1) % length + 1
                 for k, s in enumerate([0, *range(first, len(ids), length)]):
                     part = ids[s : first if k == 0 else s + length]
@@ -192,13 +220,12 @@ def evolve(sizes: list[int], capacity: int, seed: list[int], elites: list[Bins],
     return people[0]
 
 
-ORDER = ["length", "doc_id", "piece", "start", "ids_crc32"]
 ELITE = "block long, island int, fitness double, bins binary"
 
 
 def in_order(pdf: pd.DataFrame) -> pd.DataFrame:
     """The same order of a block's items in every task."""
-    return pdf.sort_values(ORDER, kind="stable", na_position="first", ignore_index=True)
+    return pdf.sort_values(["length", "row"], ignore_index=True)
 
 
 def alone(f):
@@ -210,11 +237,10 @@ def joined(f):
 
 
 def packed_once(items: DataFrame, round_: int, length: int) -> DataFrame:
-    """items(doc_id, piece, start, length, ids_crc32) with (block, bin, offset, fill): one round over hashed blocks."""
+    """items(row, length, ...) with (block, sequence_id, offset, fill): one round over blocks by the hash of the unique row."""
     n = max(1, round(items.count() / BLOCK))
-    h = F.pmod(F.xxhash64(F.lit(round_), *ORDER), F.lit(n))
-    placed = items.withColumn("block", h)
-    light = placed.select("block", *ORDER, F.explode(F.array(*map(F.lit, range(ISLANDS)))).alias("island"))
+    placed = items.withColumn("block", F.pmod(F.xxhash64(F.lit(round_), "row"), F.lit(n)))
+    light = placed.select("block", "row", "length", F.explode(F.array(*map(F.lit, range(ISLANDS)))).alias("island"))
     elites = None
     for epoch in range(EPOCHS):
 
@@ -238,26 +264,26 @@ def packed_once(items: DataFrame, round_: int, length: int) -> DataFrame:
     def place(pdf: pd.DataFrame, won: pd.DataFrame) -> pd.DataFrame:
         pdf = in_order(pdf)
         pdf["bin"] = np.frombuffer(won["bins"].iloc[0], dtype="<i4").astype(np.int64)
-        pdf = pdf.sort_values(["bin", *ORDER[1:]], kind="stable")
-        by = pdf.groupby("bin", sort=False)["length"]
-        pdf["offset"] = by.cumsum() - pdf["length"]
-        pdf["fill"] = by.transform("sum")
-        return pdf
+        pdf = pdf.sort_values(["bin", "row"])
+        by = pdf.groupby("bin", sort=False)
+        pdf["sequence_id"] = by["row"].transform("min")  # rows are unique, so are these
+        pdf["offset"] = by["length"].cumsum() - pdf["length"]
+        pdf["fill"] = by["length"].transform("sum")
+        return pdf.drop(columns="bin")
 
     return placed.groupBy("block").cogroup(best.groupBy("block")).applyInPandas(
-        place, f"{items.schema.simpleString()[7:-1]}, block bigint, bin bigint, offset bigint, fill bigint".replace(":", " ")
+        place, f"{items.schema.simpleString()[7:-1]}, block bigint, sequence_id bigint, offset bigint, fill bigint".replace(":", " ")
     )
 
 
 def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH) -> DataFrame:
     """Rows (doc_id, piece, start, length, ids_crc32, sequence_id, offset): every piece in its sequence."""
-    cut = materialize(pieces(docs, path, length), "pieces")
+    cut = materialize(pieces(docs, path, length).withColumn("row", F.monotonically_increasing_id()), "pieces")
     names = cut.columns
-    full = cut.where(F.col("length") == length).select(*names, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    full = cut.where(F.col("length") == length).withColumns({"sequence_id": F.col("row"), "offset": F.lit(0).cast("long")})
     first = materialize(packed_once(cut.where(F.col("length") < length), 1, length), "packed")
     done = first.where(F.col("fill") >= NEARLY * length)
     loose = first.where(F.col("fill") < NEARLY * length).select(*names)
     second = packed_once(loose, 2, length)
-    # a block of about BLOCK items has far fewer than 2^24 bins
-    number = lambda round_: (F.shiftleft("block", 25) + F.lit(round_ << 24) + F.col("bin")).alias("sequence_id")
-    return full.unionByName(done.select(*names, number(0), "offset")).unionByName(second.select(*names, number(1), "offset"))
+    out = full.unionByName(done.select(full.columns)).unionByName(second.select(full.columns))
+    return out.drop("row")
