@@ -25,8 +25,8 @@ BUCKETS = 1 << 15
 DIM = 16
 SIZES = (1, 2, 3, 4)
 TRAIN_ROWS = 500
-#: Words of the random windows of a training text that the training sees.
-WINDOWS = (100, 30, 6, 1)
+#: Words of the random windows of a training text that the training sees beside the whole text.
+WINDOWS = (30, 6, 1)
 #: Share of calibration texts that the threshold may reject, and the highest threshold.
 REJECT, HIGHEST = 0.001, 0.5
 #: Words looked up at once.
@@ -125,7 +125,7 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 
 def train(texts: list[str], labels: list[str], epochs: int = 4, rate: float = 0.5, seed: int = 3) -> Model:
-    """Fit on random windows of the texts, short ones too, so that short texts are known as well as long ones."""
+    """Fit on the whole texts and on short random windows of them, so that short texts are known as well as long ones."""
     languages = sorted(set(labels))
     if not languages:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0))
@@ -133,11 +133,14 @@ def train(texts: list[str], labels: list[str], epochs: int = 4, rate: float = 0.
     bags, y = [], []
     for text, label in zip(texts, labels, strict=True):
         words = text.split()
-        for n in WINDOWS:
+        for n in (len(words), *WINDOWS):
             at = int(rng.integers(0, max(1, len(words) - n + 1)))
-            grams, _ = subwords([" ".join(words[at : at + n])])
-            if len(grams):
-                bag, count = np.unique(grams, return_counts=True)
+            count = np.zeros(BUCKETS, dtype=np.int64)
+            for part in range(at, min(len(words), at + n), AT_ONCE):
+                count += np.bincount(subwords(words[part : min(at + n, part + AT_ONCE)])[0], minlength=BUCKETS)
+            bag = np.flatnonzero(count)
+            count = count[bag]
+            if len(bag):
                 bags.append((bag, (count / count.sum()).astype(np.float32)))
                 y.append(languages.index(label))
     y = np.array(y, dtype=int)
