@@ -9,8 +9,9 @@ counted without writing pairs out; each bucket yields one row a vector: its link
 A bucket of over BUCKET rows is split in chunks that meet pairwise in tasks of their own.
 
 Defined cases: a vector that is null, empty, zero, or holds null or non-finite components links with nothing; vectors of
-different lengths never link; exact repeats of a row (same id and vector) count once; rows of one id with different
-vectors are one node of the graph; a null vec_id is a row of its own that links with nothing and is not kept.
+different lengths never link; every row is a vector of its own, so that exact repeats of a row are links of each other and all have
+the same result; rows of one id with different vectors are different nodes, and links lead on by vectors, not by ids; a null
+vec_id is a row of its own that links with nothing and is not kept.
 """
 
 from __future__ import annotations
@@ -64,8 +65,9 @@ def unit(rows: list) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def links_in_bucket(x: np.ndarray, keys: np.ndarray, weight: np.ndarray, side: np.ndarray, tab: int, cosine: float):
-    """Links first met in this table among the rows: (weights linked to each row, pairs)."""
+def links_in_bucket(x: np.ndarray, k: int, tables: int, weight: np.ndarray, side: np.ndarray, tab: int, cosine: float):
+    """Links first met in this table among the rows: (weights linked to each row, pairs). Keys of the tables before are made anew for
+    the rows of links only."""
     n = len(x)
     linked, pairs = np.zeros(n, dtype=np.int64), []
     two = side[0] != side[-1]
@@ -77,8 +79,11 @@ def links_in_bucket(x: np.ndarray, keys: np.ndarray, weight: np.ndarray, side: n
         a, b = a[ok], b[ok]
         exact = np.einsum("ij,ij->i", x[a], x[b]) >= cosine
         a, b = a[exact], b[exact]
-        first = (keys[a, :tab] != keys[b, :tab]).all(axis=1)
-        a, b = a[first], b[first]
+        if tab and len(a):
+            some, at_ = np.unique(np.concatenate((a, b)), return_inverse=True)
+            keys = bucket_keys(x[some], k, tables)[:, :tab]
+            first = (keys[at_[: len(a)]] != keys[at_[len(a) :]]).all(axis=1)
+            a, b = a[first], b[first]
         np.add.at(linked, a, weight[b])
         np.add.at(linked, b, weight[a])
         pairs.append((a, b))
@@ -88,13 +93,14 @@ def links_in_bucket(x: np.ndarray, keys: np.ndarray, weight: np.ndarray, side: n
 def near_duplicates(
     vectors: DataFrame, cosine: float = 0.9, recall: float = 0.995, id_column: str = "vec_id", vector_column: str = "embedding"
 ) -> DataFrame:
-    """Rows (id, n_links, component_id, kept), one for each distinct (id, vector)."""
-    v = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).alias("x")).distinct()
+    """Rows (id, n_links, component_id, kept), one for each row of vectors."""
+    v = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).alias("x"))
     norm = F.aggregate("x", F.lit(0.0), lambda s, e: s + F.abs(e.cast("double")))
     fine = F.coalesce(norm, F.lit(0.0))
     valid = F.col("id").isNotNull() & (fine > 0) & (fine < float("inf"))
     v = v.withColumn("valid", F.coalesce(valid, F.lit(False)))
-    classes = materialize(v.where("valid").groupBy("x").agg(F.min("id").alias("rep"), F.count("*").alias("weight")), "classes")
+    classes = v.where("valid").groupBy("x").agg(F.min("id").alias("least"), F.count("*").alias("weight"))
+    classes = materialize(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
     n = classes.count()
     k, tables = plan(n, cosine, recall)
 
@@ -128,7 +134,7 @@ def near_duplicates(
                 part = pdf.iloc[s:e]
                 x = unit(part["x"].tolist())
                 weight = part["weight"].to_numpy()
-                linked, a, b = links_in_bucket(x, bucket_keys(x, k, tables), weight, part["own"].to_numpy(), int(part["tab"].iloc[0]), cosine)
+                linked, a, b = links_in_bucket(x, k, tables, weight, part["own"].to_numpy(), int(part["tab"].iloc[0]), cosine)
                 at = np.flatnonzero(linked)
                 root = roots_of(len(x), a, b)
                 reps = part["rep"].to_numpy()
@@ -140,11 +146,10 @@ def near_duplicates(
     )
     roots = connected_components(found.select(F.col("rep").alias("src"), F.col("parent").alias("dst")))
     linked = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    named = (
-        classes.join(linked, "rep", "left")
-        .join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("x", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"), F.coalesce("component", "rep").alias("root"))
-    )
+    rooted = classes.join(linked, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    rooted = rooted.select("x", "least", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"), F.coalesce("component", "rep").alias("class"))
+    smallest = rooted.groupBy("class").agg(F.min("least").alias("root"))
+    named = rooted.join(smallest, "class").select("x", "links", "root")
     out = v.withColumn("x", F.when(F.col("valid"), F.col("x"))).join(named, "x", "left")
     root = F.coalesce("root", "id")
     return out.select(
