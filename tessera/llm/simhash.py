@@ -18,6 +18,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -54,16 +55,17 @@ def simhash(text: str | None, width: int = 3) -> int:
     return int(np.packbits(ones * 2 > m, bitorder="little").view("<u8")[0])
 
 
-def with_fingerprint(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Rows (id, fp long) for every row of docs."""
+def with_fingerprint(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", digest: str | None = None) -> DataFrame:
+    """Rows (id, fp long, digest long) for every row of docs; digest: a long column that is passed on, if named."""
     kind = docs.schema[id_column].dataType.simpleString()
+    own = (F.col(digest) if digest else F.lit(None).cast("long")).alias("digest")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            fp = np.fromiter((simhash(t) for t in pdf["t"]), dtype=np.uint64, count=len(pdf))
-            yield pd.DataFrame({"id": pdf["id"], "fp": fp.view(np.int64)})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fp = np.fromiter((simhash(t) for t in b["t"].to_pylist()), dtype=np.uint64, count=len(b))
+            yield pa.RecordBatch.from_arrays([b["id"], pa.array(fp.view(np.int64)), b["digest"]], ["id", "fp", "digest"])
 
-    return docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("t")).mapInPandas(run, f"id {kind}, fp long")
+    return docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("t"), own).mapInArrow(run, f"id {kind}, fp long, digest long")
 
 
 def coordinates(fp: np.ndarray) -> np.ndarray:
@@ -145,25 +147,35 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     return met.repartition(int(n), *keys).sortWithinPartitions(*keys, "own").mapInPandas(run, "src long, dst long")
 
 
-def simhash_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Rows (id, fingerprint, component_id) for every row: component_id is the smallest id reachable over links."""
-    prints = materialize(with_fingerprint(docs, id_column, text_column), "simhash")
+def classes_of(prints: DataFrame) -> DataFrame:
+    """prints(id, fp) to rows (fp, root, component_id): every fingerprint with its component's least fingerprint and smallest id."""
     classes = prints.groupBy("fp").agg(F.min("id").alias("least"))
     edges = fingerprint_links(classes.select("fp"))
     roots = connected_components(edges).select(F.col("node").alias("fp"), F.col("component").alias("root"))
     rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select(
+    return rooted.join(least, "root").select("fp", "root", "component_id")
+
+
+def simhash_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Rows (id, fingerprint, component_id) for every row: component_id is the smallest id reachable over links."""
+    prints = materialize(with_fingerprint(docs, id_column, text_column), "simhash")
+    return prints.join(classes_of(prints).drop("root"), "fp").select(
         F.col("id").alias(id_column), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
 def simhash_dedup(docs: DataFrame) -> DataFrame:
-    """docs with one row of each component: that of the smallest doc_id; of rows that repeat it, one. A null doc_id stands
-    for itself only if its whole component has none."""
-    found = materialize(simhash_components(docs), "components")
-    keep = fresh(docs, "keep")
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias(keep)).agg(F.count("*").alias("rows"))
-    out = docs.join(kept.select(keep), docs["doc_id"].eqNullSafe(F.col(keep)), "left_semi")
-    return out if kept.where("rows > 1").isEmpty() else out.dropDuplicates(["doc_id"])
+    """docs with one row of each component: that of the smallest doc_id (a null doc_id comes last), of several rows of this id the one
+    with the least hash of all its columns, of rows equal in all columns one. So the row that stays is a member of its component
+    even where ids repeat or are null."""
+    digest, keep, own = fresh(docs, "digest"), fresh(docs, "keep"), fresh(docs, "own")
+    marked = docs.withColumn(digest, F.xxhash64(*docs.columns))
+    prints = materialize(with_fingerprint(marked, "doc_id", "text", digest), "simhash")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("first")
+    kept = prints.join(classes_of(prints), "fp").groupBy("root").agg(first).select("first.id", "first.digest")
+    kept = materialize(kept, "kept")
+    several = prints.join(kept.select(F.col("id").alias("i"), F.col("digest").alias("d")), F.col("id").eqNullSafe(F.col("i")) & (F.col("digest") == F.col("d")))
+    several = not several.groupBy("id", "digest").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+    out = marked.join(kept.select(F.col("id").alias(keep), F.col("digest").alias(own)), marked["doc_id"].eqNullSafe(F.col(keep)) & (marked[digest] == F.col(own)), "left_semi")
+    return (out.dropDuplicates(["doc_id", digest]) if several else out).drop(digest)
