@@ -29,7 +29,7 @@ from .common import TokenTable, Words, materialize, mixed, run_starts, slices, s
 WINDOW = 13
 GRAM = 7
 #: An anchor of more documents is split by window.
-HOT = 16384
+HOT = 2048
 #: Distinct segments indexed together, about; a shard's groups stay whole.
 SEGMENTS = 16384
 
@@ -203,15 +203,14 @@ def runs_of_anchors(w: Words):
 
 
 def anchors(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, anchor) of each document's segments."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    """Rows (mark, anchor) of each document's segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chain.from_iterable(map(slices, batches)):
             _, owner, _, _, anchor = runs_of_anchors(Words(part["text"].to_pylist()))
-            yield pa.RecordBatch.from_arrays([part["doc_id"].take(pa.array(owner)), pa.array(anchor)], ["doc_id", "anchor"])
+            yield pa.RecordBatch.from_arrays([part["mark"].take(pa.array(owner)), pa.array(anchor)], ["mark", "anchor"])
 
-    return docs.mapInArrow(run, f"doc_id {kind}, anchor long")
+    return docs.select("mark", "text").mapInArrow(run, "mark long, anchor long")
 
 
 def segments(candidates: DataFrame) -> DataFrame:
@@ -308,35 +307,36 @@ def search(distinct: DataFrame) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, found: array of (mark, starts)): the starts of windows that a smaller doc_id has; mark tells apart rows of one doc_id."""
-    known = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
+    """Rows (doc_id, mark, found: sets of starts): the starts of windows that a smaller doc_id has; mark tells apart rows of one doc_id,
+    and what is gathered is at most one text's."""
+    known = docs.where("doc_id is not null and text is not null").select("doc_id", "text", F.xxhash64("doc_id", "text").alias("mark"))
     light = anchors(known)
     shared = light.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
     shared = shared.select("anchor", F.ceil(F.col("n") / HOT).cast("int").alias("parts"))
-    own = light.join(shared, "anchor").groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "parts")).alias("shared"))
-    candidates = known.join(own, "doc_id").withColumn("mark", F.xxhash64("text"))
-    placed = materialize(segments(candidates).withColumn("sid", F.xxhash64("segment")), "segments")
+    own = light.join(shared, "anchor").groupBy("mark").agg(F.collect_set(F.struct("anchor", "parts")).alias("shared"))
+    candidates = known.join(own, "mark")
+    placed = materialize(segments(candidates).withColumn("sid", F.xxhash64("segment")), "segments", compression="zstd")
     distinct = placed.groupBy("anchor", "part", "segment", "sid").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
-    hit = materialize(search(distinct), "matches")
+    hit = materialize(search(distinct), "matches", compression="zstd")
     met = placed.select("anchor", "sid", "doc_id", "mark", "start").join(hit, ["anchor", "sid"])
     starts = F.filter(F.transform("mins", lambda m, j: F.when(m < F.col("doc_id"), F.col("start") + j)), lambda x: x.isNotNull())
-    met = met.select("doc_id", F.struct("mark", starts.alias("starts")).alias("x")).where(F.size("x.starts") > 0)
-    return met.groupBy("doc_id").agg(F.collect_list("x").alias("found"))
+    met = met.select("doc_id", "mark", starts.alias("starts")).where(F.size("starts") > 0)
+    return met.groupBy("doc_id", "mark").agg(F.collect_set("starts").alias("found"))
 
 
 def dedup_substrings(docs: DataFrame) -> DataFrame:
     """docs(doc_id, text, ...) with n_words, n_removed and kept (text of the kept words, joined by one space) in place of text."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = repeated_windows(docs).withColumnRenamed("doc_id", "__doc")
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))
-    rows = rows.join(found, F.col("doc_id") == F.col("__doc"), "left").select("doc_id", "text", "mark", "found")
+    found = repeated_windows(docs)
+    rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("mark"))
+    rows = rows.join(found, ["doc_id", "mark"], "left").select("doc_id", "text", "found")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n_words, n_removed, kept = [], [], []
-            for t, mark, hits in zip(b["text"].to_pylist(), b["mark"].to_pylist(), b["found"].to_pylist(), strict=True):
+            for t, hits in zip(b["text"].to_pylist(), b["found"].to_pylist(), strict=True):
                 words = split(t)
-                starts = [s for x in hits or () if x["mark"] == mark for s in x["starts"]]
+                starts = [s for x in hits or () for s in x]
                 n_words.append(len(words))
                 if starts:
                     edge = np.zeros(len(words) + 1, dtype=np.int64)
