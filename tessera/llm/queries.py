@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-import corpus_pipeline
-
 from . import chat, decontaminate, embeddings, langid, lm, packing, pii, quality, simhash, substrings
 from .common import crc_mod, table
 
@@ -60,7 +58,6 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "pipeline": corpus_pipeline.run,
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_pii_surrogates": op2_pii_surrogates,
     "op3_language_id": op3_language_id,
@@ -72,6 +69,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_lm_scoring": op10_lm_scoring,
 }
-#: None has SQL yet. Most are beyond it (XXH64, trained models, tokenizers, alignment), op4 and op9 are not; tests/llm has brute force
-#: for the operators, not for the pipeline as a whole.
-ORACLE_SQL: dict[str, str] = {k: v for k, v in {"pipeline": corpus_pipeline.ORACLE_SQL}.items() if v}
+#: op4 and op9 have SQL. The others are beyond it (XXH64, trained models, tokenizers, alignment, keyed surrogates, quote levels);
+#: tests/llm has brute force for them.
+ORACLE_SQL: dict[str, str] = {
+    "op4_embedding_near_dedup": """
+        WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+        fine AS (
+            SELECT vec_id, x FROM v
+            WHERE vec_id IS NOT NULL AND len(x) > 0 AND len(list_filter(x, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND list_dot_product(x, x) > 0
+        ),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+            WHERE list_dot_product(a.x, b.x) / sqrt(list_dot_product(a.x, a.x) * list_dot_product(b.x, b.x)) >= 0.9
+        ),
+        reach AS (SELECT a AS node, b AS other FROM links UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other),
+        least AS (SELECT node, min(other) AS least FROM reach GROUP BY node),
+        n AS (SELECT a AS node, count(*) AS n FROM links GROUP BY a)
+        SELECT v.vec_id, coalesce(n.n, 0) AS n_links, least(v.vec_id, coalesce(least.least, v.vec_id)) AS component_id,
+               v.vec_id = least(v.vec_id, coalesce(least.least, v.vec_id)) AS kept
+        FROM v LEFT JOIN n ON n.node = v.vec_id LEFT JOIN least ON least.node = v.vec_id
+    """,
+    "op9_substring_dedup": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        places AS (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 12, 0) + 1)) AS i FROM w),
+        windows AS (SELECT doc_id, i, list_aggregate(words[i:i + 12], 'string_agg', ' ') AS window_text FROM places),
+        firsts AS (SELECT window_text, min(doc_id) AS first_doc FROM windows GROUP BY window_text),
+        hits AS (SELECT doc_id, i FROM windows JOIN firsts USING (window_text) WHERE first_doc < doc_id),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS pos FROM hits),
+        lists AS (SELECT doc_id, list(pos) AS gone_at FROM gone GROUP BY doc_id),
+        kept AS (
+            SELECT w.doc_id, len(words) AS n_words, coalesce(len(l.gone_at), 0) AS n_removed,
+                   CASE WHEN l.gone_at IS NULL THEN words ELSE list_transform(list_filter(range(1, len(words) + 1), lambda j: NOT list_contains(l.gone_at, j)), lambda j: words[j]) END AS rest
+            FROM w LEFT JOIN lists l ON l.doc_id = w.doc_id
+        )
+        SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
+               sha256(coalesce(list_aggregate(rest, 'string_agg', ' '), '')) AS kept_sha256
+        FROM kept
+    """,
+}

@@ -104,6 +104,29 @@ def test_simhash_dedup_keeps_one_of_each(odd_clash, empty):
     assert simhash.simhash_dedup(empty).count() == 0
 
 
+def test_simhash_dedup_of_null_and_repeated_ids(spark):
+    rng = random.Random(26)
+    a, b, c, d = (prose(rng, 80) for _ in range(4))
+    rows = [(None, a, 1), (None, b, 1), (1, c, 1), (1, d, 1), (2, d, 1), (2, d, 1), (3, c, 1), (None, None, 2), (None, None, 2)]
+    kept = simhash.simhash_dedup(spark.createDataFrame(rows, "doc_id long, text string, digest int").repartition(3)).collect()
+    assert Counter(tuple(r) for r in kept) == Counter([(None, a, 1), (None, b, 1), (1, c, 1), (1, d, 1), (None, None, 2)])
+
+
+def test_embedding_recall_at_the_threshold(spark):
+    """Pairs at a cosine of 0.9 and just above, among vectors that are unrelated."""
+    rng = np.random.default_rng(27)
+    x = rng.normal(size=(1500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.normal(size=x.shape)
+    side -= (side * x).sum(axis=1, keepdims=True) * x
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    c = rng.uniform(0.9001, 0.91, (len(x), 1))
+    y = c * x + np.sqrt(1 - c * c) * side
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate((x, y)))]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4))
+    assert got.where("vec_id >= 1500 and component_id = vec_id - 1500").count() >= 0.99 * len(x)
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001), (5, 5)], "src long, dst long")
     got = {r.node: r.component for r in connected_components(edges).collect()}
@@ -111,7 +134,7 @@ def test_components_of_a_long_path(spark):
 
 
 def vectors_brute(rows, least=0.9):
-    rows = sorted({(i, tuple(v) if v is not None else None) for i, v in rows}, key=str)
+    rows = [(i, tuple(v) if v is not None else None) for i, v in rows]
     ok = lambda i, v: i is not None and v and None not in v and np.isfinite(v).all() and any(v)
     unit = [np.array(v, dtype=float) / np.linalg.norm(v) if ok(i, v) else None for i, v in rows]
     linked = lambda i, j: unit[i] is not None and unit[j] is not None and len(unit[i]) == len(unit[j]) and float(unit[i] @ unit[j]) >= least
@@ -132,7 +155,7 @@ def test_embeddings_odd_rows(spark):
             center = rng.normal(size=16)
         rows.append((i, [float(x) for x in (center + rng.normal(size=16) * 0.08).astype(np.float32)]))
     rows += [(900, rows[0][1]), (900, rows[0][1]), (901, rows[0][1]), (902, None), (903, []), (904, [0.0] * 16), (905, [float("nan")] * 16), (906, [float("inf")] + [1.0] * 15)]
-    rows += [(907, [None] + [1.0] * 15), (908, [1.0, 2.0]), (909, [2.0, 4.0]), (None, rows[0][1]), (910, [x * 3 for x in rows[0][1]])]
+    rows += [(30, rows[0][1]), (30, rows[3][1]), (907, [None] + [1.0] * 15), (908, [1.0, 2.0]), (909, [2.0, 4.0]), (None, rows[0][1]), (910, [x * 3 for x in rows[0][1]])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 as key", "2 as rep", "3 as x")
     got = embeddings.near_duplicates(df, recall=0.9999)
     assert Counter(map(tuple, got.collect())) == vectors_brute([(i, [None if x is None else float(np.float32(x)) for x in v] if v is not None else None) for i, v in rows])

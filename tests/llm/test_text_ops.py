@@ -2,8 +2,12 @@
 
 import json
 import math
+import os
 import random
 import re
+import subprocess
+import sys
+import time
 import zlib
 from collections import Counter
 from functools import cache
@@ -16,6 +20,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm import chat, common, decontaminate, langid, lm, packing, pii, quality
 
+from tests.conftest import ROOT
+
 from .conftest import prose
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -23,7 +29,7 @@ WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 # --- packing
 
 
-vocabulary = cache(packing.vocabulary)
+encoder = cache(packing.Encoder)
 
 
 @cache
@@ -31,9 +37,7 @@ def tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def reference_ids(texts):
@@ -43,7 +47,23 @@ def reference_ids(texts):
 @settings(max_examples=150, deadline=None)
 @given(st.text(max_size=80))
 def test_the_two_vocabularies_agree(text):
-    assert [*vocabulary().encode_ordinary(text), 2] == tokenizer().encode(text, add_special_tokens=False).ids + [2]
+    assert encoder().ids(text) == tokenizer().encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text", [" " * 1_000_000, "\n" * 1_000_000 + "x", "a <|endoftext|> b", "<|endoftext|>" * 3, " <|endoftext|", "x" * 100_000, ("a" + " " * 9_999) * 3, " \u3000" * 20_000])
+def test_special_strings_and_long_runs(text):
+    assert encoder().ids(text) == tokenizer().encode(text, add_special_tokens=False).ids
+
+
+def test_equal_rows_are_dealt_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK", 500)
+    blocks = []
+    df = spark.range(20_000).selectExpr("cast(null as long) as doc_id", "cast(null as string) as text")
+    once = packing.packed_once
+    monkeypatch.setattr(packing, "packed_once", lambda items, *a: blocks.append(once(items, *a)) or blocks[-1])
+    rows = packing.pack(df).collect()
+    assert len(rows) == 20_000 and len(check_sequences(rows)) <= 40
+    assert blocks[0].groupBy("block").count().agg(F.max("count")).first()[0] < 1000
 
 
 def test_packing_odd_rows(odd_clash, odd_rows, empty):
@@ -208,6 +228,43 @@ def test_full_name_lists_and_formats_are_left(spark, monkeypatch):
     assert sorted(new) == full and not any(a == b for a, b in zip(new, full, strict=True))
 
 
+def test_all_initials_settle(spark):
+    new = [r.text for r in pii.surrogate_pii(spark.createDataFrame([(i, f"Then Mr. {c} left.") for i, c in enumerate("AEIOUY")], "doc_id long, text string")).collect()]
+    assert len(set(new)) == 6 and not {f"Then Mr. {c} left." for c in "AEIOUY"} & set(new)
+
+
+def test_pii_takes_linear_time():
+    s = pii.Surrogates(b"k")
+    for t in ["x" * 300_000 + " @ a@b.org", "a.b-" * 80_000 + "@", "1" * 300_000, "A" * 300_000 + ": Mr " + "b" * 300_000, "name: " + "c" * 300_000, "a@" * 100_000, ":" * 300_000 + "1"]:
+        began = time.process_time()
+        pii.replace(t, s, {})
+        assert time.process_time() - began < 20
+
+
+def test_operators_run_without_the_package(tmp_path):
+    """Workers that can't import the package."""
+    code = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local-cluster[1,1,1024]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {str(tmp_path)!r}).config("spark.sql.shuffle.partitions", "2").getOrCreate()
+from tessera.llm import chat, common, decontaminate, langid, lm, packing, pii, quality, simhash, substrings
+docs = spark.createDataFrame([(i, f"Mr. John Smith of {{i}} wrote to a{{i}}@b.org about words and more words in a row", "en") for i in range(8)], "doc_id long, text string, lang string")
+assert pii.surrogate_pii(docs).count() == packing.pack(docs).count() == lm.score(docs).count() == simhash.simhash_components(docs).count() == 8
+assert langid.predict(docs, langid.fit(docs)).count() == 8 and substrings.dedup_substrings(docs).count() == 8
+assert quality.score(docs, *quality.fit(docs, spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, quality int"))).count() == 8
+assert decontaminate.drop_contaminated(docs, docs.selectExpr("doc_id as item_id", "text")).count() == 0
+assert chat.format_chats(docs.selectExpr("doc_id as conv_id", "doc_id as turn", "lang as role", "text")).count() == 8
+from pyspark import cloudpickle
+common.Words(["a b"])
+assert len(cloudpickle.dumps(common.Words)) < 100_000
+print("all ran")
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"SPARK_SCALA_VERSION": "2.13"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert "all ran" in out.stdout, out.stderr[-3000:]
+
+
 def test_pii_odd_rows(odd_clash, odd_rows, empty):
     out = pii.surrogate_pii(odd_clash)
     assert out.columns == odd_clash.columns
@@ -403,6 +460,14 @@ def test_unspaced_short_and_truncated_copies(spark):
     assert {r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()} == {5, 7}
 
 
+def test_long_items_score_by_their_whole_length(spark):
+    rng = random.Random(24)
+    long = prose(rng, 600).split()
+    docs = spark.createDataFrame([(0, " ".join(long)), (1, prose(rng, 50) + " " + " ".join(long[200:320])), (2, " ".join(long[:400])), (3, " ".join(long[:15]))], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in decontaminate.matches(docs, spark.createDataFrame([(9, " ".join(long))], "item_id long, text string")).collect()}
+    assert set(got) == {0, 1, 2} and got[0] == 1 and abs(got[1] - 0.2) < 0.03 and abs(got[2] - 2 / 3) < 0.03
+
+
 def test_decontamination_blocks_and_empty_tables(spark, monkeypatch, odd_clash, odd_rows, empty):
     monkeypatch.setattr(decontaminate, "ITEMS", 2)
     monkeypatch.setattr(decontaminate, "PIECE", 20)
@@ -451,7 +516,7 @@ def test_lm_learns_between_ordinary_words(spark):
     assert len({lm.rest_class(w.encode()) for w in words}) == 1
     out = lm.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).where("held_out")
     r = out.agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
-    assert r.s > 0.75 * r.b
+    assert r.s > 0.8 * r.b
 
 
 def test_leaf_probabilities_sum_to_one():
@@ -542,8 +607,9 @@ def test_chat_threads(spark):
     assert {r.turn: r.reply_to for r in one} == {0: None, 1: None, 2: None, 3: 0, 4: 3, 5: 2, 6: None}
     text = {r.turn: r.text for r in one}
     assert text[4] == "Thanks, that works well." and text[3] == "Use sorted for a copy." and text[5] == "Sunny all day long."
+    assert text[6] == THREAD[6][3]  # a quote from elsewhere stays
     two = {r.turn: r for r in rows if r.conv_id == 2}
-    assert two[1].text == "" and two[2].text == "" and sorted(r.position for r in two.values()) == [0, 1, 2, 3]
+    assert two[1].text == "" and two[2].text == THREAD[9][3] and sorted(r.position for r in two.values()) == [0, 1, 2, 3]
     lines = chat.templated(chat.format_chats(df)).where("conv_id = 1 and position = 1").first().line
     assert lines == "<|assistant|>\nUse sorted for a copy.\n<|end|>"
     assert chat.format_chats(df.limit(0)).count() == 0
@@ -572,6 +638,40 @@ def test_chat_partial_rewrapped_and_short_quotes(spark):
     assert all(r.n_links == (k in want) for k, r in got.items())
 
 
+def test_generated_threads_against_their_making(spark):
+    """Messages that quote an earlier one in whole or by a sentence, two levels deep, or nothing: the maker knows all links and texts."""
+    rng, rows, want = random.Random(22), [], {}
+    for conv in range(12):
+        own: list[list[str]] = []
+        for turn in range(15):
+            sentences = [prose(rng, rng.randint(6, 12)) + f" {conv}x{turn}y{k}." for k in range(rng.randint(1, 3))]
+            text, parent = " ".join(sentences), None
+            if turn and rng.random() < 0.7:
+                parent = rng.randrange(turn)
+                style = rng.random()
+                part = own[parent] if style < 0.6 else [rng.choice(own[parent])]
+                quoted = ["> " + " ".join(part)]
+                if (above := want[conv, parent][0]) is not None and style < 0.3:
+                    quoted = [">> " + " ".join(own[above]), ">", *quoted]
+                text = "\n".join([*(["Ann wrote:"] if rng.random() < 0.5 else []), *quoted, "", text])
+            elif rng.random() < 0.3:
+                text = ">>> " + prose(rng, 6) + "\n" + text
+            own.append(sentences)
+            want[conv, turn] = parent, " ".join(sentences) if parent is not None else text
+            rows.append((conv, turn, "user", text))
+    got = {(r.conv_id, r.turn): (r.reply_to, r.text) for r in chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)).collect()}
+    assert got == want
+
+
+def test_chat_long_and_clashing(spark):
+    long = prose(random.Random(23), 60_000)
+    rows = [(1, 0, "a", long), (1, 1, "b", "> " + long[:5000] + "\nyes"), (1, 2, "c", "> " + long + "\nno"), (1, 2, "c", "> " + long + "\nno")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    clash = ("own", "raw", "linked", "quoted", "passages", "pieces", "root", "parent", "links", "thread", "position", "part", "rank", "before")
+    got = sorted((r.turn, r.reply_to, r.text) for r in chat.format_chats(df.select("*", *(F.lit(1).alias(c) for c in clash))).collect() if r.turn)
+    assert got == [(1, 0, "yes"), (2, 0, "no"), (2, 0, "no")]
+
+
 def test_chat_deep_and_hot_conversation(spark):
     rows = [(7, 0, "user", "message number 0 says hello")]
     rows += [(7, t, "user", f"> message number {t - 1} says hello\nmessage number {t} says hello") for t in range(1, 200)]
@@ -602,6 +702,58 @@ def test_pipeline_stages(spark, sf001):
     assert {r.doc_id for r in rows} == {r.doc_id for r in before.collect()}
 
 
+def test_pipeline_odd_rows_and_empty_tables(spark, tmp_path, odd_clash, odd_rows, empty):
+    import corpus_pipeline
+
+    bench = spark.createDataFrame([(1, odd_rows[20][1])], "item_id long, text string")
+    for name, docs in (("odd", odd_clash), ("none", empty)):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        bench.write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    rows = corpus_pipeline.run(spark, f"{tmp_path}/odd").collect()
+    check_sequences(rows)
+    ids = {r.doc_id for r in rows}
+    assert odd_rows[20][0] not in ids and 1 in ids and not {4, 5, 6, 10} & ids
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_pipeline_against_plain_versions(spark, tmp_path):
+    """run() on clear-cut documents, beside plain loops that share no code with the stages but the language model."""
+    import xxhash
+
+    import corpus_pipeline
+
+    rng = random.Random(25)
+    item = prose(rng, 40)
+    texts = [tongue(rng, rng.choice(["en", "de", "fr"]), rng.randint(60, 120)) for _ in range(120)]
+    texts += [texts[3], texts[3], texts[7], "12 34 !!", None] + [tongue(rng, "en", 30) + " " + item + " " + tongue(rng, "en", 30) for _ in range(4)]
+    texts += [f"write to person{k}@mail{k}.example.org " + tongue(rng, "fr", 50) for k in range(6)]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+
+    def print_of(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text.lower())
+        h = [xxhash.xxh64_intdigest(" ".join(words[i : i + 3]).encode(), 42) for i in range(max(1, len(words) - 2))]
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    kept = []
+    for i, t in enumerate(texts):  # rejected, then near copies of an earlier one, then those with the item
+        if t and any(map(str.isalpha, t)) and all((print_of(t) ^ print_of(texts[j])).bit_count() > 3 for j in kept):
+            kept.append(i)
+    kept = [i for i in kept if item not in texts[i]]
+    assert {r.doc_id for r in got} == set(kept) and len(kept) == 126
+    check_sequences(got)
+    for r in got:
+        ids = tokenizer().encode(texts[r.doc_id], add_special_tokens=False).ids + [2]
+        whole = [x for x in got if x.doc_id == r.doc_id]
+        if "@" not in texts[r.doc_id]:
+            part = np.array(ids[r.start : r.start + r.length], dtype="<u4")
+            assert r.ids_crc32 == zlib.crc32(part.tobytes()) and sum(x.length for x in whole) == len(ids)
+        else:
+            assert len(whole) > 1 or r.ids_crc32 != zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+
+
 def test_queries_registered():
     import __spark_entry__
 
