@@ -25,4 +25,5 @@ EPOCHS = 5
 WARMUP = 0.10
 PATIENCE = 2
 DROPOUT = 0.15
+LEARNING_RATE, WEIGHT_DECAY, CLIP = 2e-5, 0.01, 1.0
 SPLITS = (("train", 0.8), ("val", 0.1), ("test", 0.1))

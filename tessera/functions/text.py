@@ -57,5 +57,5 @@ def task_name(label: str) -> str:
 
 
 def fixed(column: Column, digits: int = 2) -> Column:
-    """For display."""
-    return F.format_number(column, digits)
+    """Text with so many decimals, without grouping."""
+    return F.format_string(f"%.{digits}f", column.cast("double"))

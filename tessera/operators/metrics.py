@@ -56,6 +56,11 @@ def macro_f1_observed(classes_: DataFrame) -> DataFrame:
     return classes_.where("support + predicted > 0").groupBy("task").agg(F.avg("f1").alias("macro_f1"))
 
 
+def ranked(scores: DataFrame, column: str = "macro_f1") -> DataFrame:
+    """scores(task, ...) best first, ties by task; as many rows as tasks."""
+    return scores.orderBy(F.desc(column), "task")
+
+
 def weighted_f1(classes_: DataFrame) -> DataFrame:
     return classes_.groupBy("task").agg(F.coalesce(F.try_divide(F.sum(F.col("f1") * F.col("support")), F.sum("support")), F.lit(0.0)).alias("weighted_f1"))
 

@@ -42,5 +42,10 @@ def predict_article(spark: SparkSession, title: str, content: str, heads: Mappin
     return {t: p.asDict(recursive=True) for t, p in row.prediction.items()}
 
 
-def as_json(column: str = "prediction") -> Column:
-    return F.to_json(F.col(column))
+def as_json(column: str = "prediction", places: int | None = None) -> Column:
+    """The record as JSON; places: decimals of its numbers."""
+    if places is None:
+        return F.to_json(F.col(column))
+    kind = f"decimal({places + 3}, {places})"
+    short = lambda _, v: F.struct(v["label"].alias("label"), v["confidence"].cast(kind).alias("confidence"), F.transform_values(v["probabilities"], lambda _, p: p.cast(kind)).alias("probabilities"))
+    return F.to_json(F.transform_values(F.col(column), short))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ranking import numbered_sums
+
 
 def missing(df: DataFrame) -> DataFrame:
     """Rows (column, n_missing), one pass over all columns."""
@@ -80,12 +82,27 @@ def label_counts(df: DataFrame, tasks: Sequence[str], *by: str) -> DataFrame:
 
 
 def describe(df: DataFrame, column: str, percentiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """One row: count, mean, std, min, exact percentiles (p25, ...), max. Exact percentiles keep one counter a distinct value."""
+    """One row: count, mean, std, min, exact percentiles (p25, ...), max."""
     x = F.col(column).cast("double")
-    at = F.percentile(x, F.array(*(F.lit(p) for p in percentiles)))
-    out = df.agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), at.alias("at"), F.max(x).alias("max"))
+    out = df.agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
     names = [f"p{p * 100:g}".replace(".", "_") for p in percentiles]
-    return out.select("count", "mean", "std", "min", *(F.col("at")[i].alias(n) for i, n in enumerate(names)), "max")
+    return out.crossJoin(exact_percentiles(df, x, percentiles)).select("count", "mean", "std", "min", *(F.col("at")[i].alias(n) for i, n in enumerate(names)), "max")  # one row each
+
+
+def exact_percentiles(df: DataFrame, x: Column, percentiles: Sequence[float]) -> DataFrame:
+    """One row (at: array): exact percentiles with linear interpolation. Values are counted first, then numbered in value order by
+    buckets with pre-aggregated offsets, so that no task holds all distinct values."""
+    counts = df.select(x.alias("x")).where("x is not null").groupBy("x").agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    ends = numbered_sums(counts, "x", "n", "end")
+    aim = lambda f: F.array(*(f((total - 1) * F.lit(float(p))) for p in percentiles))
+    # the value at place k (from 0) is the least whose running count is over k
+    low, high, part = aim(F.floor), aim(F.ceil), aim(lambda v: v - F.floor(v))
+    rows = ends.withColumns({"__low": low, "__high": high, "__part": part})
+    lows = [F.min(F.when(F.col("end") > F.col("__low")[i], F.col("x"))) for i in range(len(percentiles))]
+    highs = [F.min(F.when(F.col("end") > F.col("__high")[i], F.col("x"))) for i in range(len(percentiles))]
+    parts = [F.first(F.col("__part")[i], ignorenulls=True) for i in range(len(percentiles))]
+    return rows.agg(F.array(*(a + (b - a) * c for a, b, c in zip(lows, highs, parts, strict=True))).alias("at"))
 
 
 def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:

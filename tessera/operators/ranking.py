@@ -24,10 +24,23 @@ def hash_rank(df: DataFrame, by: Sequence[str], key: str, seed: int, name: str =
 
 def key_rank(df: DataFrame, key: str, name: str = "rank", buckets: int = 256) -> DataFrame:
     """df with name: 0, 1, ... in the order of a numeric key, over the whole table."""
+    return numbered(df.withColumn("__bucket", range_bucket(df, key, buckets)), [], "__bucket", [F.col(key)], name).drop("__bucket")
+
+
+def range_bucket(df: DataFrame, key: str, buckets: int) -> Column:
+    """Number of the range that a numeric key falls in, by approximate quantiles."""
     edges = df.agg(F.percentile_approx(F.col(key).cast("double"), [i / buckets for i in range(1, buckets)], 10_000)).first()[0] or []
     edges = sorted(set(edges))
-    at = F.size(F.filter(F.array(*(F.lit(e) for e in edges)), lambda e: e < F.col(key))) if edges else F.lit(0)
-    return numbered(df.withColumn("__bucket", at), [], "__bucket", [F.col(key)], name).drop("__bucket")
+    return F.size(F.filter(F.array(*(F.lit(e) for e in edges)), lambda e: e < F.col(key))) if edges else F.lit(0)
+
+
+def numbered_sums(df: DataFrame, key: str, n: str, name: str, buckets: int = 256) -> DataFrame:
+    """df with name: the sum of n over the rows up to this one in the order of a numeric key that doesn't repeat."""
+    rows = df.withColumn("__bucket", range_bucket(df, key, buckets))
+    sums = rows.groupBy("__bucket").agg(F.sum(n).alias("__n"))
+    before = F.coalesce(F.sum("__n").over(W.partitionBy().orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    within = F.sum(n).over(W.partitionBy("__bucket").orderBy(key))
+    return rows.withColumn("__within", within).join(sums.select("__bucket", before.alias("__before")), "__bucket").withColumn(name, F.col("__within") + F.col("__before")).drop("__bucket", "__within", "__before")
 
 
 def numbered(rows: DataFrame, by: Sequence[str], bucket: str, order: Sequence[Column], name: str) -> DataFrame:

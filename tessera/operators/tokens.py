@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,17 +14,36 @@ from .ranking import hash_rank, key_rank
 
 
 def words(column: Column) -> Column:
-    """White-space tokens; the stand-in for a trained tokenizer, whose vocabulary isn't available offline."""
+    """White-space tokens, inside the JVM; subwords() gives those of a trained vocabulary."""
     text = squeezed(F.coalesce(column, F.lit("")))
     return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, " "))
 
 
-def encode_pair(df: DataFrame, title: str, content: str, max_length: int = MAX_LENGTH, special: int = SPECIAL_TOKENS) -> DataFrame:
+def subwords(path: str | None = None):
+    """Tokens of a trained vocabulary in place of words: path, or byte_bpe_50k.json of public_tokenizers, by the tokenizers library."""
+
+    def of(column: Column) -> Column:
+        @F.pandas_udf("array<string>")
+        def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            from tokenizers import Tokenizer
+
+            if path is None:
+                import public_tokenizers
+            t = Tokenizer.from_file(path or public_tokenizers.path("byte_bpe_50k.json"))
+            for s in parts:
+                yield pd.Series([e.tokens for e in t.encode_batch(s.fillna("").tolist(), add_special_tokens=False)], dtype=object)
+
+        return run(column)
+
+    return of
+
+
+def encode_pair(df: DataFrame, title: str, content: str, max_length: int = MAX_LENGTH, special: int = SPECIAL_TOKENS, tokenize=words) -> DataFrame:
     """df with title_tokens whole, content_tokens cut to what is left of max_length, n_tokens and over_budget (the title
     alone doesn't fit, so the content is empty)."""
     room = F.lit(max_length - special) - F.size("title_tokens")
-    out = df.withColumn("title_tokens", words(F.col(title)))
-    out = out.withColumn("content_tokens", F.slice(words(F.col(content)), F.lit(1), F.greatest(room, F.lit(0))))
+    out = df.withColumns({"title_tokens": tokenize(F.col(title)), "content_tokens": tokenize(F.col(content))})
+    out = out.withColumn("content_tokens", F.slice("content_tokens", F.lit(1), F.greatest(room, F.lit(0))))
     return out.withColumns({"n_tokens": F.size("title_tokens") + F.size("content_tokens") + special, "over_budget": room < 0})
 
 

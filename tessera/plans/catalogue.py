@@ -6,6 +6,8 @@ of an encoder, the first two turns of conversations for title and content. Doubl
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,15 +15,17 @@ from pyspark.sql import functions as F
 
 from ..config import BATCH_SIZE
 from ..functions.arrays import label_of
-from ..functions.text import clean_text
-from ..operators import clean, encode, metrics, model, predict, profile, split, tokens, validate
+from ..functions.text import clean_text, fixed, joint_length, task_name
+from ..operators import clean, encode, metrics, model, predict, profile, split, tokens, train, validate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
-TASKS = {"quality_label": ["no", "yes", "uncertain"], "toxic_label": ["no", "yes", "uncertain"], "length_label": ["A", "B", "C"]}
-HEADS = {"first": ["no", "yes", "uncertain"], "second": ["A", "B", "C"]}
+TASKS = {"quality_label": ["no", "yes", "uncertain"], "toxic_label": ["no", "yes", "uncertain"], "lang_label": ["no", "yes", "uncertain"], "length_label": ["A", "B", "C"]}
+HEADS = {"first": ["no", "yes", "uncertain"], "second": ["A", "B", "C"], "third": ["no", "yes", "uncertain"], "fourth": ["no", "yes", "uncertain"]}
+#: A task's true class is the label divided by this, modulo 3.
+TRUTH = {"first": 1, "second": 2, "third": 3, "fourth": 4}
 WIDTH = 64
-WEIGHTS = {"first": [0.5, 1.0, 2.0], "second": [1.0, 1.5, 0.75]}
+WEIGHTS = {"first": [0.5, 1.0, 2.0], "second": [1.0, 1.5, 0.75], "third": [1.0, 1.0, 1.0], "fourth": [2.0, 0.25, 1.25]}
 #: epoch, mean macro-F1: better, level, equal (no improvement), better, worse, worse, and one that isn't reached.
 HISTORY = [(1, 0.41), (2, 0.52), (3, 0.52), (4, 0.58), (5, 0.57), (6, 0.55), (7, 0.90)]
 
@@ -48,15 +52,15 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = lambda c: F.when(F.col(c) == 1, "yes").when(F.col(c) == 0, "no").otherwise("uncertain")
     band = F.when(F.col("n_chars") < 800, "A").when(F.col("n_chars") < 2500, "B").otherwise("C")
     rows = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id", "left")
-    return rows.withColumns({"quality_label": named("quality"), "toxic_label": named("toxic"), "length_label": band}).drop("quality", "toxic")
+    return rows.withColumns({"quality_label": named("quality"), "toxic_label": named("toxic"), "lang_label": F.when(F.col("lang") == "en", "yes").when(F.col("lang") == "de", "no").otherwise("uncertain"), "length_label": band}).drop("quality", "toxic")
 
 
 LABELLED = """labelled AS (SELECT d.*, CASE l.quality WHEN 1 THEN 'yes' WHEN 0 THEN 'no' ELSE 'uncertain' END AS quality_label,
     CASE l.toxic WHEN 1 THEN 'yes' WHEN 0 THEN 'no' ELSE 'uncertain' END AS toxic_label,
-    CASE WHEN d.n_chars < 800 THEN 'A' WHEN d.n_chars < 2500 THEN 'B' ELSE 'C' END AS length_label
+    CASE d.lang WHEN 'en' THEN 'yes' WHEN 'de' THEN 'no' ELSE 'uncertain' END AS lang_label, CASE WHEN d.n_chars < 800 THEN 'A' WHEN d.n_chars < 2500 THEN 'B' ELSE 'C' END AS length_label
     FROM documents d LEFT JOIN labels l USING (doc_id))"""
 LONG_LABELS = LABELLED + """, long AS (SELECT doc_id, 'quality_label' AS task, quality_label AS label FROM labelled
-    UNION ALL SELECT doc_id, 'toxic_label', toxic_label FROM labelled UNION ALL SELECT doc_id, 'length_label', length_label FROM labelled)"""
+    UNION ALL SELECT doc_id, 'toxic_label', toxic_label FROM labelled UNION ALL SELECT doc_id, 'lang_label', lang_label FROM labelled UNION ALL SELECT doc_id, 'length_label', length_label FROM labelled)"""
 CLASSES = "classes(task, place, label) AS (VALUES " + ", ".join(f"('{t}', {i}, '{c}')" for t, cs in TASKS.items() for i, c in enumerate(cs)) + ")"
 DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -258,9 +262,13 @@ def clean_text_url(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", clean_text(text, normalize=False).alias("cleaned"))
 
 
-@query("clean_text_nfkc", f"SELECT doc_id, {CLEAN.format('nfc_normalize(text)')} AS cleaned FROM documents")
+#: Signs that NFKC changes and NFC doesn't, and what they become.
+COMPATIBLE, PLAIN = " \ufb01ne \uff21\uff11 \u00b2\u2460", " fine A1 21"
+
+
+@query("clean_text_nfkc", f"SELECT doc_id, {CLEAN.format(f'(nfc_normalize(text) || {PLAIN!r})')} AS cleaned FROM documents")
 def clean_text_nfkc(spark, sf_dir):
-    return read(spark, sf_dir, "documents").select("doc_id", clean_text(F.col("text")).alias("cleaned"))
+    return read(spark, sf_dir, "documents").select("doc_id", clean_text(F.concat("text", F.lit(COMPATIBLE))).alias("cleaned"))
 
 
 @query(
@@ -324,9 +332,39 @@ def drawn(spark, sf_dir):
     return split.stratified_split(rows, "vec_id", ["first_id", "second_id"])
 
 
-@query("split_disjoint", "SELECT vec_id, CAST(2 AS BIGINT) AS n_splits FROM embeddings WHERE false")
+@query("split_disjoint", "SELECT vec_id, CAST(2 AS BIGINT) AS n_splits FROM embeddings WHERE vec_id % 10 = 3")
 def split_disjoint(spark, sf_dir):
-    return validate.shared_keys(drawn(spark, sf_dir), "vec_id")
+    """Every tenth key is planted in a split of its own beside its true one; the true splits share none."""
+    rows = drawn(spark, sf_dir).select("vec_id", "split")
+    return validate.shared_keys(rows.unionByName(rows.where("vec_id % 10 = 3").withColumn("split", F.lit("planted"))), "vec_id")
+
+
+@query("split_overlap", "SELECT DISTINCT o_custkey AS key FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)")
+def split_overlap(spark, sf_dir):
+    poor = read(spark, sf_dir, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("key"))
+    return validate.overlap(read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key")), poor, "key")
+
+
+@query("joint_length", "SELECT doc_id, CAST(length(coalesce(source, '')) + length(coalesce(text, '')) AS INT) AS char_length FROM documents")
+def joint_length_(spark, sf_dir):
+    return read(spark, sf_dir, "documents").select("doc_id", joint_length(F.col("source"), F.col("text")).alias("char_length"))
+
+
+@query("fixed_decimals", "SELECT o_orderkey, printf('%.2f', o_totalprice) AS price FROM orders")
+def fixed_decimals(spark, sf_dir):
+    return read(spark, sf_dir, "orders").select("o_orderkey", fixed(F.col("o_totalprice")).alias("price"))
+
+
+@query("fill_missing", "SELECT doc_id, coalesce(CASE WHEN doc_id % 7 <> 0 THEN source END, '') AS source FROM documents")
+def fill_missing(spark, sf_dir):
+    rows = read(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 7 != 0, F.col("source")).alias("source"))
+    return clean.fill_missing(rows, ["source"])
+
+
+@query("task_names", f"WITH {LONG_LABELS} SELECT replace(task, '_label', '') AS task, count(*) AS n FROM long GROUP BY task")
+def task_names(spark, sf_dir):
+    counts = profile.label_counts(labelled(spark, sf_dir), list(TASKS)).groupBy("task").agg(F.sum("n").alias("n"))
+    return counts.select(F.element_at(F.create_map(*(F.lit(x) for t in TASKS for x in (t, task_name(t)))), F.col("task")).alias("task"), "n")
 
 
 @query("split_stratified")
@@ -389,13 +427,13 @@ SCORED = (
     )
     + " FROM embeddings), s AS (SELECT vec_id, label, "
     + ", ".join(f"{t}_z, list_transform({t}_z, lambda x: exp(x - list_max({t}_z)) / list_sum(list_transform({t}_z, lambda y: exp(y - list_max({t}_z))))) AS {t}_p, list_position({t}_z, list_max({t}_z)) - 1 AS {t}_pred" for t in HEADS)
-    + ", label % 3 AS first_id, (label // 2) % 3 AS second_id FROM z)"
+    + "".join(f", (label // {d}) % 3 AS {t}_id" for t, d in TRUTH.items()) + " FROM z)"
 )
 
 
 def scored(spark, sf_dir):
     rows = read(spark, sf_dir, "embeddings")
-    truth = {"first_id": (F.col("label") % 3).cast("int"), "second_id": (F.floor(F.col("label") / 2) % 3).cast("int")}
+    truth = {f"{t}_id": (F.floor(F.col("label") / d) % 3).cast("int") for t, d in TRUTH.items()}
     return model.score(rows, "embedding", fixed_heads()).withColumns(truth)
 
 
@@ -438,9 +476,15 @@ def predict_map(spark, sf_dir):
     return out.select("vec_id", "task", "p.label", F.explode("p.probabilities").alias("class", "probability")).select("vec_id", "task", "label", F.round("probability", 6).alias("probability"), "class")
 
 
-@query("predict_map_json")
+def json_sql(t: str, classes: list[str]) -> str:
+    six = lambda x: f"CAST(CAST({x} AS DECIMAL(9, 6)) AS VARCHAR)"
+    each = " || ',' || ".join(f"'\"{c}\":' || {six(f'{t}_p[{i + 1}]')}" for i, c in enumerate(classes))
+    return f"'\"{t}\":{{\"label\":\"' || {classes}[{t}_pred + 1] || '\",\"confidence\":' || {six(f'list_max({t}_p)')} || ',\"probabilities\":{{' || {each} || '}}}}'"
+
+
+@query("predict_map_json", f"WITH {SCORED} SELECT vec_id, '{{' || " + " || ',' || ".join(json_sql(t, cs) for t, cs in HEADS.items()) + " || '}' AS json FROM s")
 def predict_map_json(spark, sf_dir):
-    return model.predictions(scored(spark, sf_dir), fixed_heads()).select("vec_id", predict.as_json().alias("json"))
+    return model.predictions(scored(spark, sf_dir), fixed_heads()).select("vec_id", predict.as_json(places=6).alias("json"))
 
 
 def loss_sql(t: str) -> str:
@@ -530,6 +574,24 @@ def macro_f1_observed(spark, sf_dir):
     return rounded(metrics.macro_f1_observed(metrics.per_class(truth_and_prediction(spark, sf_dir), HEADS)), "macro_f1")
 
 
+@query("macro_f1_series", f"WITH {PER_CLASS}, m AS (SELECT task, avg(f1) AS m FROM f WHERE support + predicted > 0 GROUP BY task) SELECT task, round(m, 6) AS macro_f1, row_number() OVER (ORDER BY m DESC, task) AS place FROM m")
+def macro_f1_series(spark, sf_dir):
+    out = metrics.ranked(metrics.macro_f1_observed(metrics.per_class(truth_and_prediction(spark, sf_dir), HEADS)))
+    # as many rows as tasks
+    return rounded(out.coalesce(1).withColumn("place", F.monotonically_increasing_id() + 1), "macro_f1")
+
+
+@query(
+    "evaluate_heads",
+    f"WITH {PER_CLASS}, b AS (SELECT *, (row_number() OVER (ORDER BY vec_id) - 1) // 8 AS batch FROM s), l AS (SELECT batch, {' + '.join(map(loss_sql, HEADS))} AS loss FROM b GROUP BY batch), "
+    "m AS (SELECT task, avg(f1) AS m FROM f WHERE support + predicted > 0 GROUP BY task) SELECT task, round(m, 6) AS macro_f1, round((SELECT avg(loss) FROM l), 6) AS loss FROM m",
+)
+def evaluate_heads(spark, sf_dir):
+    rows = read(spark, sf_dir, "embeddings").withColumns({f"{t}_id": (F.floor(F.col("label") / d) % 3).cast("int") for t, d in TRUTH.items()})
+    loss, f1, _ = train.evaluate(rows, "embedding", "vec_id", fixed_heads(), WEIGHTS)
+    return rounded(f1.withColumn("loss", loss.scalar()), "macro_f1", "loss")
+
+
 @query("mean_macro_f1", f"WITH {PER_CLASS} SELECT round(avg(m), 6) AS mean_macro_f1 FROM (SELECT avg(f1) AS m FROM f WHERE support + predicted > 0 GROUP BY task)")
 def mean_macro_f1(spark, sf_dir):
     return rounded(metrics.mean_macro_f1(truth_and_prediction(spark, sf_dir), HEADS), "mean_macro_f1")
@@ -572,6 +634,36 @@ def train_heads_mllib(spark, sf_dir):
     return metrics.metrics_table(metrics.pairs(test, list(classes)), classes)
 
 
+def four_tasks(spark, sf_dir):
+    """Embeddings with the classes of four tasks, and a split."""
+    rows = read(spark, sf_dir, "embeddings").withColumns({f"{t}_id": (F.floor(F.col("label") / d) % 3).cast("long") for t, d in TRUTH.items()})
+    named = rows.withColumns({t: label_of(F.col(f"{t}_id"), cs) for t, cs in HEADS.items()})
+    return split.stratified_split(named, "vec_id", [f"{t}_id" for t in HEADS])
+
+
+@query("train_epochs")
+def train_epochs(spark, sf_dir):
+    """The epoch loop on four tasks; the metrics, on validation and test rows, of the checkpoint that was best and read back."""
+    rows = four_tasks(spark, sf_dir)
+    folder = f"{shared_folder(spark)}/tessera/heads-{uuid.uuid4().hex}"
+    settings = train.Settings(rate=0.05, updates=4, accumulation=1)
+    heads, _ = train.fit(rows.where("split = 'train'"), rows.where("split = 'val'"), "vec_id", "embedding", HEADS, folder, settings)
+    out = None
+    for name in ("val", "test"):
+        yp = metrics.pairs(model.score(rows.where(F.col("split") == name), "embedding", heads), list(HEADS))
+        part = metrics.metrics_table(yp, HEADS).withColumn("split", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def shared_folder(spark) -> str:
+    """The folder in spark.checkpoint.dir; on one machine a temporary one will do."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if at is None and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (at or tempfile.mkdtemp(prefix="tessera-")).rstrip("/")
+
+
 @query("score_documents")
 def score_documents(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("title"), F.col("text").alias("content"))

@@ -30,6 +30,15 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).csv(path, header=True, quote='"', escape='"')
 
 
+def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    df.write.mode(mode).parquet(path)
+
+
+def write_vocabulary(tokens: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """The tokens(token array) that occur, with how often, as Parquet (token, n)."""
+    write_table(tokens.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n")), path, mode)
+
+
 def write_splits(df: DataFrame, path: str, column: str = "split", mode: str = "overwrite") -> None:
     """One folder a split, so that a reader of one split prunes the others."""
     df.write.mode(mode).partitionBy(column).parquet(path)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.config import MAX_LENGTH, RAW_COLUMNS, REQUIRED, TASKS
 from tessera.functions import arrays, text
-from tessera.operators import clean, encode, metrics, model, predict, profile, ranking, split, tokens, validate
+from tessera.operators import clean, encode, metrics, model, predict, profile, ranking, split, tokens, train, validate
 from tessera.sources import tables
 from tessera.streaming import score as streaming
 
@@ -264,3 +264,93 @@ def test_streaming(spark, tmp_path):
     assert q.awaitTermination(120) and spark.read.parquet(out).count() == 2
     timed = spark.read.parquet(out).withColumn("ts", F.timestamp_seconds(F.lit(600)))
     assert [r.n for r in streaming.label_rates(timed, "t", "ts").collect()] == [2]
+
+
+# --- the epoch loop
+
+
+def blobs(spark, n=400):
+    rng = random.Random(31)
+    rows = []
+    for i in range(n):
+        a, b = rng.randrange(3), rng.randrange(2)
+        x = [rng.gauss(2.0 * (a == k), 0.5) for k in range(3)] + [rng.gauss(3.0 * b, 0.5)]
+        rows.append((i, x, "nyu"[a], "AB"[b], a, b))
+    return spark.createDataFrame(rows, "k long, x array<double>, one string, two string, one_id long, two_id long").repartition(3)
+
+
+BLOB_TASKS = {"one": ["n", "y", "u"], "two": ["A", "B"]}
+
+
+def test_gradient_matches_a_numeric_one(spark):
+    rows = blobs(spark, 60).cache()
+    w = np.random.default_rng(32).normal(size=3 * 5 + 2 * 5)
+    weights = {"one": [1.0, 2.0, 0.5], "two": [1.0, 3.0]}
+    args = (rows, "k", "x", BLOB_TASKS, weights)
+    g, loss = train.gradient(*args, w, 4, 0.0, 1)
+    want = model.losses(model.score(rows, "x", train.unflat(w, BLOB_TASKS, 4)), weights).first()
+    assert loss == pytest.approx(want.loss)
+    for i in (0, 4, 7, 16, 24):
+        up = w.copy()
+        up[i] += 1e-5
+        assert (train.gradient(*args, up, 4, 0.0, 1)[1] - loss) / 1e-5 == pytest.approx(g[i], abs=1e-3)
+    assert (train.flat(train.unflat(w, BLOB_TASKS, 4)) == w).all()
+    dropped = train.gradient(*args, w, 4, 0.5, 1)
+    assert dropped[1] == train.gradient(*args, w, 4, 0.5, 1)[1] != train.gradient(*args, w, 4, 0.5, 2)[1]
+
+
+def test_epochs_checkpoint_and_reload(spark, tmp_path):
+    rows = blobs(spark).cache()
+    settings = train.Settings(epochs=4, updates=6, accumulation=2, rate=0.2, patience=1)
+    heads, history = train.fit(rows.where("k % 5 > 0"), rows.where("k % 5 = 0"), "k", "x", BLOB_TASKS, str(tmp_path), settings)
+    assert 1 <= len(history) <= 4 and history[0]["train_loss"] > history[-1]["train_loss"]
+    best = max(h["mean_macro_f1"] for h in history)
+    record = tables.read_json(spark, f"{tmp_path}/best_metadata")
+    assert record["best_val_macro_f1"] == best > 0.9 and record["epoch"] == next(h["epoch"] for h in history if h["mean_macro_f1"] == best)
+    _, f1, yp = train.evaluate(rows.where("k % 5 = 0"), "x", "k", heads, {"one": [1, 1, 1], "two": [1, 1]})
+    assert np.mean([r.macro_f1 for r in f1.collect()]) == pytest.approx(best) and yp.count() == 160
+    stored = spark.read.parquet(f"{tmp_path}/history").orderBy("epoch").collect()
+    assert [r.epoch for r in stored] == [h["epoch"] for h in history] and stored[0].val_loss == history[0]["val_loss"]
+    assert tables.read_json(spark, f"{tmp_path}/production")["selection_metric"] == "mean_validation_macro_f1"
+    with pytest.raises(ValueError):
+        train.fit(rows.limit(0), rows, "k", "x", BLOB_TASKS, str(tmp_path / "none"))
+
+
+def test_optimizer_steps():
+    s = train.Settings(decay=0.1)
+    adam = train.AdamW(2, s)
+    w = adam.update(np.array([1.0, -2.0]), np.array([3.0, 0.0]), 0.01)
+    assert w == pytest.approx([1 * (1 - 0.001) - 0.01, -2 * (1 - 0.001)])
+    assert np.linalg.norm(train.clipped(np.array([3.0, 4.0]), 1.0)) == pytest.approx(1, abs=1e-6) and (train.clipped(np.array([0.3, 0.4]), 1.0) == [0.3, 0.4]).all()
+    assert [train.factor(k, 10, 2) for k in (0, 1, 2, 10)] == [0, 0.5, 1, 0]
+
+
+# --- percentiles, subwords, vocabulary
+
+
+def test_percentiles_against_numpy(spark):
+    rng = random.Random(33)
+    for values in ([5.0], [1.0, 1.0, 1.0], [rng.choice((rng.gauss(0, 1), 7.0)) for _ in range(999)], [None, 3.0, 1.0]):
+        got = profile.describe(spark.createDataFrame([(v,) for v in values], "v double").repartition(3), "v", (0.0, 0.1, 0.5, 0.99, 1.0)).first()
+        known = [v for v in values if v is not None]
+        assert [got.p0, got.p10, got.p50, got.p99, got.p100] == pytest.approx(np.percentile(known, [0, 10, 50, 99, 100]))
+    assert profile.describe(spark.createDataFrame([(None,)], "v double"), "v").first().p50 is None
+
+
+def test_subword_pairs_keep_titles_whole(spark):
+    pytest.importorskip("tokenizers")
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    rows = [(1, "A short title", "words and words " * 300), (2, None, "unbelievable"), (3, "long title " * 300, "gone")]
+    df = spark.createDataFrame(rows, "id long, title string, content string")
+    for r in tokens.encode_pair(df, "title", "content", 384, tokenize=tokens.subwords()).collect():
+        a, b = (t.encode(x or "", add_special_tokens=False).tokens for x in (r.title, r.content))
+        assert r.title_tokens == a and r.content_tokens == b[: max(0, 381 - len(a))] and r.over_budget == (len(a) > 381)
+
+
+def test_vocabulary_sink(spark, tmp_path):
+    df = spark.createDataFrame([(["a", "b", "a"],), ([],), (["b"],)], "tokens array<string>")
+    tables.write_vocabulary(df, f"{tmp_path}/vocabulary")
+    assert {r.token: r.n for r in spark.read.parquet(f"{tmp_path}/vocabulary").collect()} == {"a": 2, "b": 2}
