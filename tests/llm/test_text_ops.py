@@ -760,3 +760,17 @@ def test_queries_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
     json.dumps(sorted(names))
+
+
+@pytest.mark.parametrize("name", ["op4_embedding_near_dedup", "op9_substring_dedup"])
+def test_operators_against_sql(spark, sf001, name):
+    import duckdb
+
+    from tessera.llm import queries
+
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf001}/{t}.parquet')")
+    got, want = queries.QUERIES[name](spark, sf001), con.execute(queries.ORACLE_SQL[name])
+    columns = [d[0] for d in want.description]
+    assert Counter(map(tuple, got.select(*columns).collect())) == Counter(want.fetchall())
