@@ -8,6 +8,7 @@ import re
 import subprocess
 import sys
 import time
+import unicodedata
 import zlib
 from collections import Counter
 from functools import cache
@@ -442,6 +443,15 @@ def test_matches_against_brute_force(spark):
     assert kept.columns == docs.columns and not {r.doc_id for r in kept.collect()} & {d for d, _ in got if d is not None}
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.one_of(st.sampled_from("aé ß–“”。，漢字ไทยあア々\u00a0\u3000\U00020001-"), st.characters())))
+def test_words_split_sign_by_sign(text):
+    want = ""
+    for c in text.lower():
+        want += " " if ord(c) > 127 and unicodedata.category(c)[0] in "ZP" else f" {c} " if decontaminate.SINGLE.match(c) else c
+    assert decontaminate.split(text) == want
+
+
 def test_unspaced_short_and_truncated_copies(spark):
     rng = random.Random(18)
     han = lambda n: "".join(chr(rng.randint(0x4E00, 0x8000)) for _ in range(n))
