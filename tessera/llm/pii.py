@@ -2,19 +2,20 @@
 
 Kinds: email, phone (international, American, French, German and Spanish national forms), card or account number, IPv4, IPv6
 (full or compressed), MAC, SSN, IBAN, secret token, and names after a title or a label with all their other mentions in the same
-document. A
-surrogate is a keyed permutation of the entity within its own format (a Feistel network over the mixed radix of its signs, so
+document. A surrogate is a keyed permutation of the entity within its own format (a Feistel network over the mixed radix of its signs, so
 digits stay digits, hexadecimal stays hexadecimal, letters keep script, case and, in names, vowel or consonant); given names
-of the known lists go to names of the same gender and script. x -> P^-1(P(x) + 1) moves every value of a format with more than
+of the known lists go to names of the same gender and script, wherever in a name they stand. x -> P^-1(P(x) + 1) moves every value of a format with more than
 one, and two entities of a format never meet. Luhn remainders, IBAN check digits, phone country codes and top-level domains
 stay valid. The same entity, however written (case, separators), has the same surrogate in every document.
 
 Collision checks: the distinct entities of the corpus are gathered (pre-aggregated), and a surrogate that is a real entity of
-its kind, or another's surrogate, is drawn anew with the next attempt number. From attempt LEAVE on a listed given name leaves its list for
+its kind (listed given names and all other names are one), or another's surrogate, is drawn anew with the next attempt number. From attempt LEAVE on a listed given name leaves its list for
 made-up names of its gender's ending and script; from attempt WIDER on names and mail addresses grow by letters, more with every
 attempt, so that a format which the corpus fills is left too. Numbers can't grow: if one is not settled after ATTEMPTS, all entities
 of its format take the plain permutation, which keeps them distinct and moved though some surrogates are real there. The exceptions
-travel with the tasks while they are at most EXCEPTIONS; beyond that they are joined to their documents.
+travel with the tasks while they are at most EXCEPTIONS; beyond that they are joined to the texts.
+
+The key is an argument, or the session's setting spark.tessera.pii.key; with neither, a published key serves, with a warning.
 
 Defined cases: null text stays null with 0 entities; empty text stays empty; where spans overlap the first and longest wins;
 repeated rows give repeated results; all other columns pass through unchanged.
@@ -25,17 +26,18 @@ from __future__ import annotations
 import hashlib
 import ipaddress
 import re
+import warnings
 from collections.abc import Iterator
 from math import isqrt
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import fresh, materialize
 
-KEY = b"replace this key in production"
+KEY_SETTING, PUBLISHED_KEY = "spark.tessera.pii.key", b"replace this key in production"
 EXCEPTIONS = 100_000
 ATTEMPTS, LEAVE, WIDER = 32, 8, 16
 ROUNDS = 6
@@ -324,11 +326,10 @@ def spans(text: str) -> list[tuple[int, int, str]]:
         found += [(m.start(), m.end(), "email") for m in PATTERNS[0][1].finditer(text)]
     if any(t in text for t in TITLE_WORDS):
         for m in TITLE.finditer(text):
-            gender = next((g for g, ts in TITLES.items() if m[1] in ts), "")
-            found += name_parts(m.start(2), m[2], gender)
+            found += name_parts(m.start(2), m[2])
     if ":" in text:
         for m in LABEL.finditer(text):
-            found += name_parts(m.start(1), m[1], "")
+            found += name_parts(m.start(1), m[1])
     found += mentions(text, [x for x in found if x[2].startswith("name")])
     found.sort(key=lambda x: (x[0], -x[1]))
     out, end = [], -1
@@ -367,15 +368,13 @@ def mentions(text: str, names: list[tuple[int, int, str]]) -> list[tuple[int, in
     return out
 
 
-def name_parts(at: int, name: str, gender: str) -> list[tuple[int, int, str]]:
-    parts = [(m.start() + at, m.end() + at, m[0]) for m in re.finditer(r"[^\s\u00a0]+", name)]
-    out = []
-    for i, (s, e, word) in enumerate(parts):
-        kind = "name"
-        if i < len(parts) - 1:  # a given name: by list, else by title
-            kind = next((f"name.{g}" for g in "mf" if any(lower(word) in x for x in GIVEN[g])), f"name.{gender}" if gender else "name")
-        out.append((s, e, kind))
-    return out
+def name_parts(at: int, name: str) -> list[tuple[int, int, str]]:
+    """The words of a name. The kind follows from the word alone, so that a person has one surrogate whatever the title."""
+    return [(m.start() + at, m.end() + at, kind_of_name(lower(m[0]))) for m in re.finditer(r"[^\s\u00a0]+", name)]
+
+
+def kind_of_name(word: str) -> str:
+    return next((f"name.{g}" for g in "mf" if any(word in names for names in GIVEN[g])), "name")
 
 
 def replace(text: str, surrogates: Surrogates, exceptions: dict[tuple[str, str], int]) -> tuple[str, int]:
@@ -398,10 +397,18 @@ def entities(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "kind string, norm string").distinct()
 
 
-def collisions(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def session_key(spark: SparkSession) -> bytes:
+    set_key = spark.conf.get(KEY_SETTING, None)
+    if not set_key:
+        warnings.warn(f"{KEY_SETTING} is not set: surrogates are drawn by a published key", stacklevel=2)
+    return set_key.encode() if set_key else PUBLISHED_KEY
+
+
+def collisions(docs: DataFrame, key: bytes) -> DataFrame:
     """Rows (kind, norm, attempt) of the entities whose first surrogate doesn't do, with the attempt that does."""
     all_ = materialize(entities(docs), "entities")
-    real = all_.select("kind", F.col("norm").alias("surrogate"), F.lit(True).alias("real"))
+    among = F.substring_index("kind", ".", 1).alias("among")  # the kinds of names share their signs, so they share their checks
+    real = all_.select(among, F.col("norm").alias("surrogate"), F.lit(True).alias("real"))
 
     def drawn(rows: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -417,8 +424,9 @@ def collisions(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     attempts = 0
     while True:
         # of equal surrogates the one with the fewest attempts stays: a settled entity never moves again
-        first = now.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "norm")).alias("first"))
-        judged = now.join(first, ["kind", "surrogate"]).join(real, ["kind", "surrogate"], "left")
+        now = now.select("*", among)
+        first = now.groupBy("among", "surrogate").agg(F.min(F.struct("attempt", "norm")).alias("first"))
+        judged = now.join(first, ["among", "surrogate"]).join(real, ["among", "surrogate"], "left")
         # an entity whose format has no other value stays as it is
         alone = (F.col("surrogate") == F.col("norm")) & (F.col("attempt") > 0)
         bad = (F.coalesce("real", F.lit(False)) | (F.col("first.norm") != F.col("norm"))) & ~alone
@@ -440,8 +448,9 @@ def collisions(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     return judged.where("attempt > 0").join(full, ["kind", "form"], "left_anti").select("kind", "norm", "attempt")
 
 
-def surrogate_pii(docs: DataFrame, key: bytes = KEY, count_column: str | None = None) -> DataFrame:
+def surrogate_pii(docs: DataFrame, key: bytes | None = None, count_column: str | None = None) -> DataFrame:
     """docs with entities in text replaced; count_column, if given, is added with the number of replaced spans."""
+    key = session_key(docs.sparkSession) if key is None else key
     odd = collisions(docs, key)
     few = odd.limit(EXCEPTIONS + 1).collect()
     travel = {(r.kind, r.norm): r.attempt for r in few} if len(few) <= EXCEPTIONS else None
@@ -472,16 +481,15 @@ def surrogate_pii(docs: DataFrame, key: bytes = KEY, count_column: str | None =
 
 
 def with_own_exceptions(docs: DataFrame, odd: DataFrame, name: str) -> DataFrame:
-    """docs and, as name, the exceptions among each document's own entities."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    """docs and, as name, the exceptions among the entities of each text. Equal texts are one, whatever their ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = [(i, k, n) for i, t in enumerate(b["text"].to_pylist()) if t for k, n in sorted({(k, normal(k, t[s:e])) for s, e, k in spans(t)})]
             at = pa.array([r[0] for r in rows], pa.int64())
-            yield pa.RecordBatch.from_arrays([b["doc_id"].take(at), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())], ["__doc", "kind", "norm"])
+            yield pa.RecordBatch.from_arrays([b["of"].take(at), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())], ["of", "kind", "norm"])
 
-    held = docs.select("doc_id", "text").mapInArrow(run, f"__doc {kind}, kind string, norm string").join(odd, ["kind", "norm"])
-    doc = fresh(docs, "doc")
-    held = held.groupBy(F.col("__doc").alias(doc)).agg(F.collect_set(F.struct("kind", "norm", "attempt")).alias(name))
-    return docs.join(held, docs["doc_id"].eqNullSafe(F.col(doc)), "left").drop(doc)
+    held = docs.select(F.sha2("text", 256).alias("of"), "text").mapInArrow(run, "of string, kind string, norm string").distinct()
+    of = fresh(docs, "of")
+    held = held.join(odd, ["kind", "norm"]).groupBy(F.col("of").alias(of)).agg(F.collect_list(F.struct("kind", "norm", "attempt")).alias(name))
+    return docs.withColumn(of, F.sha2("text", 256)).join(held, of, "left").drop(of)

@@ -153,6 +153,28 @@ def test_names_keep_gender_script_and_coreference():
     assert all("а" <= c.lower() <= "я" or c == "ё" for c in petrova)
 
 
+def test_a_person_has_one_surrogate_whatever_the_title(spark):
+    texts = ["Mr. Klaus Berg met Dr. Klaus Berg", "Mr. John Smith, then Mr. John", "name: Klaus Berg and Herr Klaus", "Dr. Berg saw Dr. John"]
+    new = [r.text for r in pii.surrogate_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), b"key").orderBy("doc_id").collect()]
+    a, b = re.fullmatch(r"Mr\. (\w+ \w+) met Dr\. (\w+ \w+)", new[0]).groups()
+    klaus, berg = a.split()
+    john = re.fullmatch(r"Mr\. (\w+) \w+, then Mr\. (\w+)", new[1]).groups()
+    assert a == b and klaus != "Klaus" and berg != "Berg" and john[0] == john[1] and john[0].lower() in pii.GIVEN["m"][0]
+    assert new[2:] == [f"name: {klaus} {berg} and Herr {klaus}", f"Dr. {berg} saw Dr. {john[0]}"]
+
+
+def test_the_key_is_a_setting(spark):
+    df = spark.createDataFrame([(1, "to ann@b.org")], "doc_id long, text string")
+    try:
+        spark.conf.set(pii.KEY_SETTING, "one")
+        one = pii.surrogate_pii(df).first().text
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+    with pytest.warns(UserWarning, match="published key"):
+        published = pii.surrogate_pii(df).first().text
+    assert one == pii.surrogate_pii(df, b"one").first().text != published
+
+
 def test_names_are_carried_to_their_other_mentions():
     s = pii.Surrogates(b"k")
     new, n = pii.replace("Mr. John Smith came. SMITH said that smith and Smithson saw Smith's dog, John's too. Dr J Doe: J. Doe, plan J.", s, {})
