@@ -11,6 +11,9 @@ from ..config import SEED, SPLITS
 from .profile import label_counts
 from .ranking import hash_rank
 
+#: Rows of the quota table up to which it is broadcast; a larger one is joined by its labels.
+QUOTA_ROWS = 100_000
+
 
 def quotas(sets: dict[tuple, int], splits: Sequence[tuple[str, float]]) -> dict[tuple, list[int]]:
     """How many rows of each label set go to each split: the rounded-down share, then the rest, from the rarest set on, to the
@@ -54,7 +57,9 @@ def stratified_split(df: DataFrame, key: str, tasks: Sequence[str], splits: Sequ
         for (name, _), k in zip(splits, q, strict=True):
             rows.append((*s, name, low, low + k))
             low += k
-    plan = F.broadcast(df.sparkSession.createDataFrame(rows, f"{schema}, split string, low long, high long"))
+    plan = df.sparkSession.createDataFrame(rows, f"{schema}, split string, low long, high long")
+    if len(rows) <= QUOTA_ROWS:
+        plan = F.broadcast(plan)
     ranked = hash_rank(df, tasks, key, seed, "__rank")
     on = (F.col("__rank") >= F.col("low")) & (F.col("__rank") < F.col("high"))
     for t in tasks:

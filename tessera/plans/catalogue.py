@@ -379,16 +379,16 @@ def split_distribution(spark, sf_dir):
 
 # --- tokens
 
-PAIR = r"""pair AS (SELECT conv_id, max(text) FILTER (turn = 0) AS title, max(text) FILTER (turn = 1) AS content FROM conversations WHERE turn < 2 GROUP BY conv_id),
+PAIR = r"""pair AS (SELECT conv_id, min({'turn': turn, 'text': text}).text AS title, max({'turn': turn, 'text': text}).text AS content FROM conversations GROUP BY conv_id),
     tok AS (SELECT conv_id, CASE WHEN a = '' THEN 0 ELSE len(string_split(a, ' ')) END AS nt, CASE WHEN b = '' THEN [] ELSE string_split(b, ' ') END AS tokens
     FROM (SELECT conv_id, trim(regexp_replace(coalesce(title, ''), '\s+', ' ', 'g')) AS a, trim(regexp_replace(coalesce(content, ''), '\s+', ' ', 'g')) AS b FROM pair)),
     enc AS (SELECT conv_id, nt, tokens[1:greatest(LIMIT - 3 - nt, 0)] AS kept FROM tok)""".replace("LIMIT", "64")
 
 
 def pair_tokens(spark, sf_dir):
-    turns = read(spark, sf_dir, "conversations").where("turn < 2")
-    at = lambda t: F.max(F.when(F.col("turn") == t, F.col("text")))
-    return tokens.encode_pair(turns.groupBy("conv_id").agg(at(0).alias("title"), at(1).alias("content")), "title", "content", 64)
+    turns, at = read(spark, sf_dir, "conversations"), F.struct("turn", "text")
+    ends = turns.groupBy("conv_id").agg(F.min(at)["text"].alias("title"), F.max(at)["text"].alias("content"))
+    return tokens.encode_pair(ends, "title", "content", 64)
 
 
 @query("pair_truncate", f"WITH {PAIR} SELECT conv_id, CAST(nt AS INT) AS n_title, CAST(len(kept) AS INT) AS n_content, CAST(nt + len(kept) + 3 AS INT) AS n_tokens, nt > 61 AS over_budget, array_to_string(kept, ' ') AS content FROM enc")
