@@ -52,7 +52,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("best_fit_packing", pack_sequences),
 ]
 #: XXH64 fingerprints, trained models and tokenizers are beyond SQL. tests/llm holds the operators against brute force, and run()
-#: only against its stages: no independent version of the kept rows and packed pieces exists.
+#: against plain loops on clear-cut documents; the language model is the one part that those loops share.
 ORACLE_SQL = None
 
 
