@@ -60,7 +60,7 @@ def stratified_split(df: DataFrame, key: str, tasks: Sequence[str], splits: Sequ
     plan = df.sparkSession.createDataFrame(rows, f"{schema}, split string, low long, high long")
     if len(rows) <= QUOTA_ROWS:
         plan = F.broadcast(plan)
-    ranked = hash_rank(df, tasks, key, seed, "__rank")
+    ranked = hash_rank(df, tasks, key, seed, "__rank", n=sum(counts.values()))
     on = (F.col("__rank") >= F.col("low")) & (F.col("__rank") < F.col("high"))
     for t in tasks:
         on = on & F.col(t).eqNullSafe(F.col(f"q_{t}"))

@@ -154,6 +154,19 @@ def test_ranks(spark):
     assert all(sorted(x) == list(range(len(x))) for x in by.values()) and len(by) == 2
 
 
+def test_ranks_in_many_buckets(spark):
+    """Buckets follow from the number of rows; keys crowd between two quantiles, lie below zero, beyond 2 ** 53 and are null."""
+    keys = [None, -(2**60), 2**60, 2**60 + 1] + [-(i**3) for i in range(1, 2000)] + list(range(5000)) + [10**9 + i for i in range(3)]
+    df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(7)
+    got = {r.k: r.rank for r in ranking.key_rank(df, "k", rows=4).collect()}
+    assert got == {k: i for i, k in enumerate([None, *sorted(keys[1:])])}
+    assert df.select(ranking.range_bucket(df, "k", 4)).distinct().count() > 3 * ranking.RANGES
+    rows = ranking.hash_rank(df, [], "k", 1, rows=4).withColumn("h", F.xxhash64("k", F.lit(1))).orderBy("h").collect()
+    assert [r["rank"] for r in rows] == list(range(len(keys)))
+    sums = ranking.numbered_sums(df.where("k is not null").withColumn("n", F.lit(2)), "k", "n", "end", rows=4).orderBy("k").collect()
+    assert [r.end for r in sums] == list(range(2, 2 * len(keys), 2))
+
+
 def test_tokens(spark):
     df = spark.createDataFrame([(1, "a b", "c " * 500), (2, "t " * 400, "c"), (3, None, "x y"), (4, "", None)], "k long, title string, content string")
     out = {r.k: r for r in tokens.encode_pair(df, "title", "content").collect()}
