@@ -4,10 +4,11 @@ Windows of WINDOW words that two documents share must meet in one shard without
 window's anchor is the least hash among its runs of GRAM words, so equal windows have equal anchors, and the windows of a
 document fall into short segments of one anchor each. Anchors that only one document has can't repeat and go no further. The
 segments of the others are dealt by anchor; equal segments are merged first and keep their smallest document. In a shard an
-FM-index over all its segments (wavelet matrix of the Burrows-Wheeler transform, bits packed with block counts) is searched
-backward with every segment: each step prepends a word and, once WINDOW words match, drops the last one by widening the interval to
-the rows that share WINDOW words. An interval gives the smallest document that has the window. Anchors of over HOT documents are
-split further by the window's own hash, so that no shard holds an unbounded group.
+FM-index over all its segments (wavelet matrix of the Burrows-Wheeler transform, bits packed with block counts; neither the suffix
+array nor the words are kept) is searched backward with every segment: each step prepends a word and, once WINDOW words match, drops
+the last one by widening the interval to the rows that share WINDOW words. A bit marks the first row of each such run, and only runs
+know the smallest document that has the window. Anchors of over HOT documents are split further by the window's own hash, so that no
+shard holds an unbounded group.
 
 Defined cases: null and empty text have no words; a null doc_id is neither smaller nor larger than any other and loses nothing;
 rows that share a doc_id don't count against each other; a window that only repeats within one document stays.
@@ -34,20 +35,32 @@ HOT = 2048
 SEGMENTS = 16384
 
 
+class Bits:
+    """A packed bit sequence and a count of ones for each 64 of them."""
+
+    def __init__(self, bit: np.ndarray):
+        padded = np.zeros((len(bit) // 64 + 1) * 64, dtype=bool)
+        padded[: len(bit)] = bit
+        self.words = np.packbits(padded, bitorder="little").view("<u8")
+        self.counts = np.concatenate(([0], np.cumsum(np.bitwise_count(self.words), dtype=np.int32)[:-1])).astype(np.int32)
+
+    def rank(self, at: np.ndarray) -> np.ndarray:
+        """Ones before position at."""
+        block = at >> 6
+        below = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
+        return self.counts[block] + np.bitwise_count(self.words[block] & below)
+
+
 class WaveletMatrix:
-    """Rank of symbols in a sequence, a bit plane a level: packed bits and a count for each 64 of them."""
+    """Rank of symbols in a sequence, a bit plane a level."""
 
     def __init__(self, symbols: np.ndarray, sigma: int):
         self.levels = max(1, int(sigma - 1).bit_length())
-        self.words, self.counts, self.zeros = [], [], []
+        self.planes, self.zeros = [], []
         s = symbols
         for level in reversed(range(self.levels)):
             bit = (s >> level & 1).astype(bool)
-            padded = np.zeros((len(s) // 64 + 1) * 64, dtype=bool)
-            padded[: len(s)] = bit
-            words = np.packbits(padded, bitorder="little").view("<u8")
-            self.words.append(words)
-            self.counts.append(np.concatenate(([0], np.cumsum(np.bitwise_count(words), dtype=np.int32)[:-1])).astype(np.int32))
+            self.planes.append(Bits(bit))
             self.zeros.append(len(s) - int(bit.sum()))
             s = np.concatenate((s[~bit], s[bit]))
         self.first = self.down(np.arange(sigma), np.zeros(sigma, dtype=np.int64))
@@ -55,9 +68,7 @@ class WaveletMatrix:
     def down(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Where position at of the sequence lands among the occurrences of symbol, from the start of the last level."""
         for k, level in enumerate(reversed(range(self.levels))):
-            block = at >> 6
-            below = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
-            ones = self.counts[k][block] + np.bitwise_count(self.words[k][block] & below)
+            ones = self.planes[k].rank(at)
             at = np.where(symbol >> level & 1, self.zeros[k] + ones, at - ones)
         return at
 
@@ -76,9 +87,10 @@ def ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class FMIndex:
-    """Index of word sequences, each with an owner. Sorted by the first 16 words, which patterns of at most 16 don't exceed."""
+    """Index of word sequences, each with an owner. Sorted by the first 16 words, which patterns of at most 16 don't exceed.
+    foreign: queries may hold what no sequence does."""
 
-    def __init__(self, sequences: list[np.ndarray], owners: np.ndarray, sigma: int, window: int = WINDOW):
+    def __init__(self, sequences: list[np.ndarray], owners: np.ndarray, sigma: int, window: int = WINDOW, foreign: bool = True):
         if window > 15:
             raise ValueError("windows of at most 15 words")
         text = np.concatenate([x for s in sequences for x in (s, [0])])  # words count from 1, 0 ends a sequence
@@ -90,16 +102,27 @@ class FMIndex:
         for d in (1, 2, 4):
             r = by[2 * d] = ranked(r * (n + 2) + shifted(r, d))[0] + 1
         _, sa = ranked(r * (n + 2) + shifted(r, 8))
-        self.text, self.sa, self.common, self.depths = text, sa, None, {}  # for foreign queries only
         self.bwt = WaveletMatrix(text[sa - 1], sigma)
         self.before = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=sigma))))[:sigma]
         # rows that share the first `window` words: the widened interval, and its smallest owner
         a = r[sa]
         b = shifted(r, window - 8)[sa] if window >= 8 else ranked(text)[0][sa]
         starts = run_starts(a, b)
-        size = np.diff(np.append(starts, n))
-        self.low, self.high = np.repeat(starts, size), np.repeat(starts + size, size)
-        self.least = np.repeat(np.minimum.reduceat(owner[sa], starts), size)
+        self.n, self.runs, self.bounds = n, Bits(np.bincount(starts, minlength=n)), np.append(starts, n).astype(np.int32)
+        self.least = np.minimum.reduceat(owner[sa], starts)
+        self.depths = {}
+        if foreign:
+            # words that each row shares with the row before, up to the window: a pattern that fails drops words by them
+            self.common, same = np.zeros(n, dtype=np.uint8), np.arange(n) > 0
+            for d in range(window):
+                x = text[np.minimum(sa + d, n - 1)]
+                x[sa + d >= n] = -1
+                same[1:] &= x[1:] == x[:-1]
+                self.common += same
+
+    def run(self, row: np.ndarray) -> np.ndarray:
+        """Number of the run of rows that share the first `window` words with each row."""
+        return self.runs.rank(row + 1) - 1
 
     def extend(self, word: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Backward step: the intervals of word + pattern."""
@@ -108,20 +131,12 @@ class FMIndex:
     def widened(self, row: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         """The intervals of the rows that share their first depth words with the given rows."""
         if depth not in self.depths:
-            if self.common is None:
-                # words that each row shares with the row before, up to the window
-                n, same = len(self.sa), np.ones(len(self.sa), dtype=bool)
-                self.common = np.zeros(n, dtype=np.int64)
-                for d in range(self.window):
-                    x = np.where(self.sa + d < n, self.text[np.minimum(self.sa + d, n - 1)], -1)
-                    same &= np.concatenate(([False], x[1:] == x[:-1]))
-                    self.common += same
-            starts = np.flatnonzero(self.common < depth) if depth else np.zeros(1, dtype=np.int64)
-            starts = np.union1d(starts, [0])
-            size = np.diff(np.append(starts, len(self.sa)))
-            self.depths[depth] = np.repeat(starts, size), np.repeat(starts + size, size)
-        low, high = self.depths[depth]
-        return low[row], high[row]
+            first = self.common < depth
+            first[0] = True
+            self.depths[depth] = Bits(first), np.append(np.flatnonzero(first), self.n).astype(np.int32)
+        marks, bounds = self.depths[depth]
+        run = marks.rank(row + 1) - 1
+        return bounds[run], bounds[run + 1]
 
     def statistics(self, queries: list[np.ndarray], none: int) -> list[np.ndarray]:
         """For each query and each of its windows the smallest owner of a sequence that holds the window; none if none does.
@@ -133,7 +148,7 @@ class FMIndex:
         flat = np.concatenate([queries[i] for i in order])
         end = np.cumsum(size[order])
         sorted_size = size[order]
-        low, high = np.zeros(len(queries), dtype=np.int64), np.full(len(queries), len(self.low))
+        low, high = np.zeros(len(queries), dtype=np.int64), np.full(len(queries), self.n)
         matched = np.zeros(len(queries), dtype=np.int64)
         out = np.full(len(flat), none, dtype=np.int64)
         for step in range(1, int(sorted_size[0]) + 1 if len(queries) else 0):
@@ -147,7 +162,7 @@ class FMIndex:
                 # no sequence holds word + pattern: drop the pattern's last word and try again
                 matched[lost] -= 1
                 gone = lost[matched[lost] == 0]
-                low[gone], high[gone] = 0, len(self.low)
+                low[gone], high[gone] = 0, self.n
                 lost = lost[matched[lost] > 0]
                 for depth in np.unique(matched[lost]) - 1:
                     some = lost[matched[lost] == depth + 1]
@@ -156,10 +171,10 @@ class FMIndex:
                 lost = lost[low[lost] >= high[lost]]
             full = np.flatnonzero(matched[:m] >= self.window)
             if len(full):
-                row = low[full]
-                low[full], high[full] = self.low[row], self.high[row]
+                run = self.run(low[full])
+                low[full], high[full] = self.bounds[run], self.bounds[run + 1]
                 matched[full] = self.window
-                out[at[full]] = self.least[row]
+                out[at[full]] = self.least[run]
         begin = end - sorted_size
         result: list[np.ndarray] = [out[:0]] * len(queries)
         for k, i in enumerate(order.tolist()):
@@ -282,7 +297,7 @@ def least_owners(segments: Sequence[bytes], owners: np.ndarray) -> list[np.ndarr
         seen, number = np.unique(np.concatenate([flat[a:b] for a, b in zip(start, end, strict=True)]), return_inverse=True)
         pieces = np.split(number + 1, np.cumsum(end - start)[:-1])
         of = np.searchsorted(begin, start, side="right") - 1
-        found = FMIndex(pieces, owners[of], len(seen) + 1).statistics(pieces, np.iinfo(np.int64).max)
+        found = FMIndex(pieces, owners[of], len(seen) + 1, foreign=False).statistics(pieces, np.iinfo(np.int64).max)
         to = at[of] + start - begin[of]
         spread = np.repeat(to - np.cumsum([0, *map(len, found[:-1])]), [len(f) for f in found]) + np.arange(sum(map(len, found)))
         out[spread] = np.concatenate(found)
