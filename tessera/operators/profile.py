@@ -86,7 +86,8 @@ def describe(df: DataFrame, column: str, percentiles: Sequence[float] = (0.25, 0
     x = F.col(column).cast("double")
     out = df.agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
     names = [f"p{p * 100:g}".replace(".", "_") for p in percentiles]
-    return out.crossJoin(exact_percentiles(df, x, percentiles)).select("count", "mean", "std", "min", *(F.col("at")[i].alias(n) for i, n in enumerate(names)), "max")  # one row each
+    out = out.withColumn("at", exact_percentiles(df, x, percentiles).scalar())
+    return out.select("count", "mean", "std", "min", *(F.col("at")[i].alias(n) for i, n in enumerate(names)), "max")
 
 
 def exact_percentiles(df: DataFrame, x: Column, percentiles: Sequence[float]) -> DataFrame:
