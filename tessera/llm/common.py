@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: Removes a query's shuffle files at its end.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Bytes of rows that travel to Python at once, about.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,19 +35,23 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str | None = None, batch_bytes: int | None = None) -> DataFrame:
     """Cut the lineage: write df as Parquet in the shared folder and read it back.
 
     Unlike a local checkpoint the files outlive any executor. They stay until discard() or the owner of the folder removes them.
-    The shuffle files of the plan that is cut off here aren't needed again and go when it has run.
+    The shuffle files of the plan that is cut off here aren't needed again and go when it has run. batch_bytes: of rows that
+    travel to Python at once, for plans whose rows are large.
     """
     conf, path = df.sparkSession.conf, f"{shared_dir(df.sparkSession)}/tessera/{name}-{uuid.uuid4().hex}"
-    before = conf.get(CLEANUP, None)
-    conf.set(CLEANUP, "true")
+    settings = {CLEANUP: "true"} | ({} if batch_bytes is None else {BATCH_BYTES: str(batch_bytes)})
+    before = {k: conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        conf.set(k, v)
     try:
         df.write.parquet(path, compression=compression)
     finally:
-        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.written = path
     return out

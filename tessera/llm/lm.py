@@ -10,7 +10,9 @@ task holds stays within memory: 2^21 weights at 30 GB, 2^25 at 100 TB.
 
 The weights are trained by distributed gradient updates: in every round each task runs minibatch Adagrad over its training
 documents from the common weights and returns its change; a weight's changes, weighted by tokens, are averaged over the tasks that
-moved it (iterative parameter mixing), in a tree of groups of tasks.
+moved it (iterative parameter mixing), in a tree of groups of tasks. A training task holds the weights once, Adagrad's sums and
+one minibatch; the common weights travel from the second round on (the first begins at zero), changes leave a slice at a time, and
+blocks come a few at a time.
 
 Texts are read once: every task turns its documents into blocks of about BLOCK characters (the block's distinct words as 64-bit
 hashes, each token as a place among them), which are written and then serve counting, training and scoring. Counts are exact over
@@ -50,6 +52,8 @@ BLOCK = 4_000_000
 LONG = 1_000_000
 #: Weights in a row of a change.
 SLICE = 1 << 15
+#: Bytes of blocks, texts or changes that travel to Python at once, about; a larger row travels alone.
+AT_ONCE_BYTES = 1 << 22
 END = np.uint64(0x5851F42D4C957F2D)
 M1, M2 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
 
@@ -151,23 +155,34 @@ def shares(weights: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
     return z
 
 
+def parted(flat: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
+    """Class weights and node weights, views of all weights on end."""
+    classes = CLASSES << shape.bucket_bits
+    return flat[:classes].reshape(-1, CLASSES), flat[classes:]
+
+
 class Trainer:
     """Minibatch Adagrad from given weights."""
 
     def __init__(self, weights: np.ndarray, bias: np.ndarray, nodes: np.ndarray, tree: Tree, shape: Shape):
-        self.weights, self.bias, self.nodes, self.tree, self.shape = weights.copy(), bias.copy(), nodes.copy(), tree, shape
+        self.flat = np.empty(weights.size + nodes.size, dtype=np.float32)
+        self.weights, self.nodes = parted(self.flat, shape)
+        self.weights[:], self.nodes[:] = weights, nodes
+        self.bias, self.tree, self.shape = bias.copy(), tree, shape
         self.seen, self.seen_nodes = np.ones(len(weights), dtype=np.float32), np.ones(len(nodes), dtype=np.float32)
         self.sums = np.zeros(len(nodes), dtype=np.float32)
         self.batch = max(BATCH, len(weights), len(nodes) >> 5)
-        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.f = np.empty((FEATURES, self.batch + AT_ONCE), dtype=np.intp)
+        self.g = np.empty((CLASSES, self.batch + AT_ONCE), dtype=np.float32)
         self.n = self.waiting = 0
 
     def add(self, x: np.ndarray, c: np.ndarray, leaf: np.ndarray) -> None:
-        """Gradients of some tokens; an update once a minibatch is full."""
+        """Gradients of some tokens, AT_ONCE at most; an update once a minibatch is full."""
         f = (x >> np.uint32(32 - self.shape.bucket_bits)).astype(np.intp)
         g = shares(self.weights, self.bias, f)
         g[np.arange(len(c)), c] -= 1
-        self.held.append((f, g))
+        to = slice(self.waiting, self.waiting + len(c))
+        self.f[:, to], self.g[:, to] = f, g.T
         own = c >= TOP
         if self.shape.levels and own.any():
             x, leaf = x[:, own], leaf[own]
@@ -184,21 +199,22 @@ class Trainer:
     def update(self) -> None:
         if not self.waiting:
             return
-        f = np.concatenate([f for f, _ in self.held], axis=1)
-        g = np.concatenate([g for _, g in self.held])
-        by_class = np.ascontiguousarray(g.T, dtype=np.float64)
+        f, g = self.f[:, : self.waiting], self.g[:, : self.waiting]
         total = np.empty((CLASSES, len(self.weights)), dtype=np.float32)
         for k in range(CLASSES):
-            total[k] = sum(np.bincount(f[j], weights=by_class[k], minlength=len(self.weights)) for j in range(FEATURES))
-        total = np.ascontiguousarray(total.T)
-        self.seen += np.einsum("ij,ij->i", total, total) / CLASSES
-        total *= (RATE / np.sqrt(self.seen))[:, None]
-        self.weights -= total
-        self.bias -= 0.02 * g.mean(axis=0)
-        self.seen_nodes += self.sums * self.sums
-        self.nodes -= RATE * self.sums / np.sqrt(self.seen_nodes)
+            own = g[k].astype(np.float64)
+            total[k] = sum(np.bincount(f[j], weights=own, minlength=len(self.weights)) for j in range(FEATURES))
+        self.seen += np.einsum("ij,ij->j", total, total) / CLASSES
+        total *= RATE / np.sqrt(self.seen)
+        self.weights -= total.T
+        self.bias -= 0.02 * g.mean(axis=1)
+        for at in range(0, len(self.nodes), SLICE):
+            some = slice(at, at + SLICE)
+            sums = self.sums[some]
+            self.seen_nodes[some] += sums * sums
+            self.nodes[some] -= RATE * sums / np.sqrt(self.seen_nodes[some])
         self.sums[:] = 0
-        self.held, self.waiting = [], 0
+        self.waiting = 0
 
 
 class Block:
@@ -303,7 +319,7 @@ def gather(blocks: DataFrame) -> tuple[DataFrame, int, int, np.ndarray, np.ndarr
     met = each.select("*", F.sum("n").over(by_word).alias("total"), F.count("*").over(by_word).alias("blocks"), F.min("block").over(by_word).alias("least"))
     first = F.col("block") == F.col("least")  # a word's hash is kept once
     met = met.select(F.when(first, F.col("h")).alias("h"), F.when(first, F.col("kind")).alias("kind"), "block", "place", "total", (F.col("blocks") > 1).alias("many"), first.alias("first"))
-    met = materialize(met, "totals", compression="zstd")
+    met = materialize(met, "totals", compression="zstd", batch_bytes=AT_ONCE_BYTES)
     shape = Shape(blocks.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0)
     known = met.where("first and total > 0")
     code = F.shiftrightunsigned("h", 64 - shape.levels) if shape.levels else F.lit(0).cast("long")
@@ -323,10 +339,11 @@ def gather(blocks: DataFrame) -> tuple[DataFrame, int, int, np.ndarray, np.ndarr
 
 def train(blocks: DataFrame, top: np.ndarray, mass: np.ndarray, leaf_mass: np.ndarray, shape: Shape, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Class weights, class bias and node weights after some rounds over every training document."""
-    buckets, size = 1 << shape.bucket_bits, 1 << shape.weight_bits
-    weights, nodes = np.zeros((buckets, CLASSES), dtype=np.float32), np.zeros(size, dtype=np.float32)
+    size = (CLASSES << shape.bucket_bits) + (1 << shape.weight_bits)
+    flat = None  # zeros
     bias = np.log(np.maximum(mass, 1e-3) / max(mass.sum(), 1)).astype(np.float32)
-    slices_ = max(1, (buckets * CLASSES + size) // SLICE)
+    slices_ = max(1, size // SLICE)
+    per = size // slices_
     kind = "slice int, part int, n long, total binary, weight binary"
     blocks = blocks.select("sizes", "held_out", "vocab", "kind", "at")
 
@@ -343,7 +360,9 @@ def train(blocks: DataFrame, top: np.ndarray, mass: np.ndarray, leaf_mass: np.nd
 
     for _ in range(rounds):
 
-        def run(batches: Iterator[pa.RecordBatch], w0: np.ndarray = weights, b0: np.ndarray = bias, v0: np.ndarray = nodes) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], start: np.ndarray | None = flat, b0: np.ndarray = bias) -> Iterator[pa.RecordBatch]:
+            start = np.broadcast_to(np.float32(0), size) if start is None else start
+            w0, v0 = parted(start, shape)
             t = Trainer(w0, b0, v0, Tree(leaf_mass, shape), shape)
             for batch in batches:
                 for i in range(len(batch)):
@@ -355,23 +374,23 @@ def train(blocks: DataFrame, top: np.ndarray, mass: np.ndarray, leaf_mass: np.nd
                             at = block.at[some][own]
                             t.add(x[:, own], block.kind[at], block.leaf[at])
             t.update()
-            if t.n:
-                change = np.concatenate(((t.weights - w0).ravel(), t.nodes - v0)).reshape(slices_, -1)
-                change = np.concatenate((change, np.tile(t.bias - b0, (slices_, 1))), axis=1).astype("<f4")
-                part = TaskContext.get().partitionId()
-                columns = [np.arange(slices_, dtype=np.int32), np.full(slices_, part, dtype=np.int32), np.full(slices_, t.n)]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array([x.tobytes() for x in change], pa.binary()), pa.array([b""] * slices_, pa.binary())], ["slice", "part", "n", "total", "weight"])
+            n, new, shift, part = t.n, t.flat, t.bias - b0, TaskContext.get().partitionId()
+            del t
+            for k in range(slices_ if n else 0):
+                own = slice(k * per, (k + 1) * per)
+                change = np.concatenate((new[own] - start[own], shift)).astype("<f4").tobytes()
+                columns = [pa.array([k], pa.int32()), pa.array([part], pa.int32()), pa.array([n]), pa.array([change], pa.binary()), pa.array([b""], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["slice", "part", "n", "total", "weight"])
 
         rows = added_up(blocks.mapInArrow(run, kind), blocks.rdd.getNumPartitions(), add_up, kind)
-        rows = materialize(rows.select("slice", "total", "weight"), "changes").collect()
-        weights, bias, nodes = weights.copy(), bias.copy(), nodes.copy()
-        flat, per = np.concatenate((weights.ravel(), nodes)), (buckets * CLASSES + size) // slices_
+        rows = materialize(rows.select("slice", "total", "weight"), "changes", batch_bytes=AT_ONCE_BYTES).collect()
+        flat, bias = np.zeros(size, dtype=np.float32) if flat is None else flat.copy(), bias.copy()
         for r in rows:
             x = np.frombuffer(r.total, dtype="<f8") / np.maximum(np.frombuffer(r.weight, dtype="<f8"), 1)
             flat[r.slice * per : (r.slice + 1) * per] += x[:per]
             if r.slice == 0:
                 bias += x[per:]
-        weights, nodes = flat[: buckets * CLASSES].reshape(buckets, CLASSES), flat[buckets * CLASSES :]
+    weights, nodes = parted(np.zeros(size, dtype=np.float32) if flat is None else flat, shape)
     return weights, bias, nodes
 
 
@@ -407,7 +426,7 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
     """Rows (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of docs. Learns from the rows
     whose crc32 of the id modulo modulus is not held."""
     docs = docs.select("doc_id", "text")
-    blocks = materialize(coded(docs, modulus, held), "blocks", compression="zstd")
+    blocks = materialize(coded(docs, modulus, held), "blocks", compression="zstd", batch_bytes=AT_ONCE_BYTES)
     totals, n, v, top, mass, leaf_mass, shape = gather(blocks)
     model = Model(top, leaf_mass, n, v, shape, *train(blocks, top, mass, leaf_mass, shape))
     kind = docs.schema["doc_id"].dataType.simpleString()

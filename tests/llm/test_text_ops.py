@@ -8,12 +8,14 @@ import re
 import subprocess
 import sys
 import time
+import tracemalloc
 import unicodedata
 import zlib
 from collections import Counter
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -601,6 +603,35 @@ def test_updates_follow_the_gradient():
             assert np.sign(after.ravel()[i]) == np.sign(at(up) - at(before.astype(float)))
 
 
+def test_training_holds_few_copies_of_the_weights():
+    """With the sizes of 6 GB: beside the given weights the trainer's own, Adagrad's sums and one minibatch, not a copy a step."""
+    rng, shape = np.random.default_rng(21), lm.Shape(16 * 10**8)
+    tree = lm.Tree(rng.integers(1, 50, shape.leaves).astype(float), shape)
+    start = np.zeros((1 << shape.bucket_bits, lm.CLASSES), np.float32), np.zeros(lm.CLASSES, np.float32), np.zeros(1 << shape.weight_bits, np.float32)
+    tracemalloc.start()
+    try:
+        t = lm.Trainer(*start, tree, shape)
+        for _ in range(t.batch // lm.AT_ONCE + 1):
+            x, c = rng.integers(0, 1 << 32, (lm.FEATURES, lm.AT_ONCE)).astype(np.uint32), rng.integers(0, lm.CLASSES, lm.AT_ONCE)
+            t.add(x, c, np.where(c >= lm.TOP, (c - lm.TOP) << shape.levels, 0) + rng.integers(0, 1 << shape.levels, lm.AT_ONCE))
+        t.update()
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert t.n > t.batch and most < 4.5 * (start[0].nbytes + start[2].nbytes)
+
+
+def test_large_rows_reach_python_a_few_at_a_time(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(b)])], ["n"])
+
+    before = spark.conf.get(common.BATCH_BYTES)
+    rows = spark.range(0, 40, 1, 1).select(F.expr("cast(repeat('x', 100000) as binary)").alias("x"))
+    n = [r.n for r in common.materialize(rows.mapInArrow(sizes, "n long"), "sizes", batch_bytes=300_000).collect()]
+    assert sum(n) == 40 and max(n) <= 4 and spark.conf.get(common.BATCH_BYTES) == before
+
+
 def test_lm_cuts_long_texts(spark, monkeypatch):
     rng = random.Random(20)
     rows = [(i, prose(rng, rng.randint(1, 400)) + "\n") for i in range(30)] + [(5, "x" * 5000), (5, "x" * 5000), (None, "a b"), (None, "a b")]
