@@ -4,24 +4,29 @@ from __future__ import annotations
 
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Java's \s with (?U), and U+001C to U+001F, are the white space that the cleaning is defined by.
 SPACE = r"[\s\x1c-\x1f]"
 NOT_SPACE = r"[^\s\x1c-\x1f]"
+#: Texts that a worker turns into Python strings at once.
+FEW_TEXTS = 64
 URL = rf"(?U)https?://{NOT_SPACE}+|www\.{NOT_SPACE}+"
 
 
 def nfkc(column: Column) -> Column:
-    """Unicode NFKC. Null gives null."""
+    """Unicode NFKC. Null gives null. ASCII texts, which it leaves alone, stay in the JVM; of the others a worker holds a few at a
+    time as Python strings, beside the Arrow batch and its result."""
+    few = FEW_TEXTS
 
-    @F.pandas_udf("string")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize("NFKC", x))
+    @F.arrow_udf("string")
+    def run(s: pa.Array) -> pa.Array:
+        parts = (s.slice(at, few).to_pylist() for at in range(0, max(len(s), 1), few))
+        return pa.concat_arrays([pa.array((x if x is None else unicodedata.normalize("NFKC", x) for x in part), s.type) for part in parts])
 
-    return run(column)
+    return F.coalesce(run(F.when(F.octet_length(column) != F.length(column), column)), column)
 
 
 def without_urls(column: Column) -> Column:

@@ -3,10 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from zlib import crc32
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,15 +13,16 @@ from .tokens import words
 
 
 def hashed_features(tokens: Column, size: int = 64) -> Column:
-    """The default features of a text: shares of its tokens in hashed buckets, counted in Arrow batches. Any function of the
+    """The default features of a text: shares of its tokens in hashed buckets, counted inside the JVM. Any function of the
     tokens may stand in."""
-
-    @F.pandas_udf("array<double>")
-    def run(s: pd.Series) -> pd.Series:
-        count = lambda ws: np.bincount([crc32(w.encode("utf-8", "replace")) % size for w in ws], minlength=size) / max(len(ws), 1)
-        return s.map(lambda ws: count(ws if ws is not None else []))
-
-    return run(tokens)
+    buckets = F.sequence(F.lit(0), F.lit(size - 1))
+    # a transform over one element, so that what the inner functions use again is computed once
+    let = lambda value, f: F.element_at(F.transform(F.array(value), f), 1)
+    codes = F.transform(F.array_compact(F.coalesce(tokens, F.array().cast("array<string>"))), lambda w: F.pmod(F.crc32(w.cast("binary")), F.lit(size)).cast("int"))
+    # with every bucket added once and sorted, bucket b's run is the b-th
+    starts = lambda a: F.concat(F.filter(F.sequence(F.lit(0), F.size(a) - 1), lambda i: ~F.get(a, i).eqNullSafe(F.get(a, i - 1))), F.array(F.size(a)))
+    share = lambda a, s, b: (F.get(s, b + 1) - F.get(s, b) - 1) / F.greatest(F.size(a) - size, F.lit(1))
+    return let(F.sort_array(F.concat(codes, buckets)), lambda a: let(starts(a), lambda s: F.transform(buckets, lambda b: share(a, s, b))))
 
 
 def predict(df: DataFrame, heads: Mapping[str, Head], title: str = "title", content: str = "content", features: Callable[[Column], Column] = hashed_features, normalize: bool = True) -> DataFrame:

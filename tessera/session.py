@@ -10,7 +10,7 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
-LEAST_VERSION = (4, 0)
+LEAST_VERSION = (4, 1)
 
 
 def session(app: str = "tessera", master: str | None = None, **conf: str) -> SparkSession:

@@ -2,9 +2,12 @@
 
 import json
 import random
+import tracemalloc
 import unicodedata
+from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -367,3 +370,70 @@ def test_vocabulary_sink(spark, tmp_path):
     df = spark.createDataFrame([(["a", "b", "a"],), ([],), (["b"],)], "tokens array<string>")
     tables.write_vocabulary(df, f"{tmp_path}/vocabulary")
     assert {r.token: r.n for r in spark.read.parquet(f"{tmp_path}/vocabulary").collect()} == {"a": 2, "b": 2}
+
+
+# --- what reaches Python
+
+
+def python_steps(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("EvalPython")
+
+
+def test_words_of_a_prediction_stay_out_of_python(spark):
+    rng = random.Random(7)
+    rows = [(i, [rng.choice(["a", "", "é", "ﬁ", "🙂", str(rng.random())]) for _ in range(n)]) for i, n in enumerate([0, 1, 2, 63, 64, 65, 3000])] + [(99, None)]
+    df = spark.createDataFrame(rows, "i int, t array<string>")
+    for size in (1, 7, 64):
+        out = df.select("i", predict.hashed_features(F.col("t"), size).alias("x"))
+        got = {r.i: r.x for r in out.collect()}
+        for i, ws in rows:
+            want = np.bincount([crc32(w.encode()) % size for w in ws or []], minlength=size) / max(len(ws or []), 1)
+            assert got[i] == want.tolist()
+        assert python_steps(out) == 0
+    heads = {"t": model.Head(["no", "yes"], [[0.1] * 64, [-0.1] * 64], [0.0, 0.0])}
+    articles = spark.createDataFrame([("a", "b c")], "title string, content string")
+    assert python_steps(predict.predict(articles, heads)) == 1 and python_steps(predict.predict(articles, heads, normalize=False)) == 0
+
+
+def test_normalisation_holds_few_texts(spark, monkeypatch):
+    made, real = [], F.arrow_udf
+
+    def keep(kind):
+        return lambda f: made.append(f) or real(kind)(f)
+
+    monkeypatch.setattr(F, "arrow_udf", keep)
+    text.nfkc(F.col("t"))
+    texts = pa.array([None if i % 3 == 0 else f"{i} ﬁ " + "é" * 10000 for i in range(3000)])
+    tracemalloc.start()
+    try:
+        out = made[0](texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # all 2000 would take 80 MB, as much again when normalised
+    assert peak < 8e6
+    assert out.to_pylist() == [x if x is None else unicodedata.normalize("NFKC", x) for x in texts.to_pylist()]
+    assert made[0](texts.slice(0, 0)).to_pylist() == [] and made[0](texts.slice(0, 1)).to_pylist() == [None]
+
+
+def test_ascii_texts_do_not_travel(spark):
+    seen = spark.sparkContext.accumulator(0)
+    texts = [None, "", "plain", "ﬁn", "가", "Å b"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    real = F.arrow_udf
+
+    def counted(kind):
+        def wrap(f):
+            def g(s: pa.Array) -> pa.Array:
+                seen.add(len(s) - s.null_count)
+                return f(s)
+
+            return real(kind)(g)
+
+        return wrap
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(F, "arrow_udf", counted)
+        run = df.withColumn("n", text.nfkc(F.col("t")))
+    assert {r.i: r.n for r in run.collect()} == {i: t and unicodedata.normalize("NFKC", t) for i, t in enumerate(texts)}
+    assert seen.value == 3
